@@ -41,16 +41,17 @@ def fim_lines(content, key, rate: float = K.FIM_RATE, salt: str = "fim") -> dict
     ls = lines(content)
     n = F.size(ls)
     applied = (keyed_unit(salt + ":coin", key) <= F.lit(rate)) & (n >= 3)
-    s1 = F.lit(1) + F.pmod(keyed_u32(salt + ":s1", key), n - 2)
-    s2 = s1 + 1 + F.pmod(keyed_u32(salt + ":s2", key), n - 1 - s1)
+    # greatest(.., 1) only guards pmod for texts that are not transformed
+    s1 = F.lit(1) + F.pmod(keyed_u32(salt + ":s1", key), F.greatest(n - 2, F.lit(1)))
+    s2 = s1 + 1 + F.pmod(keyed_u32(salt + ":s2", key), F.greatest(n - 1 - s1, F.lit(1)))
     prefix = F.array_join(F.slice(ls, 1, s1), "\n")
     middle = F.array_join(F.slice(ls, s1 + 1, s2 - s1), "\n")
     suffix = F.array_join(F.slice(ls, s2 + 1, n - s2), "\n")
     text = F.concat(F.lit(K.FIM_PREFIX), prefix, F.lit(K.FIM_SUFFIX), suffix, F.lit(K.FIM_MIDDLE), middle)
     return {
         "fim_applied": applied,
-        "split1": F.when(applied, s1),
-        "split2": F.when(applied, s2),
+        "split1": F.when(applied, s1).otherwise(F.lit(0)),
+        "split2": F.when(applied, s2).otherwise(F.lit(0)),
         "fim_text": F.when(applied, text).otherwise(col(content)),
     }
 
@@ -97,10 +98,10 @@ def fim_multi_span(content, key, spans: int = 2, salt: str = "fim_multi") -> Col
         length = F.when(F.lit(i) == spans - 1, n - start + 1).otherwise(size)
         block = F.slice(ls, start, F.greatest(length, F.lit(0)))
         m = F.size(block)
-        cut = F.pmod(keyed_u32(f"{salt}:{i}", key), F.greatest(m, F.lit(1)))
+        cut = F.pmod(keyed_u32(f"{salt}:{i}", key), F.greatest(m, F.lit(1))).cast("int")
         parts += [F.lit(K.FIM_PREFIX), F.array_join(F.slice(block, 1, cut), "\n"),
                   F.lit(K.FIM_SUFFIX), F.array_join(F.slice(block, cut + 2, m), "\n"),
-                  F.lit(K.FIM_MIDDLE), F.coalesce(F.element_at(block, cut + 1), F.lit(""))]
+                  F.lit(K.FIM_MIDDLE), F.coalesce(F.element_at(block, (cut + 1).cast("int")), F.lit(""))]
     return F.when(n >= spans, F.concat(*parts))
 
 
@@ -111,7 +112,8 @@ def codepoint_ids(text, max_chars: int | None = 100, modulo: int = 1000) -> Colu
     t = col(text)
     if max_chars is not None:
         t = F.substring(t, 1, max_chars)
-    return F.transform(F.split(t, "", -1), lambda c: F.ascii(c) % modulo)
+    ids = F.transform(F.split(t, "", -1), lambda c: F.ascii(c) % modulo)
+    return F.when(F.length(t) > 0, ids).otherwise(F.array().cast("array<int>"))
 
 
 def ids_digest(ids) -> dict[str, Column]:
