@@ -21,13 +21,29 @@ The order columns must be a total order (add an id tie-break).
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _local_scan_fn(group_cols: list[str], value_col: str):
+def _local_scan_fn(group_cols: list[str], value_col: str, op: str = "sum"):
+    def seg_scan(v, new):
+        if op == "sum":
+            c = np.cumsum(v)
+            seg = np.cumsum(new) - 1
+            starts = np.flatnonzero(new)
+            base = np.where(starts > 0, c[starts - 1], 0.0)
+            return c - base[seg]
+        g = pd.Series(v).groupby(np.cumsum(new))
+        return (g.cummin() if op == "min" else g.cummax()).to_numpy()
+
+    def combine(local, carry):
+        if op == "sum":
+            return local + carry
+        return np.minimum(local, carry) if op == "min" else np.maximum(local, carry)
+
     def run(batches):
         carry_key = None
         carry_sum = 0
@@ -37,7 +53,8 @@ def _local_scan_fn(group_cols: list[str], value_col: str):
             if n == 0:
                 continue
             v = np.asarray(batch.column(value_col).to_numpy(zero_copy_only=False), dtype=np.float64)
-            v = np.nan_to_num(v)
+            if op == "sum":
+                v = np.nan_to_num(v)
             keys = [np.asarray(batch.column(g).to_numpy(zero_copy_only=False), dtype=object) for g in group_cols]
             new = np.zeros(n, dtype=bool)
             new[0] = True
@@ -45,13 +62,10 @@ def _local_scan_fn(group_cols: list[str], value_col: str):
                 if n > 1:
                     new[1:] |= k[1:] != k[:-1]
             first_key = tuple(k[0] for k in keys)
-            c = np.cumsum(v)
             seg = np.cumsum(new) - 1
-            starts = np.flatnonzero(new)
-            base = np.where(starts > 0, c[starts - 1], 0.0)
-            local = c - base[seg]
+            local = seg_scan(v, new)
             if carry_key is not None and first_key == carry_key:
-                local[seg == 0] += carry_sum
+                local[seg == 0] = combine(local[seg == 0], carry_sum)
             carry_key = tuple(k[-1] for k in keys)
             carry_sum = local[-1]
             positions = np.arange(pos, pos + n, dtype=np.int64)
@@ -62,8 +76,9 @@ def _local_scan_fn(group_cols: list[str], value_col: str):
 
 def prefix_scan(df: DataFrame, group_cols, order_cols, value_col: str | None = None,
                 out_col: str = "running", num_partitions: int | None = None,
-                integral: bool = True) -> DataFrame:
-    """Inclusive running sum of ``value_col`` (1 per row when None) per group.
+                integral: bool = True, op: str = "sum") -> DataFrame:
+    """Inclusive running ``op`` (sum | min | max) of ``value_col`` (1 per row
+    when None) per group.
 
     ``group_cols`` may be empty (one global sequence, e.g. global row numbers).
     Group columns must be non-null.
@@ -80,7 +95,7 @@ def prefix_scan(df: DataFrame, group_cols, order_cols, value_col: str | None = N
               .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(ranged.schema.fields + [T.StructField("_pos", T.LongType()),
                                                   T.StructField("_local", T.DoubleType())])
-    local = ranged.mapInArrow(_local_scan_fn(grp, "_v"), schema)
+    local = ranged.mapInArrow(_local_scan_fn(grp, "_v", op), schema)
     key = F.struct(*[F.col(c) for c in grp])
     stats = (local.groupBy("_pid").agg(
         F.min_by(key, F.col("_pos")).alias("first_key"),
@@ -88,14 +103,20 @@ def prefix_scan(df: DataFrame, group_cols, order_cols, value_col: str | None = N
         F.max_by(F.col("_local"), F.col("_pos")).alias("last_total")))
     w_same = Window.partitionBy("last_key").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
     w_all = Window.orderBy("_pid")
-    offsets = (stats.withColumn("cum_same", F.sum("last_total").over(w_same))
+    agg = {"sum": F.sum, "min": F.min, "max": F.max}[op]
+    # the stats table has one row per partition: these windows are tiny
+    offsets = (stats.withColumn("cum_same", agg("last_total").over(w_same))
                .withColumn("prev_last", F.lag("last_key").over(w_all))
                .withColumn("prev_cum", F.lag("cum_same").over(w_all))
                .select("_pid", "first_key",
-                       F.when(F.col("prev_last") == F.col("first_key"), F.col("prev_cum"))
-                       .otherwise(F.lit(0.0)).alias("_offset")))
+                       F.when(F.col("prev_last") == F.col("first_key"), F.col("prev_cum")).alias("_offset")))
     joined = local.join(F.broadcast(offsets), "_pid")
-    total = F.col("_local") + F.when(key == F.col("first_key"), F.col("_offset")).otherwise(F.lit(0.0))
+    carried = F.when(key == F.col("first_key"), F.col("_offset"))
+    if op == "sum":
+        total = F.col("_local") + F.coalesce(carried, F.lit(0.0))
+    else:
+        f = F.least if op == "min" else F.greatest
+        total = f(F.col("_local"), F.coalesce(carried, F.col("_local")))
     res = joined.withColumn(out_col, F.round(total).cast("bigint") if integral else total)
     drop = ["_v", "_pid", "_pos", "_local", "first_key", "_offset"] + ([] if group_cols else ["_g"])
     return res.drop(*drop)

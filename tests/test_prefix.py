@@ -26,3 +26,14 @@ def test_running_sum_global_and_grouped(spark):
         j = got.select("id", "cum").join(exp.select("id", F.col("cum").alias("e")), "id")
         assert j.where(F.abs(F.col("cum") - F.col("e")) > 1e-6).count() == 0
         assert j.count() == 3000
+
+
+def test_running_min_max(spark):
+    df = spark.range(0, 4000).select("id", (F.col("id") % 3).alias("g"),
+                                     (F.sin(F.col("id")) * 100).alias("v"))
+    for op, fn in (("min", F.min), ("max", F.max)):
+        got = prefix_scan(df, ["g"], ["id"], "v", "r", num_partitions=9, integral=False, op=op)
+        w = Window.partitionBy("g").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+        exp = df.withColumn("e", fn("v").over(w))
+        j = got.select("id", "r").join(exp.select("id", "e"), "id")
+        assert j.where(F.abs(F.col("r") - F.col("e")) > 1e-9).count() == 0 and j.count() == 4000
