@@ -117,12 +117,22 @@ def minhash_signature(text, num_perm: int = K.NUM_PERM, seed: str = "minhash") -
     return _signature_udf(num_perm, seed)(token_hashes(text))
 
 
+def signatures(df: DataFrame, text: str, id_col: str, scope=(), num_perm: int = K.NUM_PERM) -> DataFrame:
+    """``(id, scope..., signature)`` for rows that have tokens.
+
+    The emptiness test is a built-in predicate applied *before* the UDF:
+    filtering on the UDF's output would let Catalyst push that filter below
+    an exchange and evaluate the UDF twice."""
+    return (df.where(F.size(words(F.col(text))) > 0)
+            .select(id_col, *scope, minhash_signature(F.col(text), num_perm).alias("signature")))
+
+
 def band_buckets(df: DataFrame, id_col: str, sig: str = "signature", bands: int = 8, rows: int = 16,
                  scope=()) -> DataFrame:
-    """Explode a signature into ``(id, band, bucket)`` membership rows."""
+    """Explode a (non-null) signature into ``(id, band, bucket)`` membership rows."""
     scope = list(scope)
     b = F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band")
-    exploded = df.where(F.col(sig).isNotNull()).select(id_col, *scope, sig, b)
+    exploded = df.select(id_col, *scope, sig, b)
     part = F.slice(F.col(sig), F.col("band") * rows + 1, rows)
     return exploded.select(id_col, "band",
                            F.xxhash64(*[F.col(s) for s in scope], F.col("band"), part).alias("bucket"))
@@ -203,9 +213,11 @@ def near_dup(df: DataFrame, text: str, id_col: str, scope=(), p: NearDup = NearD
     Rows without tokens, and rows sharing no bucket with anyone, are kept.
     """
     scope = list(scope)
-    sigs = df.select(id_col, *scope, minhash_signature(F.col(text), p.num_perm).alias("signature"))
-    members = _multi_member(band_buckets(sigs, id_col, "signature", p.bands, p.rows, scope), id_col)
-    members = cut_lineage(members)
+    sigs = signatures(df, text, id_col, scope, p.num_perm)
+    # persist the compact (id, band, bucket) table once: the signature UDF runs
+    # a single time, and the loop below reads ~128 bytes per document
+    all_members = cut_lineage(band_buckets(sigs, id_col, "signature", p.bands, p.rows, scope))
+    members = cut_lineage(_multi_member(all_members, id_col))
     if p.mode == "component":
         decided = components(members, id_col, p.max_rounds)
     else:
@@ -218,8 +230,8 @@ def earlier_collisions(df: DataFrame, text: str, id_col: str, scope=(), bands: i
                        num_perm: int = K.NUM_PERM) -> DataFrame:
     """Candidate statistics without pairs: per id, bands where an earlier id shares the bucket."""
     scope = list(scope)
-    sigs = df.select(id_col, *scope, minhash_signature(F.col(text), num_perm).alias("signature"))
-    members = band_buckets(sigs, id_col, "signature", bands, rows, scope)
+    sigs = signatures(df, text, id_col, scope, num_perm)
+    members = cut_lineage(band_buckets(sigs, id_col, "signature", bands, rows, scope))
     first = members.groupBy("bucket").agg(F.min(id_col).alias("first_id"))
     return (members.join(first, "bucket")
             .groupBy(id_col).agg(F.count_if(F.col("first_id") < F.col(id_col)).alias("bands_with_earlier")))

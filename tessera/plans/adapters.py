@@ -14,8 +14,25 @@ from tessera.functions import constants as K
 from tessera.functions.hashing import keyed_pick
 
 
+# Tables whose rows carry long texts: per-row work (regex, hashing, UDFs)
+# dominates, so they must not sit in fewer tasks than the cluster has cores.
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin into 2x default parallelism when the scan yields fewer
+    splits than cores (e.g. one large row group).  A planning-time check:
+    at scale the scan already has far more splits and nothing changes."""
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(2 * target)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def code_records(spark: SparkSession, sf_dir: str) -> DataFrame:

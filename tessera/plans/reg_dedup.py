@@ -58,7 +58,7 @@ sig AS (SELECT doc_id, lang, i, min((a * h + b) % {P31}) AS v FROM h, perms GROU
 WITH {_PERMS_SQL}
 SELECT doc_id, min(v) AS sig_min, sum(v) AS sig_sum, count(*) AS n_perm FROM sig GROUP BY doc_id""")
 def q_d2(spark, sf):
-    s = _docs(spark, sf).select("doc_id", D.minhash_signature(F.col("text")).alias("sig")).where(F.col("sig").isNotNull())
+    s = D.signatures(_docs(spark, sf), "text", "doc_id").withColumnRenamed("signature", "sig")
     return s.select("doc_id", F.array_min("sig").alias("sig_min"),
                     F.aggregate("sig", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("sig_sum"),
                     F.size("sig").alias("n_perm"))

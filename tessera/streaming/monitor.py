@@ -225,7 +225,7 @@ def online_near_dup(stream: DataFrame, id_col: str, text_col: str, scope, index_
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         docs = batch.select(id_col, *scope, text_col)
-        sigs = docs.select(id_col, *scope, D.minhash_signature(F.col(text_col)).alias("signature"))
+        sigs = D.signatures(docs, text_col, id_col, scope)
         members = D.band_buckets(sigs, id_col, "signature", bands, rows, scope)
         members = members.cache()
         # only earlier batches' kept bands: a replayed batch sees the same index
