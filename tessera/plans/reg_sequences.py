@@ -80,7 +80,23 @@ def q_p17(spark, sf):
                                    c["span_end"].cast("bigint").alias("span_end"), F.md5(c["fim_text"]).alias("fim_md5"))
 
 
-@register("p17_fim_multi_span")
+def _multi_span_sql(spans: int = 3) -> str:
+    blocks = []
+    for i in range(spans):
+        length = "n - (%d * sz + 1) + 1" % i if i == spans - 1 else "sz"
+        blocks.append(f"""SELECT doc_id, n, {i} AS i, ls[{i} * sz + 1 : {i} * sz + 1 + ({length}) - 1] AS block,
+  {sql_u32(f'fim_multi:{i}', 'doc_id')} AS h FROM s""")
+    return f"""
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls, len(string_split(text, chr(10))) AS n FROM documents),
+s AS (SELECT *, greatest(1, CAST(floor(n / {spans}) AS INTEGER)) AS sz FROM l),
+b AS ({" UNION ALL ".join(blocks)}),
+c AS (SELECT *, h % greatest(len(block), 1) AS cut FROM b),
+p AS (SELECT doc_id, n, i, '<|fim_prefix|>' || array_to_string(block[1:cut], chr(10)) || '<|fim_suffix|>'
+        || array_to_string(block[cut + 2:len(block)], chr(10)) || '<|fim_middle|>' || coalesce(block[cut + 1], '') AS part FROM c)
+SELECT doc_id, CASE WHEN n >= {spans} THEN md5(string_agg(part, '' ORDER BY i)) END AS fim_md5 FROM p GROUP BY doc_id, n"""
+
+
+@register("p17_fim_multi_span", _multi_span_sql(3))
 def q_p17_multi(spark, sf):
     return _docs(spark, sf).select("doc_id", F.md5(S.fim_multi_span(F.col("text"), F.col("doc_id"), 3)).alias("fim_md5"))
 
