@@ -144,12 +144,16 @@ def corpus_bleu(df: DataFrame, key: str, prediction: str, reference: str, max_n:
         F.sum(F.least("cc", F.coalesce("rc", F.lit(0)))).alias("matches"), F.sum("cc").alias("total"))
     ns = df.sparkSession.range(1, max_n + 1).select(F.col("id").cast("int").alias("n"))
     m = F.broadcast(ns).join(m, "n", "left")  # every n present (bounded: max_n rows)
-    prec = m.agg(F.sum(F.log(F.col("matches") / F.col("total"))).alias("log_sum"),
-                 F.count_if(F.coalesce(F.col("matches"), F.lit(0)) == 0).alias("zero_n"))
-    tot = lens.agg(F.sum("c_len").alias("c"), F.sum("r_len").alias("r"))
+    # one aggregate over (per-n rows) union (one length row): no join of scalars
+    per_n = m.select("n", "matches", "total", F.lit(None).cast("bigint").alias("c"), F.lit(None).cast("bigint").alias("r"))
+    length_row = lens.agg(F.sum("c_len").alias("c"), F.sum("r_len").alias("r")).select(
+        F.lit(None).cast("int").alias("n"), F.lit(None).cast("bigint").alias("matches"),
+        F.lit(None).cast("bigint").alias("total"), "c", "r")
+    j = per_n.unionByName(length_row).agg(
+        F.sum(F.log(F.col("matches") / F.col("total"))).alias("log_sum"),
+        F.count_if(F.col("n").isNotNull() & (F.coalesce(F.col("matches"), F.lit(0)) == 0)).alias("zero_n"),
+        F.max("c").alias("c"), F.max("r").alias("r"))
     bp = F.when(F.col("c") >= F.col("r"), F.lit(1.0)).when(F.col("c") == 0, F.lit(0.0)).otherwise(F.exp(1 - F.col("r") / F.col("c")))
-    # both sides are single-row aggregates: combine them through a constant key
-    j = prec.withColumn("_k", F.lit(1)).join(tot.withColumn("_k", F.lit(1)), "_k").drop("_k")
     bleu = F.when(F.col("zero_n") > 0, F.lit(0.0)).otherwise(bp * F.exp(F.col("log_sum") / max_n))
     return j.select(F.round(bleu, 6).alias("bleu"), F.round(bp, 6).alias("brevity_penalty"),
                     F.col("c").alias("candidate_length"), F.col("r").alias("reference_length"))

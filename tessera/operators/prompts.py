@@ -391,9 +391,14 @@ def containment_join(needles: DataFrame, haystacks: DataFrame, needle_text: str,
                 .where(F.col("_hay").contains(F.col("_needle"))))
     first = verified.groupBy(needle_key).agg(F.min(hay_key).alias("match_" + hay_key))
     empty = nd.where(F.length("_needle") == 0)
-    first_in_scope = hay.groupBy(*scope).agg(F.min(hay_key).alias("match_" + hay_key))
-    empty_match = empty.join(first_in_scope, scope).select(needle_key, "match_" + hay_key)
-    first = first.unionByName(empty_match)
+    if empty.limit(1).count():  # '' is contained in every haystack of its scope
+        if scope == ["_scope"]:
+            lowest = hay.agg(F.min(hay_key)).first()[0]  # one scalar
+            empty_match = empty.select(needle_key, F.lit(lowest).cast(hay.schema[hay_key].dataType).alias("match_" + hay_key))
+        else:
+            first_in_scope = hay.groupBy(*scope).agg(F.min(hay_key).alias("match_" + hay_key))
+            empty_match = empty.join(first_in_scope, scope).select(needle_key, "match_" + hay_key)
+        first = first.unionByName(empty_match)
     return needles.join(first, needle_key, "left").drop("_scope")
 
 

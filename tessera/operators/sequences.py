@@ -194,9 +194,10 @@ def pack(df: DataFrame, ids: str, order_col: str, group_cols=(), buckets: int =
 
 # --- S14: shards ----------------------------------------------------------------
 
-def shard_ids(df: DataFrame, order_cols, per_shard: int = K.BLOCKS_PER_SHARD) -> DataFrame:
-    """Global row number (skew-safe prefix scan) -> ``shard_id``, ``shard_name``."""
-    rn = row_numbers(df, [], order_cols, "block_rank")
+def shard_ids(df: DataFrame, order_cols, per_shard: int = K.BLOCKS_PER_SHARD, materialize: bool = True) -> DataFrame:
+    """Global row number (skew-safe prefix scan) -> ``shard_id``, ``shard_name``.
+    Blocks come out of packing (expensive): materialised before ranking."""
+    rn = row_numbers(df, [], order_cols, "block_rank", materialize=materialize)
     sid = F.floor((F.col("block_rank") - 1) / per_shard).cast("bigint")
     return rn.withColumn("shard_id", sid).withColumn("shard_name", F.format_string("shard_%05d", sid))
 

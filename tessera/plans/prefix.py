@@ -76,13 +76,18 @@ def _local_scan_fn(group_cols: list[str], value_col: str, op: str = "sum"):
 
 def prefix_scan(df: DataFrame, group_cols, order_cols, value_col: str | None = None,
                 out_col: str = "running", num_partitions: int | None = None,
-                integral: bool = True, op: str = "sum") -> DataFrame:
+                integral: bool = True, op: str = "sum", materialize: bool = False) -> DataFrame:
     """Inclusive running ``op`` (sum | min | max) of ``value_col`` (1 per row
     when None) per group.
 
     ``group_cols`` may be empty (one global sequence, e.g. global row numbers).
-    Group columns must be non-null.
+    Group columns must be non-null.  Range partitioning samples its input in
+    a separate job; pass ``materialize=True`` when the input is expensive to
+    recompute (it is checkpointed into the shared folder first).
     """
+    if materialize:
+        from tessera.session import cut_lineage
+        df = cut_lineage(df)
     group_cols = list(group_cols)
     order_cols = list(order_cols)
     spark = df.sparkSession
@@ -123,6 +128,7 @@ def prefix_scan(df: DataFrame, group_cols, order_cols, value_col: str | None = N
 
 
 def row_numbers(df: DataFrame, group_cols, order_cols, out_col: str = "rn",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, materialize: bool = False) -> DataFrame:
     """1-based row number per group in ``order_cols`` order, skew-safe."""
-    return prefix_scan(df, group_cols, order_cols, None, out_col, num_partitions, integral=True)
+    return prefix_scan(df, group_cols, order_cols, None, out_col, num_partitions, integral=True,
+                       materialize=materialize)

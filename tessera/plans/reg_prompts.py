@@ -201,7 +201,9 @@ def q_j8(spark, sf):
     from tessera.plans.prefix import row_numbers
     b = table(spark, sf, "benchmark")
     d = table(spark, sf, "documents").select("doc_id", "text")
-    m = P.containment_join(b, d, "text", "text", "item_id", "doc_id").select("item_id", "match_doc_id")
+    # one row per needle, read three times below: materialise it once
+    from tessera.session import cut_lineage
+    m = cut_lineage(P.containment_join(b, d, "text", "text", "item_id", "doc_id").select("item_id", "match_doc_id"))
     unmatched = row_numbers(m.where(F.col("match_doc_id").isNull()), [], ["item_id"], "k")
     matched = m.where(F.col("match_doc_id").isNotNull()).withColumn("k", F.lit(None).cast("bigint"))
     allm = matched.unionByName(unmatched)
