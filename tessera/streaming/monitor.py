@@ -58,9 +58,11 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def stage_files(df: DataFrame, order_micros: str, n_files: int, base: str, fmt: str = "parquet",
                 redeliver: DataFrame | None = None) -> str:
-    """Write ``df`` as ``n_files`` folders in ascending ``order_micros``
-    ranges, one after another, so a file source replays them in time order
-    (the streaming source orders files by modification time).  Rows of
+    """Write ``df`` as ``n_files`` single-file folders in ascending
+    ``order_micros`` ranges, one after another, so a file source replays
+    them in time order (it orders files by modification time).  This
+    replays a bounded table as a stream (tests, driver queries); production
+    input arrives from the log that produces it.  Rows of
     ``redeliver`` (same schema) are written again right after the *next*
     range: a duplicate delivery that crosses a micro-batch boundary."""
     lo, hi = df.agg(F.min(order_micros), F.max(order_micros)).first()
@@ -76,7 +78,9 @@ def stage_files(df: DataFrame, order_micros: str, n_files: int, base: str, fmt:
         for frame, src in ((staged, i), (again, i - 1)):
             if frame is None or src < 0:
                 continue
-            out = frame.where(F.col("_part") == src).drop("_part")
+            # one time-sorted file per range: the source replays files by
+            # modification time, so parallel part files would reorder rows
+            out = frame.where(F.col("_part") == src).drop("_part").coalesce(1).sortWithinPartitions(order_micros)
             target = f"{base}/seq={seq:05d}"
             (out.write.mode("overwrite").parquet(target) if fmt == "parquet" else out.write.mode("overwrite").text(target))
             seq += 1
