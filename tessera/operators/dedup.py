@@ -155,16 +155,21 @@ def _multi_member(members: DataFrame, id_col: str) -> DataFrame:
     return members.join(sizes.where("n > 1").select("bucket"), "bucket", "left_semi")
 
 
-def first_wins(members: DataFrame, id_col: str, max_rounds: int = 50, checkpoint_every: int = 1) -> DataFrame:
+def first_wins(members: DataFrame, id_col: str, max_rounds: int = 200, checkpoint_every: int = 1) -> DataFrame:
     """Reference LSH semantics without pairs: ``(id, kept)`` for candidate ids.
 
     Per round, per bucket: ``min_live`` (smallest id not yet dropped) and
     ``min_kept``.  An undecided id is dropped when a bucket has a kept id
     below it, kept when it is the smallest live id of all its buckets.  The
     smallest undecided id is always decided, so the loop terminates.
+
+    Decided ids never change, so after each round the membership table is
+    pruned to buckets that still hold an undecided id: later rounds touch
+    only the remaining candidate chains, not the corpus.
     """
-    m = members.select(id_col, "bucket").distinct()
+    m = cut_lineage(members.select(id_col, "bucket").distinct())
     status = m.select(id_col).distinct().withColumn("state", F.lit("U"))
+    decided = None
     for rnd in range(max_rounds):
         joined = m.join(status, id_col)
         per_bucket = joined.groupBy("bucket").agg(
@@ -180,14 +185,21 @@ def first_wins(members: DataFrame, id_col: str, max_rounds: int = 50, checkpoint
                              .when(F.col("hit_kept") == 1, F.lit("X"))
                              .when(F.col("all_first") == 1, F.lit("K"))
                              .otherwise(F.lit("U")).alias("state")))
-        if (rnd + 1) % checkpoint_every == 0:
-            new_state = cut_lineage(new_state)
-        status = new_state
-        if status.where(F.col("state") == "U").limit(1).count() == 0:
+        new_state = cut_lineage(new_state)
+        still = new_state.where(F.col("state") == "U").select(id_col)
+        if still.limit(1).count() == 0:
+            status = new_state
             break
+        # prune: keep buckets with an undecided member, and the states of their members
+        active = m.join(still, id_col, "left_semi").select("bucket").distinct()
+        m = cut_lineage(m.join(active, "bucket", "left_semi"))
+        final_now = new_state.join(m.select(id_col).distinct(), id_col, "left_anti")
+        decided = final_now if decided is None else decided.unionByName(final_now)
+        status = new_state.join(m.select(id_col).distinct(), id_col, "left_semi")
     else:
         raise RuntimeError("near-dup first-wins did not converge; raise max_rounds")
-    return status.select(id_col, (F.col("state") == "K").alias("kept"))
+    result = status if decided is None else decided.unionByName(status)
+    return result.select(id_col, (F.col("state") == "K").alias("kept"))
 
 
 def components(members: DataFrame, id_col: str, max_rounds: int = 50) -> DataFrame:

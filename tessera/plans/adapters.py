@@ -14,9 +14,9 @@ from tessera.functions import constants as K
 from tessera.functions.hashing import keyed_pick
 
 
-# Tables whose rows carry long texts: per-row work (regex, hashing, UDFs)
-# dominates, so they must not sit in fewer tasks than the cluster has cores.
-TEXT_TABLES = {"documents", "pages", "conversations"}
+# Tables whose rows carry long texts or vectors: per-row work (regex, hashing,
+# UDFs, array math) dominates, so they must not sit in fewer tasks than cores.
+TEXT_TABLES = {"documents", "pages", "conversations", "embeddings"}
 
 
 def spread(df: DataFrame) -> DataFrame:
