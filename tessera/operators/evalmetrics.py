@@ -43,9 +43,17 @@ def pass_at_k(verdicts: DataFrame, ks=K.PASS_AT_K, task: str = "task_id", passed
 
 # --- A7 / A13 ------------------------------------------------------------------------
 
-def task_accuracy(tests: DataFrame, task: str = "task_id", passed: str = "passed", group_cols=()) -> DataFrame:
-    """A task passes iff all its tests pass; mean per group."""
-    per_task = tests.groupBy(*group_cols, task).agg(F.bool_and(passed).alias("task_passed"))
+def task_accuracy(tests: DataFrame, task: str = "task_id", passed: str = "passed", group_cols=(),
+                  task_groups: DataFrame | None = None) -> DataFrame:
+    """A task passes iff all its tests pass; mean per group.
+
+    Groups that are a property of the task (``task_groups``: task -> group
+    columns) are joined *after* the per-task aggregate, so the join sees one
+    row per task instead of one per test."""
+    per_task = tests.groupBy(*([] if task_groups is not None else group_cols), task).agg(
+        F.bool_and(passed).alias("task_passed"))
+    if task_groups is not None:
+        per_task = per_task.join(task_groups, task)
     return per_task.groupBy(*group_cols).agg(F.count("*").alias("n_tasks"),
                                              F.round(F.avg(F.col("task_passed").cast("double")), 6).alias("accuracy"))
 

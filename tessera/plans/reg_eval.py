@@ -53,9 +53,8 @@ WITH t AS (SELECT l_orderkey, bool_and(l_returnflag <> 'R') AS ok FROM lineitem
 SELECT o.o_orderpriority, count(*) AS n_tasks, round(avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END), 6) AS accuracy
 FROM t JOIN orders o ON o.o_orderkey = t.l_orderkey GROUP BY o.o_orderpriority""")
 def q_a7(spark, sf):
-    tests = test_outcomes(spark, sf).join(table(spark, sf, "orders").select(F.col("o_orderkey").alias("task_id"), "o_orderpriority"),
-                                          "task_id")
-    return EV.task_accuracy(tests, group_cols=["o_orderpriority"])
+    groups = table(spark, sf, "orders").select(F.col("o_orderkey").alias("task_id"), "o_orderpriority")
+    return EV.task_accuracy(test_outcomes(spark, sf), group_cols=["o_orderpriority"], task_groups=groups)
 
 
 @register("a13_zero_pass_tasks", """
@@ -228,9 +227,8 @@ f AS (SELECT *, CAST(floor(ex) AS BIGINT) AS base, ex - floor(ex) AS rem FROM s)
 r AS (SELECT *, 100 - sum(base) OVER () AS lft, row_number() OVER (ORDER BY rem DESC, o_orderpriority) AS rk FROM f)
 SELECT o_orderpriority, round(accuracy, 6) AS accuracy, round(deficit, 6) AS deficit, base + CASE WHEN rk <= lft THEN 1 ELSE 0 END AS new_prompts FROM r""")
 def q_a19(spark, sf):
-    tests = test_outcomes(spark, sf).join(table(spark, sf, "orders").select(F.col("o_orderkey").alias("task_id"), "o_orderpriority"),
-                                          "task_id")
-    per_task = tests.groupBy("o_orderpriority", "task_id").agg(F.bool_and("passed").alias("ok"))
+    groups = table(spark, sf, "orders").select(F.col("o_orderkey").alias("task_id"), "o_orderpriority")
+    per_task = test_outcomes(spark, sf).groupBy("task_id").agg(F.bool_and("passed").alias("ok")).join(groups, "task_id")
     g = per_task.groupBy("o_orderpriority").agg(F.avg(F.col("ok").cast("double")).alias("accuracy"))
     return EV.allocate_prompts(g, "o_orderpriority", "accuracy", 0.6, 100)
 
