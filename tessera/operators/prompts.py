@@ -272,19 +272,30 @@ def related_files(files: DataFrame, current: DataFrame, k: int = 5, use: int = 3
     """Same-directory ``.py`` files first (path order), then files named
     ``utils/helpers/config/base.py`` anywhere in the project; cap ``k``,
     use the first ``use``.  ``files(project, path)``, ``current(project, path)``.
+
+    No pairs inside a directory or project: only the first ``k + 1``
+    candidates of each directory and the first ``k`` named files of each
+    project survive (skew-safe row numbers), so every current file joins a
+    bounded list.
     """
-    f = files.select("project", F.col("path").alias("cand")).withColumn(
-        "cand_dir", F.regexp_extract("cand", r"^(.*)/[^/]*$", 1)).withColumn(
-        "cand_stem", F.regexp_extract("cand", r"([^/]*)\.py$", 1))
+    from pyspark.sql import Window
+
+    from tessera.plans.prefix import row_numbers
+    f = (files.select("project", F.col("path").alias("cand"))
+         .withColumn("cand_dir", F.regexp_extract("cand", r"^(.*)/[^/]*$", 1))
+         .withColumn("cand_stem", F.regexp_extract("cand", r"([^/]*)\.py$", 1)))
     cur = current.select("project", F.col("path").alias("current")).withColumn(
         "cur_dir", F.regexp_extract("current", r"^(.*)/[^/]*$", 1))
-    same = (cur.join(f.where(F.col("cand").endswith(".py")), "project")
-            .where((F.col("cand_dir") == F.col("cur_dir")) & (F.col("cand") != F.col("current")))
-            .select("project", "current", "cand", F.lit(0).alias("tier")))
-    named = (cur.join(f.where(F.col("cand_stem").isin(list(stems))), "project")
+    first_in_dir = row_numbers(f.where(F.col("cand").endswith(".py")), ["project", "cand_dir"], ["cand"], "_r")
+    first_in_dir = first_in_dir.where(F.col("_r") <= k + 1)  # k others even when current is among them
+    same = (cur.join(first_in_dir, (cur.project == first_in_dir.project) & (cur.cur_dir == first_in_dir.cand_dir))
+            .where(F.col("cand") != F.col("current"))
+            .select(cur.project, "current", "cand", F.lit(0).alias("tier")))
+    named_ranked = row_numbers(f.where(F.col("cand_stem").isin(list(stems))), ["project"], ["cand"], "_r")
+    named = (cur.join(named_ranked.where(F.col("_r") <= k + 1), "project")
              .select("project", "current", "cand", F.lit(1).alias("tier")))
     both = same.unionByName(named).groupBy("project", "current", "cand").agg(F.min("tier").alias("tier"))
-    from pyspark.sql import Window
+    # at most 2(k+1) rows per current file: this window is bounded
     w = Window.partitionBy("project", "current").orderBy("tier", "cand")
     ranked = both.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return ranked.withColumn("used", F.col("rank") <= use)

@@ -176,14 +176,18 @@ def auto_buckets(df: DataFrame, rows_per_group: int = 200_000) -> int:
     return max(1, math.ceil(df.count() / rows_per_group))
 
 
-def pack(df: DataFrame, ids: str, order_col: str, group_cols=(), buckets: int = 1,
-         max_length: int = K.BLOCK_LENGTH) -> DataFrame:
+def pack(df: DataFrame, ids: str, order_col: str, group_cols=(), buckets: int | None = None,
+         max_length: int = K.BLOCK_LENGTH, rows_per_group: int = 200_000) -> DataFrame:
     """Packed blocks ``(pack_group, block, input_ids, length, n_seqs)``.
 
     Blocks are assembled by grouping on (pack_group, block): each group is
     bounded by ``max_length`` tokens (a single over-long sequence forms its
-    own block, as in the reference).
+    own block, as in the reference).  ``buckets=None`` sizes the pack groups
+    from a row count so one pandas call sees about ``rows_per_group`` rows
+    (the packing result depends on this documented grouping).
     """
+    if buckets is None:
+        buckets = auto_buckets(df, rows_per_group)
     a = pack_assign(df.withColumn("_len", F.size(F.col(ids))), order_col, "_len", group_cols, buckets, max_length)
     blocks = (a.groupBy("pack_group", "block")
               .agg(F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col(ids).alias("ids")))).alias("parts"),
