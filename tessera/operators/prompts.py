@@ -378,8 +378,8 @@ def containment_join(needles: DataFrame, haystacks: DataFrame, needle_text: str,
 
     Winnowing guarantee: every window of ``window`` consecutive k-grams of a
     needle lies inside each occurrence, and the haystack selects that
-    window's minimum too — so the needle's first-window minimum is an exact
-    join key.  Needles shorter than ``k + window - 1`` use a second, denser
+    window's minimum too — so any fingerprint the needle selects is an exact
+    join key (the rarest one in the haystack index is used).  Needles shorter than ``k + window - 1`` use a second, denser
     index sized by the shortest of them; empty needles match everything.
     """
     scope = list(scope)
@@ -414,8 +414,23 @@ def containment_join(needles: DataFrame, haystacks: DataFrame, needle_text: str,
 
 
 def _candidates(nd, hay, needle_key, hay_key, scope, k, window):
-    anchors = nd.select(needle_key, *scope, F.explode(_winnow(k, window, True)(F.col("_needle"))).alias("fp"))
-    hay_fp = hay.select(hay_key, *scope, F.explode(_winnow(k, window, False)(F.col("_hay"))).alias("fp"))
+    """Candidate (needle, haystack) pairs through one anchor per needle.
+
+    Every fingerprint the needle's own winnowing selects lies in a window
+    fully inside the needle, so each one is an exact anchor; the rarest in
+    the haystack index is chosen (a boilerplate k-gram would otherwise pull
+    in every document that shares it).  Counting fingerprints is a partial
+    aggregate; the anchor choice is a ``min_by`` per needle."""
+    from tessera.session import cut_lineage
+    needle_fp = cut_lineage(nd.select(needle_key, *scope, F.explode(_winnow(k, window, False)(F.col("_needle"))).alias("fp")))
+    hay_all = hay.select(hay_key, *scope, F.explode(_winnow(k, window, False)(F.col("_hay"))).alias("fp"))
+    # only haystack fingerprints some needle has: materialised once, so the
+    # haystack UDF runs a single time for both the counts and the join
+    hay_fp = cut_lineage(hay_all.join(needle_fp.select("fp", *scope).distinct(), ["fp", *scope], "left_semi")
+                         .dropDuplicates([hay_key, *scope, "fp"]))
+    counts = hay_fp.groupBy("fp", *scope).agg(F.count("*").alias("df"))
+    scored = needle_fp.join(counts, ["fp", *scope], "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    anchors = scored.groupBy(needle_key, *scope).agg(F.min_by("fp", F.struct("df", "fp")).alias("fp"))
     return anchors.join(hay_fp, ["fp", *scope]).select(needle_key, hay_key)
 
 
