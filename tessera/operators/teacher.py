@@ -77,7 +77,7 @@ def normalize_response(df: DataFrame, provider: str = "provider", raw: str = "ra
         F.try_element_at(chat["choices"], F.lit(1))["message"]["content"])
     in_tok = F.when(is_anth, anth["usage"]["input_tokens"]).otherwise(chat["usage"]["prompt_tokens"])
     out_tok = F.when(is_anth, anth["usage"]["output_tokens"]).otherwise(chat["usage"]["completion_tokens"])
-    total = F.when(is_anth, anth["usage"]["input_tokens"] + anth["usage"]["output_tokens"]).otherwise(
+    total = F.when(is_anth, F.coalesce(anth["usage"]["input_tokens"] + anth["usage"]["output_tokens"], F.lit(0))).otherwise(
         F.coalesce(chat["usage"]["total_tokens"], F.lit(0)))
     return df.select("*", content.alias("content"), total.alias("tokens_used"),
                      F.coalesce(in_tok, F.lit(0)).alias("input_tokens"), F.coalesce(out_tok, F.lit(0)).alias("output_tokens"),

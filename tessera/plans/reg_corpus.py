@@ -101,7 +101,7 @@ def q_f6_f7(spark, sf):
 
 @register("f8_repo_tier", f"""
 WITH code AS ({SQL_CODE_RECORDS})
-SELECT id, stars, CASE WHEN stars > 100 THEN 1.0 WHEN stars > 10 THEN 0.8 ELSE 0.3 END AS keep_rate
+SELECT id, stars, CAST(CASE WHEN stars > 100 THEN 1.0 WHEN stars > 10 THEN 0.8 ELSE 0.3 END AS DOUBLE) AS keep_rate
 FROM code WHERE {sql_unit('tier', 'id')} < CASE WHEN stars > 100 THEN 1.0 WHEN stars > 10 THEN 0.8 ELSE 0.3 END""")
 def q_f8(spark, sf):
     c = code_records(spark, sf).withColumn("keep_rate", Q.star_keep_rate(F.col("stars")))
@@ -247,7 +247,7 @@ r AS (SELECT *, length(response) < 50 OR ({_REFUSAL_SQL}) OR (category <> 'expla
 SELECT count(*) AS n_examples, count(*) FILTER (WHERE NOT rejected) AS n_kept,
        round(count(*) FILTER (WHERE NOT rejected) / count(*), 6) AS keep_rate,
        round(count(*) FILTER (WHERE rejected) / count(*), 6) AS reject_rate,
-       sum(length(prompt) + length(response)) AS total_chars
+       CAST(sum(length(prompt) + length(response)) AS BIGINT) AS total_chars
 FROM r""")
 def q_a4(spark, sf):
     r = Q.response_reject_reason(prompt_response_pairs(spark, sf))

@@ -56,7 +56,7 @@ sig AS (SELECT doc_id, lang, i, min((a * h + b) % {P31}) AS v FROM h, perms GROU
 
 @register("d2_minhash_signature", f"""
 WITH {_PERMS_SQL}
-SELECT doc_id, min(v) AS sig_min, sum(v) AS sig_sum, count(*) AS n_perm FROM sig GROUP BY doc_id""")
+SELECT doc_id, min(v) AS sig_min, CAST(sum(v) AS BIGINT) AS sig_sum, count(*) AS n_perm FROM sig GROUP BY doc_id""")
 def q_d2(spark, sf):
     s = D.signatures(_docs(spark, sf), "text", "doc_id").withColumnRenamed("signature", "sig")
     return s.select("doc_id", F.array_min("sig").alias("sig_min"),

@@ -145,7 +145,7 @@ pr AS (SELECT sum(ln(matches / total)) AS log_sum, count(*) FILTER (WHERE coales
 tot AS (SELECT sum(len(ct)) AS c, sum(len(rt)) AS r FROM t),
 b AS (SELECT *, CASE WHEN c >= r THEN 1.0 WHEN c = 0 THEN 0.0 ELSE exp(1 - r / c) END AS bp FROM pr, tot)
 SELECT round(CASE WHEN zero_n > 0 THEN 0.0 ELSE bp * exp(log_sum / 4) END, 6) AS bleu, round(bp, 6) AS brevity_penalty,
-       c AS candidate_length, r AS reference_length FROM b"""
+       CAST(c AS BIGINT) AS candidate_length, CAST(r AS BIGINT) AS reference_length FROM b"""
 
 
 @register("a11_corpus_bleu", _bleu_sql())
@@ -245,11 +245,12 @@ def _scored(spark, sf):
 
 _A22_SQL = f"""
 p AS ({SQL_PAIRS}),
-s AS (SELECT conv_id, turn, category, response,
+s0 AS (SELECT conv_id, turn, category, response,
   (CASE WHEN NOT regexp_matches(response, '[#$%&*]{{3}}') THEN 1.0 ELSE 0.0 END)
   + (CASE WHEN {sql_unit('tests', 'conv_id', 'turn')} < 0.5 THEN 2.0 ELSE 0.0 END)
   + (CASE WHEN length(response) > 50 AND length(response) < 500 THEN 0.5 ELSE 0.0 END)
-  + (CASE WHEN contains(response, chr(10)) THEN 0.5 ELSE 0.0 END) AS score FROM p)"""
+  + (CASE WHEN contains(response, chr(10)) THEN 0.5 ELSE 0.0 END) AS score0 FROM p),
+s AS (SELECT *, CAST(score0 AS DOUBLE) AS score FROM s0)"""
 
 
 @register("a22_solution_score", f"""

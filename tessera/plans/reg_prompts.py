@@ -195,7 +195,7 @@ WITH m AS (SELECT b.item_id, min(d.doc_id) AS match_doc_id FROM benchmark b JOIN
            GROUP BY b.item_id),
 j AS (SELECT b.item_id, m.match_doc_id FROM benchmark b LEFT JOIN m USING (item_id)),
 r AS (SELECT *, row_number() OVER (PARTITION BY match_doc_id IS NULL ORDER BY item_id) AS k FROM j)
-SELECT item_id, match_doc_id, CASE WHEN match_doc_id IS NOT NULL THEN 'doc_' || CAST(match_doc_id AS VARCHAR)
+SELECT item_id, coalesce(match_doc_id, -1) AS match_doc_id, CASE WHEN match_doc_id IS NOT NULL THEN 'doc_' || CAST(match_doc_id AS VARCHAR)
        ELSE printf('%03d_%s', k, 'text') END AS file_name FROM r""")
 def q_j8(spark, sf):
     from tessera.plans.prefix import row_numbers
@@ -207,7 +207,8 @@ def q_j8(spark, sf):
     unmatched = row_numbers(m.where(F.col("match_doc_id").isNull()), [], ["item_id"], "k")
     matched = m.where(F.col("match_doc_id").isNotNull()).withColumn("k", F.lit(None).cast("bigint"))
     allm = matched.unionByName(unmatched)
-    return allm.select("item_id", "match_doc_id", F.when(F.col("match_doc_id").isNotNull(),
+    # -1 = no haystack contains the needle (keeps the column non-null)
+    return allm.select("item_id", F.coalesce("match_doc_id", F.lit(-1)).alias("match_doc_id"), F.when(F.col("match_doc_id").isNotNull(),
                        F.concat(F.lit("doc_"), F.col("match_doc_id").cast("string")))
                        .otherwise(F.format_string("%03d_%s", F.col("k"), F.lit("text"))).alias("file_name"))
 

@@ -210,7 +210,7 @@ def q_t6(spark, sf):
 
 
 @register("t9_token_budget", """
-SELECT lang AS language, sum(length(text)) AS n_tokens, round(sum(length(text)) / 20.0, 6) AS optimal_params
+SELECT lang AS language, CAST(sum(length(text)) AS BIGINT) AS n_tokens, round(sum(length(text)) / 20.0, 6) AS optimal_params
 FROM documents GROUP BY lang""")
 def q_t9(spark, sf):
     g = _docs(spark, sf).groupBy(F.col("lang").alias("language")).agg(F.sum(F.length("text")).alias("n_tokens"))

@@ -107,8 +107,7 @@ def _payloads(spark, sf):
 WITH {_sql_requests()[1:]},
 m AS (SELECT *, {sql_unit('malformed', 'conv_id')} < 0.05 AS bad FROM req)
 SELECT conv_id, turn, provider, CASE WHEN bad THEN NULL ELSE md5(response) END AS content_md5,
-  CASE WHEN bad THEN (CASE WHEN provider = 'anthropic' THEN NULL ELSE 0 END)
-       WHEN provider = 'local' THEN 0 ELSE input_tokens + output_tokens END AS tokens_used,
+  CASE WHEN bad OR provider = 'local' THEN 0 ELSE input_tokens + output_tokens END AS tokens_used,
   CASE WHEN bad OR provider = 'local' THEN 0 ELSE input_tokens END AS input_tokens,
   CASE WHEN bad OR provider = 'local' THEN 0 ELSE output_tokens END AS output_tokens,
   bad AS parse_error
@@ -131,7 +130,7 @@ def q_p27(spark, sf):
 
 @register("s9_metadata_sidecar", f"""
 WITH {_sql_requests()[1:]}, {_PRICES_SQL[1:]}
-SELECT count(*) AS num_examples, sum(input_tokens + output_tokens) AS total_tokens, round(sum(cost_estimate), 6) AS estimated_cost,
+SELECT count(*) AS num_examples, CAST(sum(input_tokens + output_tokens) AS BIGINT) AS total_tokens, round(sum(cost_estimate), 6) AS estimated_cost,
        'mixed' AS teacher_model, 'mixed' AS teacher_provider FROM costed""")
 def q_s9(spark, sf):
     c = TE.estimate_cost(_requests(spark, sf)).withColumn("tokens_used", F.col("input_tokens") + F.col("output_tokens"))
@@ -140,7 +139,7 @@ def q_s9(spark, sf):
 
 @register("a20_cost_projection", f"""
 WITH {_sql_requests()[1:]}
-SELECT provider, count(*) AS n_examples, round(count(*) * 0.05, 6) AS cost_low, round(count(*) * 0.15, 6) AS cost_high,
+SELECT provider, count(*) AS n_examples, CAST(round(count(*) * 0.05, 6) AS DOUBLE) AS cost_low, CAST(round(count(*) * 0.15, 6) AS DOUBLE) AS cost_high,
   CASE WHEN count(*) >= 50000 THEN 'Large' WHEN count(*) >= 10000 THEN 'Medium' WHEN count(*) >= 1000 THEN 'Small' ELSE 'Tiny' END AS size_tier
 FROM req GROUP BY provider""")
 def q_a20(spark, sf):

@@ -60,10 +60,11 @@ def test_payload_normalisation_shapes(spark):
         ("local", json.dumps({"choices": [{"message": {"content": "C"}}]})),
         ("openai", json.dumps({"choices": [], "usage": {"total_tokens": 1}})),
         ("openai", "{not json"),
+        ("anthropic", "{not json"),
     ]
     out = TE.normalize_response(spark.createDataFrame(rows, "provider string, raw string")).collect()
     assert [(r.content, r.tokens_used, r.parse_error) for r in out] == [
-        ("A", 9, False), ("B", 7, False), ("C", 0, False), (None, 1, True), (None, 0, True)]
+        ("A", 9, False), ("B", 7, False), ("C", 0, False), (None, 1, True), (None, 0, True), (None, 0, True)]
 
 
 def test_cost_known_unknown_local(spark):
