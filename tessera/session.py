@@ -37,6 +37,7 @@ def get_session(master: str | None = None, app: str = "tessera", **conf: str) ->
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -55,6 +56,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable on executors (``addPyFile`` of a zip of
+    the package, once per SparkContext) — the in-code form of ``--py-files``."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="tessera-pkg-")
+    base = shutil.make_archive(os.path.join(out_dir, "tessera"), "zip", os.path.dirname(pkg_dir), "tessera")
+    sc.addPyFile(base)
+    _SHIPPED.add(sc.applicationId)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
