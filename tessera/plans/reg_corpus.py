@@ -194,6 +194,9 @@ SELECT doc_id AS id, n_chars FROM documents
 WHERE NOT contains(text, chr(0)) AND n_chars < 2000 AND source LIKE '%1'
 ORDER BY doc_id LIMIT 40""")
 def q_s6(spark, sf):
+    """S6 is the reference's source query: not binary, size below a bound,
+    a path-suffix predicate and a LIMIT (the limit is the operator).  The
+    driver corpus has no file paths, so the suffix applies to ``source``."""
     d = table(spark, sf, "documents")
     return (d.where(~F.col("text").contains("\x00") & (F.col("n_chars") < 2000) & F.col("source").like("%1"))
             .orderBy("doc_id").limit(40).select(F.col("doc_id").alias("id"), "n_chars"))

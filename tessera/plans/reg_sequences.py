@@ -108,6 +108,8 @@ WITH t AS (SELECT doc_id, CASE WHEN length(text) = 0 THEN []::INTEGER[]
             ELSE list_transform(string_split(substring(text, 1, 100), ''), lambda c: unicode(c) % 1000) END AS ids FROM documents)
 SELECT doc_id, len(ids) AS n_tokens, CAST(coalesce(list_sum(ids), 0) AS BIGINT) AS id_sum, array_to_string(ids, ' ') AS ids FROM t""")
 def q_t8(spark, sf):
+    """T8 is the reference's stand-in tokeniser, defined on the first 100
+    characters; the chunking/packing path (W3, W4, S14) tokenises whole texts."""
     ids = S.codepoint_ids(F.col("text"))
     d = S.ids_digest(ids)
     return _docs(spark, sf).select("doc_id", d["n_tokens"].alias("n_tokens"), d["id_sum"].alias("id_sum"),
