@@ -403,3 +403,31 @@ def q_j11(spark, sf):
     return j.select("lang", F.round(F.coalesce("actual_pct", F.lit(0.0)), 6).alias("actual_pct"),
                     F.coalesce("target_pct", F.lit(0)).cast("double").alias("target_pct"),
                     F.round(F.coalesce("actual_pct", F.lit(0.0)) - F.coalesce("target_pct", F.lit(0)), 6).alias("delta_pct"))
+
+
+# --- A16: corpus metrics (samples, tokens, mean length, distribution, FIM rate) ---
+
+@register("a16_corpus_metrics", f"""
+WITH d AS (SELECT lang, length('<|lang_' || lang || '|>' || text || '<|endoftext|>') AS n_tok,
+             {sql_unit('fim:coin', 'doc_id')} <= 0.5 AND len(string_split(text, chr(10))) >= 3 AS fim FROM documents),
+g AS (SELECT coalesce(lang, '*') AS language, count(*) AS n_samples, CAST(sum(n_tok) AS BIGINT) AS n_tokens,
+             round(avg(n_tok), 6) AS mean_sequence_length,
+             round(avg(CASE WHEN fim THEN 1.0 ELSE 0.0 END), 6) AS fim_rate
+      FROM d GROUP BY ROLLUP (lang))
+SELECT *, round(n_samples / (SELECT count(*) FROM documents), 6) AS share FROM g""")
+def q_a16_metrics(spark, sf):
+    """One pass: per-language and total rows (ROLLUP); tokens are the
+    code-point tokens of the language-tagged text (P14 + T8 on whole texts)."""
+    from tessera.functions.text import line_count
+    from tessera.operators.sequences import language_tagged
+    d = table(spark, sf, "documents").select(
+        "lang", F.length(language_tagged(F.col("text"), F.col("lang"))).alias("n_tok"),
+        ((keyed_unit("fim:coin", "doc_id") <= 0.5) & (line_count("text") >= 3)).alias("fim"))
+    g = d.rollup("lang").agg(F.count("*").alias("n_samples"), F.sum("n_tok").alias("n_tokens"),
+                             F.round(F.avg("n_tok"), 6).alias("mean_sequence_length"),
+                             F.round(F.avg(F.col("fim").cast("double")), 6).alias("fim_rate"))
+    g = g.select(F.coalesce("lang", F.lit("*")).alias("language"), "n_samples", "n_tokens", "mean_sequence_length", "fim_rate")
+    from pyspark.sql import Window
+    # the rollup output has one row per language plus the total: a bounded window
+    total = F.max(F.when(F.col("language") == "*", F.col("n_samples"))).over(Window.partitionBy())
+    return g.withColumn("share", F.round(F.col("n_samples") / total, 6))
