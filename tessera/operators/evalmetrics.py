@@ -127,6 +127,9 @@ def completion_quality(df: DataFrame, prediction: str, target: str, group_cols=(
 # --- A11 corpus BLEU --------------------------------------------------------------------
 
 def _ngrams(df: DataFrame, key: str, text: str, max_n: int) -> DataFrame:
+    """``(key, n, gram)`` for n = 1..max_n over whitespace tokens (one
+    codegen'd explode per order; measured faster than a single combined
+    explode or the ML ``NGram`` transformer)."""
     toks = words(F.col(text))
     out = df.select(key, toks.alias("tok"))
     grams = []
