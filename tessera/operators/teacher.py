@@ -106,8 +106,16 @@ def estimate_cost(df: DataFrame, provider: str = "provider", model: str = "model
          .join(F.broadcast(d), F.col(provider) == F.col("_dp"), "left"))
     pin = F.coalesce("price_in", "default_in", F.lit(0.0))
     pout = F.coalesce("price_out", "default_out", F.lit(0.0))
-    cost = F.col(input_tokens) / 1000.0 * pin + F.col(output_tokens) / 1000.0 * pout
-    return j.withColumn("cost_estimate", cost).drop("_pp", "_pm", "price_in", "price_out", "_dp", "default_in", "default_out")
+    # money in exact integer units of 1e-8 (every price is a multiple of 1e-5
+    # per 1k tokens): sums are exact and order-independent across engines
+    units = (F.col(input_tokens) * F.round(pin * PRICE_SCALE).cast("bigint")
+             + F.col(output_tokens) * F.round(pout * PRICE_SCALE).cast("bigint"))
+    return (j.withColumn("cost_units", units).withColumn("cost_estimate", F.col("cost_units") / COST_UNITS)
+            .drop("_pp", "_pm", "price_in", "price_out", "_dp", "default_in", "default_out"))
+
+
+PRICE_SCALE = 100000      # price per 1k tokens -> integer
+COST_UNITS = 100000000.0  # tokens x scaled price -> currency (1000 x 1e5)
 
 
 # --- J12 routing -------------------------------------------------------------------------
@@ -172,10 +180,10 @@ def resume_worklist(existing: DataFrame, targets: DataFrame, task: str = "task_i
 # --- S9 / A20 ---------------------------------------------------------------------------------------
 
 def dataset_metadata(df: DataFrame, teacher_model: str, teacher_provider: str,
-                     tokens: str = "tokens_used", cost: str = "cost_estimate") -> DataFrame:
-    """One-row sidecar: count, total tokens, cost, teacher."""
+                     tokens: str = "tokens_used", cost_units: str = "cost_units") -> DataFrame:
+    """One-row sidecar: count, total tokens, cost (exact unit sum), teacher."""
     return df.agg(F.count("*").alias("num_examples"), F.sum(tokens).alias("total_tokens"),
-                  F.round(F.sum(cost), 6).alias("estimated_cost")).select(
+                  (F.sum(cost_units) / COST_UNITS).alias("estimated_cost")).select(
         "*", F.lit(teacher_model).alias("teacher_model"), F.lit(teacher_provider).alias("teacher_provider"))
 
 

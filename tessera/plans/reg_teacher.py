@@ -51,8 +51,8 @@ prices AS (SELECT * FROM (VALUES ('openai', 'gpt-4', 0.03, 0.06), ('openai', 'gp
    ('anthropic', 'claude-3-sonnet-20240229', 0.003, 0.015), ('anthropic', 'claude-3-haiku-20240307', 0.00025, 0.00125))
    v(provider, model, price_in, price_out)),
 defaults AS (SELECT * FROM (VALUES ('openai', 0.01, 0.03), ('anthropic', 0.003, 0.015)) v(provider, default_in, default_out)),
-costed AS (SELECT req.*, input_tokens / 1000.0 * coalesce(price_in, default_in, 0.0)
-                         + output_tokens / 1000.0 * coalesce(price_out, default_out, 0.0) AS cost_estimate
+costed AS (SELECT req.*, input_tokens * CAST(round(coalesce(price_in, default_in, 0.0) * 100000) AS BIGINT)
+                         + output_tokens * CAST(round(coalesce(price_out, default_out, 0.0) * 100000) AS BIGINT) AS cost_units
            FROM req LEFT JOIN prices USING (provider, model) LEFT JOIN defaults USING (provider))"""
 
 
@@ -122,15 +122,15 @@ def q_p26(spark, sf):
 
 @register("p27_cost_estimate", f"""
 WITH {_sql_requests()[1:]}, {_PRICES_SQL[1:]}
-SELECT conv_id, turn, provider, model, round(cost_estimate, 9) AS cost_estimate FROM costed""")
+SELECT conv_id, turn, provider, model, cost_units, cost_units / 100000000.0 AS cost_estimate FROM costed""")
 def q_p27(spark, sf):
     c = TE.estimate_cost(_requests(spark, sf))
-    return c.select("conv_id", "turn", "provider", "model", F.round("cost_estimate", 9).alias("cost_estimate"))
+    return c.select("conv_id", "turn", "provider", "model", "cost_units", "cost_estimate")
 
 
 @register("s9_metadata_sidecar", f"""
 WITH {_sql_requests()[1:]}, {_PRICES_SQL[1:]}
-SELECT count(*) AS num_examples, CAST(sum(input_tokens + output_tokens) AS BIGINT) AS total_tokens, round(sum(cost_estimate), 6) AS estimated_cost,
+SELECT count(*) AS num_examples, CAST(sum(input_tokens + output_tokens) AS BIGINT) AS total_tokens, sum(cost_units) / 100000000.0 AS estimated_cost,
        'mixed' AS teacher_model, 'mixed' AS teacher_provider FROM costed""")
 def q_s9(spark, sf):
     c = TE.estimate_cost(_requests(spark, sf)).withColumn("tokens_used", F.col("input_tokens") + F.col("output_tokens"))
