@@ -19,6 +19,7 @@ Scale notes
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from dataclasses import dataclass
 
@@ -138,16 +139,39 @@ def band_buckets(df: DataFrame, id_col: str, sig: str = "signature", bands: int
                            F.xxhash64(*[F.col(s) for s in scope], F.col("band"), part).alias("bucket"))
 
 
+@functools.lru_cache(maxsize=64)
+def lsh_params(threshold: float, num_perm: int, fp_weight: float = 0.5, fn_weight: float = 0.5) -> tuple[int, int]:
+    """(bands, rows) with bands*rows <= num_perm minimising the weighted
+    false-positive area below ``threshold`` plus the false-negative area above
+    it under the LSH S-curve P(s) = 1 - (1 - s^rows)^bands.  (0.85, 128) -> (8, 16)."""
+    best = None
+    s_lo = np.linspace(0.0, threshold, 1001)
+    s_hi = np.linspace(threshold, 1.0, 1001)
+    for b in range(1, num_perm + 1):
+        for r in range(1, num_perm // b + 1):
+            fp = np.trapezoid(1 - (1 - s_lo ** r) ** b, s_lo)
+            fn = np.trapezoid((1 - s_hi ** r) ** b, s_hi)
+            err = fp_weight * fp + fn_weight * fn
+            if best is None or err < best[0]:
+                best = (err, b, r)
+    return best[1], best[2]
+
+
 @dataclass(frozen=True)
 class NearDup:
     threshold: float = K.NEAR_DUP_THRESHOLD
     num_perm: int = K.NUM_PERM
-    bands: int = 8
-    rows: int = 16
+    bands: int | None = None  # None: derived from threshold (lsh_params)
+    rows: int | None = None
     mode: str = "first_wins"  # or "component"
-    max_rounds: int = 50
+    max_rounds: int = 200
     checkpoint_every: int = 1
 
+    def band_rows(self) -> tuple[int, int]:
+        if self.bands is not None and self.rows is not None:
+            return self.bands, self.rows
+        return lsh_params(self.threshold, self.num_perm)
+
 
 def _multi_member(members: DataFrame, id_col: str) -> DataFrame:
     """Keep only buckets with at least two members (others decide nothing)."""
@@ -228,7 +252,8 @@ def near_dup(df: DataFrame, text: str, id_col: str, scope=(), p: NearDup = NearD
     sigs = signatures(df, text, id_col, scope, p.num_perm)
     # persist the compact (id, band, bucket) table once: the signature UDF runs
     # a single time, and the loop below reads ~128 bytes per document
-    all_members = cut_lineage(band_buckets(sigs, id_col, "signature", p.bands, p.rows, scope))
+    bands, rows = p.band_rows()
+    all_members = cut_lineage(band_buckets(sigs, id_col, "signature", bands, rows, scope))
     members = cut_lineage(_multi_member(all_members, id_col))
     if p.mode == "component":
         decided = components(members, id_col, p.max_rounds)

@@ -92,3 +92,10 @@ def q_d4_rate(spark, sf):
     """Per-language near-dup rate (scope = language)."""
     out = D.near_dup(_docs(spark, sf), "text", "doc_id", ["lang"], D.NearDup(mode="first_wins"))
     return D.dedup_rate(out.withColumnRenamed("lang", "language"), "near_dup_kept", ["language"])
+
+
+@register("d3_near_dup_threshold_07")
+def q_d3_t07(spark, sf):
+    """Second threshold (0.7): bands x rows derived from the threshold."""
+    out = D.near_dup(_docs(spark, sf), "text", "doc_id", ["lang"], D.NearDup(threshold=0.7))
+    return out.select("doc_id", "lang", "near_dup_kept")

@@ -80,3 +80,9 @@ def test_minhash_is_set_semantics(spark):
     rows = {r.id: r.s for r in df.select("id", D.minhash_signature(F.col("t")).alias("s")).collect()}
     assert rows[1] == rows[2] and len(rows[1]) == 128
     assert rows[3] is None
+
+
+def test_lsh_params_from_threshold():
+    assert D.lsh_params(0.85, 128) == (8, 16)
+    b, r = D.lsh_params(0.7, 128)
+    assert b * r <= 128 and r < 16  # a lower threshold needs shorter bands
