@@ -172,11 +172,13 @@ def route_answers(df: DataFrame, rules: DataFrame, prompt: str = "prompt", categ
     """First rule (by priority) of the row's category whose needle occurs
     in lower(prompt); ``placeholder`` when none; null for placeholder prompts.
 
-    ``rules(category, priority, needle, template_id)`` is configuration — a
-    bounded table, broadcast; the join is on category with a residual.
+    ``rules(category, priority, needle, template_id)`` is configuration,
+    broadcast when a count proves it small; the join is on category with a
+    ``contains`` residual.
     """
+    from tessera.plans.joins import broadcast_if_small
     low = df.select(key, category, F.lower(F.col(prompt)).alias("_low"))
-    hits = (low.join(F.broadcast(rules), category)
+    hits = (low.join(broadcast_if_small(rules), category)
             .where(F.col("_low").contains(F.col("needle")))
             .groupBy(key).agg(F.min_by("template_id", F.struct("priority", "needle")).alias("template_id")))
     out = df.join(hits, key, "left")
@@ -438,10 +440,11 @@ def _candidates(nd, hay, needle_key, hay_key, scope, k, window):
 
 def generate_prompts(ids: DataFrame, templates: DataFrame, id_col: str = "id", seed: str = "prompts") -> DataFrame:
     """M3: per id, a keyed uniform template (by index) and keyed option per
-    variable.  ``templates(t_idx, category, template, variables)`` is bounded
-    configuration (broadcast)."""
+    variable.  ``templates(t_idx, category, template, variables)`` is
+    configuration (broadcast when a count proves it small)."""
+    from tessera.plans.joins import broadcast_if_small
     n_t = templates.count()
     picked = ids.withColumn("t_idx", keyed_pick(seed + ":template", n_t, id_col))
-    j = picked.join(F.broadcast(templates), "t_idx")
+    j = picked.join(broadcast_if_small(templates), "t_idx")
     chosen = choose_options(F.col("variables"), seed + ":option", F.col(id_col))
     return j.withColumn("prompt", fill_template(F.col("template"), chosen))

@@ -399,7 +399,7 @@ def q_j11(spark, sf):
     a = table(spark, sf, "documents").groupBy("lang").agg(F.count("*").alias("n"))
     act = a.select("lang", (100.0 * F.col("n") / F.sum("n").over(Window.partitionBy())).alias("actual_pct"))
     t = spark.createDataFrame(_TARGET_MIX, "lang string, target_pct int")
-    j = act.join(F.broadcast(t), "lang", "full_outer")
+    j = act.join(t, "lang", "full_outer")  # both sides: one row per language
     return j.select("lang", F.round(F.coalesce("actual_pct", F.lit(0.0)), 6).alias("actual_pct"),
                     F.coalesce("target_pct", F.lit(0)).cast("double").alias("target_pct"),
                     F.round(F.coalesce("actual_pct", F.lit(0.0)) - F.coalesce("target_pct", F.lit(0)), 6).alias("delta_pct"))
