@@ -240,3 +240,22 @@ def license_policy(df: DataFrame, text: str = "content", rules=LICENSE_RULES, al
     allowed = [label for label, ok, _ in rules if ok] + (["none"] if allow_unlicensed else [])
     out = df.withColumn("license", license_label(F.col(text), rules))
     return out.withColumn("license_ok", F.col("license").isin(allowed))
+
+
+# --- user hooks (the reference lets users swap a completion filter) -----------
+
+def custom_reject_reason(df: DataFrame, rules, base_reason: str | None = "reject_reason") -> DataFrame:
+    """Append user rules — ``[(name, failed: Column), ...]`` checked in order —
+    after the reasons already in ``base_reason`` (first reason wins)."""
+    checks = [(F.col(base_reason).isNotNull(), None)] if base_reason and base_reason in df.columns else []
+    expr = None
+    for failed, name in checks + [(c, n) for n, c in rules]:
+        label = F.col(base_reason) if name is None else F.lit(name)
+        expr = F.when(failed, label) if expr is None else expr.when(failed, label)
+    out = expr.otherwise(F.lit(None).cast("string")) if expr is not None else F.lit(None).cast("string")
+    return df.withColumn(base_reason or "reject_reason", out)
+
+
+def split_rejects(df: DataFrame, reason: str = "reject_reason") -> tuple[DataFrame, DataFrame]:
+    """(kept rows, rejects table with their reason) — nothing is dropped silently."""
+    return df.where(F.col(reason).isNull()).drop(reason), df.where(F.col(reason).isNotNull())
