@@ -246,9 +246,24 @@ def components(members: DataFrame, id_col: str, max_rounds: int = 50) -> DataFra
 def near_dup(df: DataFrame, text: str, id_col: str, scope=(), p: NearDup = NearDup()) -> DataFrame:
     """Adds ``near_dup_kept`` to every row of ``df``.
 
-    Rows without tokens, and rows sharing no bucket with anyone, are kept.
+    Exact copies are resolved first (D1, skew-safe): a later copy shares
+    every band bucket with its first occurrence, so under first-wins it is
+    always dropped and in component mode it joins that component — removing
+    copies before LSH changes no verdict but keeps a group of copies (which
+    may be a third of the corpus) out of the bucket rounds.  Rows without
+    tokens go through exact dedup only; rows sharing no bucket are kept.
     """
     scope = list(scope)
+    flagged = exact_dedup_flags(df.select(id_col, *scope, text), text, id_col, scope)
+    firsts = flagged.where("is_first").select(id_col, *scope, text)
+    copies = flagged.where(~F.col("is_first")).select(id_col, F.lit(False).alias("kept"))
+    result = _near_dup_firsts(firsts, text, id_col, scope, p).unionByName(copies)
+    return (df.join(result.select(id_col, F.col("kept").alias("near_dup_kept")), id_col, "left")
+            .withColumn("near_dup_kept", F.coalesce(F.col("near_dup_kept"), F.lit(True))))
+
+
+def _near_dup_firsts(df: DataFrame, text: str, id_col: str, scope, p: NearDup) -> DataFrame:
+    """``(id, kept)`` for candidate ids among distinct texts."""
     sigs = signatures(df, text, id_col, scope, p.num_perm)
     # persist the compact (id, band, bucket) table once: the signature UDF runs
     # a single time, and the loop below reads ~128 bytes per document
@@ -259,8 +274,7 @@ def near_dup(df: DataFrame, text: str, id_col: str, scope=(), p: NearDup = NearD
         decided = components(members, id_col, p.max_rounds)
     else:
         decided = first_wins(members, id_col, p.max_rounds, p.checkpoint_every)
-    return (df.join(decided.select(id_col, F.col("kept").alias("near_dup_kept")), id_col, "left")
-            .withColumn("near_dup_kept", F.coalesce(F.col("near_dup_kept"), F.lit(True))))
+    return decided.select(id_col, "kept")
 
 
 def earlier_collisions(df: DataFrame, text: str, id_col: str, scope=(), bands: int = 8, rows: int = 16,
