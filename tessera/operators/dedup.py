@@ -125,17 +125,18 @@ def signatures(df: DataFrame, text: str, id_col: str, scope=(), num_perm: int =
     filtering on the UDF's output would let Catalyst push that filter below
     an exchange and evaluate the UDF twice."""
     return (df.where(F.size(words(F.col(text))) > 0)
-            .select(id_col, *scope, minhash_signature(F.col(text), num_perm).alias("signature")))
+            .select(id_col, *scope, F.sha2(F.col(text), 256).alias("content_hash"),
+                    minhash_signature(F.col(text), num_perm).alias("signature")))
 
 
 def band_buckets(df: DataFrame, id_col: str, sig: str = "signature", bands: int = 8, rows: int = 16,
-                 scope=()) -> DataFrame:
-    """Explode a (non-null) signature into ``(id, band, bucket)`` membership rows."""
-    scope = list(scope)
+                 scope=(), carry=()) -> DataFrame:
+    """Explode a (non-null) signature into ``(id, band, bucket, carry...)`` membership rows."""
+    scope, carry = list(scope), [c for c in carry]
     b = F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band")
-    exploded = df.select(id_col, *scope, sig, b)
+    exploded = df.select(id_col, *dict.fromkeys(scope + carry), sig, b)
     part = F.slice(F.col(sig), F.col("band") * rows + 1, rows)
-    return exploded.select(id_col, "band",
+    return exploded.select(id_col, "band", *carry,
                            F.xxhash64(*[F.col(s) for s in scope], F.col("band"), part).alias("bucket"))
 
 
@@ -246,35 +247,32 @@ def components(members: DataFrame, id_col: str, max_rounds: int = 50) -> DataFra
 def near_dup(df: DataFrame, text: str, id_col: str, scope=(), p: NearDup = NearDup()) -> DataFrame:
     """Adds ``near_dup_kept`` to every row of ``df``.
 
-    Exact copies are resolved first (D1, skew-safe): a later copy shares
+    Exact copies are resolved on the narrow band table: a later copy shares
     every band bucket with its first occurrence, so under first-wins it is
-    always dropped and in component mode it joins that component — removing
-    copies before LSH changes no verdict but keeps a group of copies (which
-    may be a third of the corpus) out of the bucket rounds.  Rows without
-    tokens go through exact dedup only; rows sharing no bucket are kept.
+    always dropped and in component mode it joins that component.  Taking
+    copies out before the bucket rounds changes no verdict but keeps a group
+    of copies (possibly a third of the corpus) out of every bucket; only
+    ``(id, scope, hash)`` moves, never the text.  Rows without tokens, and
+    rows sharing no bucket with anyone, are kept.
     """
     scope = list(scope)
-    flagged = exact_dedup_flags(df.select(id_col, *scope, text), text, id_col, scope)
-    firsts = flagged.where("is_first").select(id_col, *scope, text)
-    copies = flagged.where(~F.col("is_first")).select(id_col, F.lit(False).alias("kept"))
-    result = _near_dup_firsts(firsts, text, id_col, scope, p).unionByName(copies)
-    return (df.join(result.select(id_col, F.col("kept").alias("near_dup_kept")), id_col, "left")
-            .withColumn("near_dup_kept", F.coalesce(F.col("near_dup_kept"), F.lit(True))))
-
-
-def _near_dup_firsts(df: DataFrame, text: str, id_col: str, scope, p: NearDup) -> DataFrame:
-    """``(id, kept)`` for candidate ids among distinct texts."""
     sigs = signatures(df, text, id_col, scope, p.num_perm)
-    # persist the compact (id, band, bucket) table once: the signature UDF runs
-    # a single time, and the loop below reads ~128 bytes per document
     bands, rows = p.band_rows()
-    all_members = cut_lineage(band_buckets(sigs, id_col, "signature", bands, rows, scope))
-    members = cut_lineage(_multi_member(all_members, id_col))
+    # persist the compact (id, band, bucket, hash) table once: the signature
+    # UDF runs a single time, and the rounds read a few dozen bytes per band
+    all_members = cut_lineage(band_buckets(sigs, id_col, "signature", bands, rows, scope, carry=[*scope, "content_hash"]))
+    winners = all_members.groupBy(*scope, "content_hash").agg(F.min(id_col).alias(id_col))
+    first_members = all_members.join(winners, [*scope, "content_hash", id_col], "left_semi").select(id_col, "band", "bucket")
+    copies = (all_members.select(id_col).distinct().join(winners.select(id_col), id_col, "left_anti")
+              .withColumn("kept", F.lit(False)))
+    members = cut_lineage(_multi_member(first_members, id_col))
     if p.mode == "component":
-        decided = components(members, id_col, p.max_rounds)
+        decided = components(members, id_col, p.max_rounds).select(id_col, "kept")
     else:
         decided = first_wins(members, id_col, p.max_rounds, p.checkpoint_every)
-    return decided.select(id_col, "kept")
+    result = decided.unionByName(copies)
+    return (df.join(result.select(id_col, F.col("kept").alias("near_dup_kept")), id_col, "left")
+            .withColumn("near_dup_kept", F.coalesce(F.col("near_dup_kept"), F.lit(True))))
 
 
 def earlier_collisions(df: DataFrame, text: str, id_col: str, scope=(), bands: int = 8, rows: int = 16,
