@@ -63,3 +63,17 @@ def test_run_monitor_restart_from_checkpoint(spark):
     run()  # restart: state (running cost, previous loss, best) comes from the checkpoint
     got = sorted((r.kind, r.event_id) for r in spark.read.parquet(f"{base}/out").collect())
     assert got == [("budget_breach", 3), ("loss_spike", 2), ("loss_spike", 4), ("new_best", 0), ("new_best", 1), ("new_best", 3)]
+
+
+def test_progress_sink_appends_per_batch_idempotently(spark):
+    from tessera.sources.files import progress_sink
+    base = S.scratch(spark, "t-s12")
+    schema = "k long, v double"
+    for i in range(3):
+        spark.createDataFrame([(i, float(i))], schema).coalesce(1).write.parquet(f"{base}/in/seq={i}")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    S.run_available_now(progress_sink(stream, f"{base}/out"), f"{base}/ckpt")
+    S.run_available_now(progress_sink(stream, f"{base}/out"), f"{base}/ckpt")  # restart: nothing replays twice
+    out = spark.read.parquet(f"{base}/out")
+    assert sorted(r.k for r in out.collect()) == [0, 1, 2]
+    assert out.select("batch_id").distinct().count() == 3
