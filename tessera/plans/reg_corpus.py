@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import constants as K
-from tessera.functions.hashing import keyed_u32, keyed_unit, sql_u32, sql_unit
+from tessera.functions.hashing import keyed_unit, sql_u32, sql_unit
 from tessera.operators import quality as Q
 from tessera.operators import sampling as M
 from tessera.plans.adapters import SQL_CODE_RECORDS, SQL_PAIRS, code_records, prompt_response_pairs, table

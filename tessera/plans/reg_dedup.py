@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.text import words
 from tessera.operators import dedup as D
 from tessera.plans.adapters import table
 from tessera.plans.registry import register

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import constants as K
-from tessera.functions.hashing import keyed_pick, sql_u32
+from tessera.functions.hashing import sql_u32
 from tessera.operators import prompts as P
 from tessera.plans.adapters import SQL_PAIRS, prompt_response_pairs, table
 from tessera.plans.registry import register
