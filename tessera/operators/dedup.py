@@ -180,7 +180,8 @@ def _multi_member(members: DataFrame, id_col: str) -> DataFrame:
     return members.join(sizes.where("n > 1").select("bucket"), "bucket", "left_semi")
 
 
-def first_wins(members: DataFrame, id_col: str, max_rounds: int = 200, checkpoint_every: int = 1) -> DataFrame:
+def first_wins(members: DataFrame, id_col: str, max_rounds: int = 200, checkpoint_every: int = 1,
+               stats: dict | None = None) -> DataFrame:
     """Reference LSH semantics without pairs: ``(id, kept)`` for candidate ids.
 
     Per round, per bucket: ``min_live`` (smallest id not yet dropped) and
@@ -212,6 +213,8 @@ def first_wins(members: DataFrame, id_col: str, max_rounds: int = 200, checkpoin
                              .otherwise(F.lit("U")).alias("state")))
         new_state = cut_lineage(new_state)
         still = new_state.where(F.col("state") == "U").select(id_col)
+        if stats is not None:
+            stats["rounds"] = rnd + 1
         if still.limit(1).count() == 0:
             status = new_state
             break
@@ -244,7 +247,8 @@ def components(members: DataFrame, id_col: str, max_rounds: int = 50) -> DataFra
     return label.select(id_col, "label", (F.col("label") == F.col(id_col)).alias("kept"))
 
 
-def near_dup(df: DataFrame, text: str, id_col: str, scope=(), p: NearDup = NearDup()) -> DataFrame:
+def near_dup(df: DataFrame, text: str, id_col: str, scope=(), p: NearDup = NearDup(),
+             stats: dict | None = None) -> DataFrame:
     """Adds ``near_dup_kept`` to every row of ``df``.
 
     Exact copies are resolved on the narrow band table: a later copy shares
@@ -266,10 +270,14 @@ def near_dup(df: DataFrame, text: str, id_col: str, scope=(), p: NearDup = NearD
     copies = (all_members.select(id_col).distinct().join(winners.select(id_col), id_col, "left_anti")
               .withColumn("kept", F.lit(False)))
     members = cut_lineage(_multi_member(first_members, id_col))
+    if stats is not None:  # scalars for benchmark notes (two small actions)
+        stats["candidate_memberships"] = members.count()
+        stats["candidate_docs"] = members.select(id_col).distinct().count()
+        stats["bands"], stats["rows"] = bands, rows
     if p.mode == "component":
         decided = components(members, id_col, p.max_rounds).select(id_col, "kept")
     else:
-        decided = first_wins(members, id_col, p.max_rounds, p.checkpoint_every)
+        decided = first_wins(members, id_col, p.max_rounds, p.checkpoint_every, stats)
     result = decided.unionByName(copies)
     return (df.join(result.select(id_col, F.col("kept").alias("near_dup_kept")), id_col, "left")
             .withColumn("near_dup_kept", F.coalesce(F.col("near_dup_kept"), F.lit(True))))
