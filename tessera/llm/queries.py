@@ -40,3 +40,17 @@ def op3_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_gam.with_quality(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register("op1_toxicity_neighbours")
+def op1_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels with crc32(doc_id) mod 4 = 2 are
+    never learned from.  A null doc_id has no fold and counts as not held out."""
+    from tessera.llm import toxicity
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    index = toxicity.build_index(docs, labels.where(_fold(4) != 2))
+    judged = toxicity.with_toxicity(docs.select("doc_id", "text"), index)
+    score = F.col("toxicity.score")
+    return judged.select("doc_id", F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"), score.alias("score"),
+                         (score >= 0.3).cast("int").alias("predicted"), F.col("toxicity.neighbours").alias("neighbours"),
+                         F.col("toxicity.evidence").alias("evidence"))
