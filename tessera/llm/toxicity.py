@@ -66,8 +66,11 @@ class ExampleIndex:
         bound = sum(self.maxima[t] * w for t, w in vector.items())
         best: list[tuple[float, int]] = []
         for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best) == self.k and bound[b] < -best[-1][0] - 1e-12):
+            full = len(best) == self.k
+            if bound[b] <= 0 or (full and bound[b] < -best[-1][0] - 1e-12):
                 break
+            if full and bound[b] <= -best[-1][0] and b * self.block_size > best[-1][1]:
+                continue  # could only tie, and ties go to the lower place
             score = np.zeros(self.block_size)
             for t, w in vector.items():
                 if (posting := self.blocks[b].get(t)) is not None:
@@ -103,10 +106,13 @@ def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, np.array([(p[1] + 0.5) / (p[2] + 1.0) for p in pools])
 
 
-def _select_terms(sample: DataFrame, min_chi2: float, min_texts: int, max_terms: int) -> list[str]:
+def _select_terms(sample: DataFrame, min_chi2: float, min_phi2: float, min_texts: int,
+                  min_share: float, max_terms: int) -> list[str]:
     """Terms that go with the label.  Counts are of distinct least hashes of
     word triples, which copies and near copies of a text share, so a copied text
-    counts about once."""
+    counts about once.  A term must occur in ``min_share`` of a class's texts: a
+    rare word of a few texts says nothing about others.  ``min_phi2`` (chi-squared
+    over rows) drops weak associations that a large sample makes significant."""
 
     @F.pandas_udf("struct<t: array<string>, h: long>")
     def distinct(s: pd.Series) -> pd.DataFrame:
@@ -126,7 +132,8 @@ def _select_terms(sample: DataFrame, min_chi2: float, min_texts: int, max_terms:
     per = (held.select("__y", "h", F.explode("t").alias("term")).groupBy("term")
            .agg(F.countDistinct(F.when(F.col("__y") == 1, F.col("h"))).cast("double").alias("a"),
                 F.countDistinct(F.when(F.col("__y") == 0, F.col("h"))).cast("double").alias("b")))
-    top = (per.where((a + b >= min_texts) & (chi2 >= min_chi2)).orderBy(chi2.desc(), "term").limit(max_terms))
+    common = (a >= max(min_texts, min_share * n1)) | (b >= max(min_texts, min_share * n0))
+    top = (per.where(common & (chi2 >= max(min_chi2, min_phi2 * (n1 + n0)))).orderBy(chi2.desc(), "term").limit(max_terms))
     return [r["term"] for r in top.select("term").collect()]
 
 
@@ -157,11 +164,12 @@ def document_frequencies(docs: DataFrame, terms: dict[str, int]) -> tuple[np.nda
 
 
 def build_index(docs: DataFrame, labels: DataFrame, target: str = "toxic", sample_rows: int = 20000, k: int = 16,
-                block_size: int = 64, min_chi2: float = 20.0, min_texts: int = 3, max_terms: int = 1024) -> ExampleIndex:
+                block_size: int = 64, min_chi2: float = 20.0, min_phi2: float = 0.01,
+                min_texts: int = 3, min_share: float = 0.02, max_terms: int = 1024) -> ExampleIndex:
     """Index over at most ``sample_rows`` labelled documents, which is all that
     reaches the driver (as sparse vectors over ``max_terms`` terms)."""
     sample = training_rows(docs, labels, target, sample_rows)
-    chosen = _select_terms(sample, min_chi2, min_texts, max_terms)
+    chosen = _select_terms(sample, min_chi2, min_phi2, min_texts, min_share, max_terms)
     terms = {t: i for i, t in enumerate(chosen)}
     df, total = document_frequencies(docs, terms)
     idf = np.log((1.0 + total) / (1.0 + df)) + 1.0
