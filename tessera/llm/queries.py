@@ -54,3 +54,19 @@ def op1_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"), score.alias("score"),
                          (score >= 0.3).cast("int").alias("predicted"), F.col("toxicity.neighbours").alias("neighbours"),
                          F.col("toxicity.evidence").alias("evidence"))
+
+
+@register("op4_secret_battery")
+def op4_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule spans and randomness-battery spans of every document."""
+    from tessera.llm import secret_scan as S
+    found = S.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "spans")
+
+    def of(kind: str):
+        return F.filter("spans", lambda r: r["rank"] == S.KINDS[kind])
+
+    base = F.filter("spans", lambda r: r["rank"] != S.KINDS["random"])
+    return found.select(
+        "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(S.span_text(base), 256).alias("base_sha256"), S.span_text(F.col("spans")).alias("spans"),
+        F.size(of("random")).cast("long").alias("n_random"))
