@@ -70,3 +70,10 @@ def op4_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
         F.sha2(S.span_text(base), 256).alias("base_sha256"), S.span_text(F.col("spans")).alias("spans"),
         F.size(of("random")).cast("long").alias("n_random"))
+
+
+@register("op5_source_mix")
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from every document."""
+    from tessera.llm import mixing
+    return mixing.mix(table(spark, sf_dir, "documents"))
