@@ -114,14 +114,21 @@ def _select_terms(sample: DataFrame, min_chi2: float, min_phi2: float, min_texts
     rare word of a few texts says nothing about others.  ``min_phi2`` (chi-squared
     over rows) drops weak associations that a large sample makes significant."""
 
-    @F.pandas_udf("struct<t: array<string>, h: long>")
-    def distinct(s: pd.Series) -> pd.DataFrame:
-        words = [terms_of(t) for t in s]
-        least = [min((zlib.crc32(" ".join(w[i:i + 3]).encode("utf-8", "surrogatepass")) for i in range(max(1, len(w) - 2))))
-                 for w in words]
-        return pd.DataFrame({"t": [sorted(set(w)) for w in words], "h": least})
-
-    held = sample.select("__y", distinct("__text").alias("d")).select("__y", "d.t", "d.h").where(F.size("t") > 0)
+    def distinct(batches):
+        for pdf in batches:
+            for at in range(0, len(pdf), 200):  # a few texts at a time bounds the rows held
+                label, least, term = [], [], []
+                for y, text in zip(pdf["__y"].iloc[at:at + 200].tolist(), pdf["__text"].iloc[at:at + 200]):
+                    if words := terms_of(text):
+                        h = min(zlib.crc32(" ".join(words[i:i + 3]).encode("utf-8", "surrogatepass"))
+                                for i in range(max(1, len(words) - 2)))
+                        own = set(words)
+                        label += [y] * len(own)
+                        least += [h] * len(own)
+                        term += own
+                yield pd.DataFrame({"__y": label, "h": least, "term": term})
+
+    held = sample.select("__y", "__text").mapInPandas(distinct, "__y int, h long, term string")
     n = {r["__y"]: r["n"] for r in held.groupBy("__y").agg(F.countDistinct("h").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
@@ -129,7 +136,7 @@ def _select_terms(sample: DataFrame, min_chi2: float, min_phi2: float, min_texts
     a, b = F.col("a"), F.col("b")
     c, d = F.lit(n1) - a, F.lit(n0) - b
     chi2 = (n1 + n0) * F.pow(a * d - b * c, 2) / (F.lit(float(n1) * n0) * (a + b) * (c + d + 1e-9))
-    per = (held.select("__y", "h", F.explode("t").alias("term")).groupBy("term")
+    per = (held.groupBy("term")
            .agg(F.countDistinct(F.when(F.col("__y") == 1, F.col("h"))).cast("double").alias("a"),
                 F.countDistinct(F.when(F.col("__y") == 0, F.col("h"))).cast("double").alias("b")))
     common = (a >= max(min_texts, min_share * n1)) | (b >= max(min_texts, min_share * n0))
