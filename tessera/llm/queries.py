@@ -77,3 +77,10 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document."""
     from tessera.llm import mixing
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@register("op7_ngram_jaccard")
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-copy classes of all documents: word 4-grams, Jaccard >= 0.85."""
+    from tessera.llm import ngram_join
+    return ngram_join.near_copy_classes(table(spark, sf_dir, "documents"), words=4, threshold=(85, 100))
