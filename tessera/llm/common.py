@@ -11,7 +11,7 @@ from tessera.session import scratch_path
 
 # White space of every word rule here; Java and Python regex syntax alike.
 SPACE = r"\x20\x09-\x0D"
-RADIX = 512
+RADIX_BITS = 9
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,14 +37,14 @@ def running_total(df: DataFrame, group: list[str], order: str, value: str, out:
     """Exclusive running sum of ``value`` by ``order`` (a long) within ``group``.
 
     A window over a whole group would put a hot group into one task.  Here
-    the order key is cut into digits of base ``RADIX``: rows are summed within
+    the order key is cut into digits of base 512: rows are summed within
     ``(group, order div 512)``, those buckets within ``order div 512^2``, and
     so on, so a window holds at most 512 distinct keys whatever the group's
     size (the last level holds ``max(order) / 512^levels`` buckets).  The cut
     depends on the key alone, never on row counts.  Null keys form a bucket
     that comes first; rows with one key are ordered by ``ties``.
     """
-    return _running(df, group, F.floor(F.col(order) / F.lit(RADIX)), [order, *ties], value, out, levels)
+    return _running(df, group, F.shiftright(order, RADIX_BITS), [order, *ties], value, out, levels)
 
 
 def _running(df: DataFrame, group: list[str], bucket: Column, order: list[str], value: str, out: str,
@@ -54,7 +54,7 @@ def _running(df: DataFrame, group: list[str], bucket: Column, order: list[str],
     b, total, base = f"__b{levels}", f"__v{levels}", f"__o{levels}"
     rows = df.withColumn(b, bucket)
     sums = rows.groupBy(*group, b).agg(F.sum(value).alias(total))
-    sums = _running(sums, group, F.floor(F.col(b) / F.lit(RADIX)), [b], total, base, levels - 1)
+    sums = _running(sums, group, F.shiftright(b, RADIX_BITS), [b], total, base, levels - 1)
     sums = sums.select(*[F.col(c).alias(f"__k_{c}") for c in [*group, b]], base)
     rows = rows.withColumn(out, _before(value, [*group, b], order))
     on = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in [*group, b]]
@@ -69,3 +69,19 @@ def _before(value: str, group: list[str], order: list[str]) -> Column:
     w = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     w = w.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(value).over(w), F.lit(0))
+
+
+def successors(keys: DataFrame, col: str, levels: int = 2) -> DataFrame:
+    """(key, next): the next greater value of each distinct ``col``, null for the
+    greatest, by windows over 512 neighbouring values as in ``running_total``."""
+    def step(rows: DataFrame, left: int) -> DataFrame:
+        if left == 0:
+            return rows.withColumn("next", F.lead("key").over(Window.partitionBy(F.lit(0)).orderBy("key")))
+        rows = rows.withColumn("b", F.shiftright("key", RADIX_BITS))
+        near = rows.withColumn("next", F.lead("key").over(Window.partitionBy("b").orderBy("key")))
+        least = rows.groupBy("b").agg(F.min("key").alias("least"))
+        after = step(least.select(F.col("b").alias("key")), left - 1).select(F.col("key").alias("b"), F.col("next").alias("nb"))
+        after = after.join(least.select(F.col("b").alias("nb"), F.col("least").alias("after")), "nb").select("b", "after")
+        return near.join(after, "b", "left").select("key", F.coalesce("next", "after").alias("next"))
+
+    return step(keys.select(F.col(col).alias("key")).distinct(), levels)

@@ -84,3 +84,43 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-copy classes of all documents: word 4-grams, Jaccard >= 0.85."""
     from tessera.llm import ngram_join
     return ngram_join.near_copy_classes(table(spark, sf_dir, "documents"), words=4, threshold=(85, 100))
+
+
+def _op2_sql(k: int = 128) -> str:
+    """The sketches, edits and likenesses of op2 in DuckDB SQL."""
+    ws = r"[\x20\x09-\x0D]+"
+
+    def sketch(text: str) -> str:
+        words = f"list_filter(regexp_split_to_array(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{ws}'), lambda w: w <> '')"
+        return (f"(SELECT list_sort(list_distinct(list_transform(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) "
+                f"WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE CAST([] AS VARCHAR[]) END, lambda s: md5(s)[1:15])))[1:{k}] FROM (SELECT {words} AS w))")
+
+    def near(a: str, b: str) -> str:
+        u = f"list_sort(list_distinct(list_concat({a}, {b})))[1:{k}]"
+        return f"CASE WHEN len({u}) = 0 THEN 1.0 ELSE len(list_filter({u}, lambda h: list_contains({a}, h) AND list_contains({b}, h))) / CAST(len({u}) AS DOUBLE) END"
+
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+x AS (SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS nx FROM d),
+e AS (SELECT *, substr(text, 1, n - n // 4) || substr(nx, 1, n // 4) AS edited FROM x),
+s AS (SELECT *, {sketch('text')} AS a, {sketch('edited')} AS b, {sketch('nx')} AS c FROM e)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, array_to_string(a, '') AS fingerprint,
+       array_to_string(b, '') AS edited_fingerprint, {near('a', 'b')} AS near_edited, {near('a', 'c')} AS near_next
+FROM s"""
+
+
+@register("op2_bottomk_fingerprints", _op2_sql())
+def op2_bottomk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    from tessera.llm import fingerprints as P
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = P.with_next(docs, "doc_id", "text", {"own": P.sketch(F.col("text"))})
+    n = F.length("text")
+    quarter = F.floor(n / 4).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - quarter), F.substring("next_text", F.lit(1), quarter))
+    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "own", "next_own", edited.alias("edited"))
+    rows = rows.withColumn("changed", P.sketch(F.col("edited")))
+    return rows.select("doc_id", "n_chars", F.sha2(F.encode("edited", "utf-8"), 256).alias("edited_sha256"), P.fingerprint(F.col("own")).alias("fingerprint"),
+                       P.fingerprint(F.col("changed")).alias("edited_fingerprint"),
+                       P.resemblance(F.col("own"), F.col("changed")).alias("near_edited"),
+                       P.resemblance(F.col("own"), F.col("next_own")).alias("near_next"))
