@@ -124,3 +124,16 @@ def op2_bottomk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                        P.fingerprint(F.col("changed")).alias("edited_fingerprint"),
                        P.resemblance(F.col("own"), F.col("changed")).alias("near_edited"),
                        P.resemblance(F.col("own"), F.col("next_own")).alias("near_next"))
+
+
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@register("op10_piece_lattice")
+def op10_piece_lattice(spark: SparkSession, sf_dir: str, model: str = PIECE_MODEL) -> DataFrame:
+    """Piece ids of every document and whether decoding them gives its text back."""
+    from tessera.llm import pieces
+    vocabulary = pieces.read_pieces(model)
+    coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    back = pieces.decode(coded, vocabulary)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"), "ids")
