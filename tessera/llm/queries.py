@@ -137,3 +137,17 @@ def op10_piece_lattice(spark: SparkSession, sf_dir: str, model: str = PIECE_MODE
     coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
     back = pieces.decode(coded, vocabulary)
     return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"), "ids")
+
+
+@register("op8_epsilon_grid", """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+r AS (WITH RECURSIVE r(id, c) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.c) SELECT id, min(c) AS c FROM r GROUP BY id)
+SELECT r.id AS vec_id, (SELECT count(*) FROM l WHERE l.a = r.id) AS n_links, r.c AS component_id, r.id = r.c AS kept FROM r""")
+def op8_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine >= 0.9."""
+    from tessera.llm import embed_dedup
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
