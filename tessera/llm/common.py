@@ -32,9 +32,9 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
-def running_total(df: DataFrame, group: list[str], order: str, value: str, out: str, ties: list[str] = (),
-                  levels: int = 4) -> DataFrame:
-    """Exclusive running sum of ``value`` by ``order`` (a long) within ``group``.
+def running_total(df: DataFrame, group: list[str], order: str, value: str | list[str], out: str | list[str],
+                  ties: list[str] = (), levels: int = 4) -> DataFrame:
+    """Exclusive running sums of ``value`` by ``order`` (a long) within ``group``.
 
     A window over a whole group would put a hot group into one task.  Here
     the order key is cut into digits of base 512: rows are summed within
@@ -44,25 +44,28 @@ def running_total(df: DataFrame, group: list[str], order: str, value: str, out:
     depends on the key alone, never on row counts.  Null keys form a bucket
     that comes first; rows with one key are ordered by ``ties``.
     """
-    return _running(df, group, F.shiftright(order, RADIX_BITS), [order, *ties], value, out, levels)
+    values, outs = ([value], [out]) if isinstance(value, str) else (value, out)
+    return _running(df, group, F.shiftright(order, RADIX_BITS), [order, *ties], values, outs, levels)
 
 
-def _running(df: DataFrame, group: list[str], bucket: Column, order: list[str], value: str, out: str,
+def _running(df: DataFrame, group: list[str], bucket: Column, order: list[str], values: list[str], outs: list[str],
              levels: int) -> DataFrame:
     if levels == 0:
-        return df.withColumn(out, _before(value, group, order))
-    b, total, base = f"__b{levels}", f"__v{levels}", f"__o{levels}"
+        return df.withColumns({o: _before(v, group, order) for v, o in zip(values, outs)})
+    b = f"__b{levels}"
+    total, base = ([f"__{x}{levels}_{i}" for i in range(len(values))] for x in "vo")
     rows = df.withColumn(b, bucket)
-    sums = rows.groupBy(*group, b).agg(F.sum(value).alias(total))
+    sums = rows.groupBy(*group, b).agg(*[F.sum(v).alias(t) for v, t in zip(values, total)])
     sums = _running(sums, group, F.shiftright(b, RADIX_BITS), [b], total, base, levels - 1)
-    sums = sums.select(*[F.col(c).alias(f"__k_{c}") for c in [*group, b]], base)
-    rows = rows.withColumn(out, _before(value, [*group, b], order))
+    sums = sums.select(*[F.col(c).alias(f"__k_{c}") for c in [*group, b]], *base)
+    rows = rows.withColumns({o: _before(v, [*group, b], order) for v, o in zip(values, outs)})
     on = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in [*group, b]]
     cond = on[0]
     for c in on[1:]:
         cond = cond & c
     joined = rows.join(sums, cond, "left")
-    return joined.withColumn(out, F.col(out) + F.col(base)).drop(b, base, *[f"__k_{c}" for c in [*group, b]])
+    joined = joined.withColumns({o: F.col(o) + F.col(x) for o, x in zip(outs, base)})
+    return joined.drop(b, *base, *[f"__k_{c}" for c in [*group, b]])
 
 
 def _before(value: str, group: list[str], order: list[str]) -> Column:

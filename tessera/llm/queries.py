@@ -151,3 +151,19 @@ def op8_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings at cosine >= 0.9."""
     from tessera.llm import embed_dedup
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@register("op9_snapshot_chats", """
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos,
+             count(*) OVER (PARTITION BY conv_id) AS n FROM t),
+p AS (SELECT *, string_agg(md5(role || chr(1) || text), ',') OVER (PARTITION BY conv_id ORDER BY pos) AS pre FROM o),
+k AS (SELECT min(conv_id) AS conv_id FROM p WHERE pos = n - 1 AND pre NOT IN (SELECT pre FROM p WHERE pos < n - 1) GROUP BY pre)
+SELECT p.conv_id, CAST(pos // 512 AS INTEGER) AS part, n AS n_turns,
+       string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY pos) AS text,
+       length(string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY pos)) AS n_chars
+FROM p JOIN k ON p.conv_id = k.conv_id GROUP BY p.conv_id, pos // 512, n""")
+def op9_snapshot_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations, rendered."""
+    from tessera.llm import chat
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
