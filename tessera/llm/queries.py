@@ -167,3 +167,11 @@ def op9_snapshot_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maximal conversations, rendered."""
     from tessera.llm import chat
     return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+@register("op6_template_text")
+def op6_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from tessera.llm import html_extract
+    found = html_extract.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
