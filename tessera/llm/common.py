@@ -28,8 +28,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_or_empty(col: str = "text") -> Column:
-    return F.coalesce(F.col(col).cast("string"), F.lit(""))
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores as keep it apart from the columns."""
+    out = []
+    for name in names:
+        while name in docs.columns:
+            name += "_"
+        out.append(name)
+    return out
 
 
 def running_total(df: DataFrame, group: list[str], order: str, value: str | list[str], out: str | list[str],

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import staged
+from tessera.llm.common import staged, unused
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -176,6 +176,7 @@ def extract_text(pages: DataFrame, out: str = "text") -> DataFrame:
             made.append("\n".join(t for p, t in blocks if not slot or p == slot or p.startswith(below)))
         return pd.Series(made)
 
-    named = pages.withColumn("__host", host())
-    joined = named.join(templates.select(F.col("host").alias("__h"), F.col("slots").alias("__slots")), F.col("__host") == F.col("__h"), "left")
-    return joined.withColumn(out, read(F.coalesce("html", F.lit("")), "__slots")).drop("__host", "__h", "__slots")
+    own, other, slots = unused(pages, "__host", "__of", "__slots")
+    joined = pages.withColumn(own, host()).join(templates.select(F.col("host").alias(other), F.col("slots").alias(slots)),
+                                                F.col(own) == F.col(other), "left")
+    return joined.withColumn(out, read(F.coalesce("html", F.lit("")), slots)).drop(own, other, slots)

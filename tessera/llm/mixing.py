@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import running_total, staged
+from tessera.llm.common import running_total, staged, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 CHUNK = 1024
@@ -107,7 +107,7 @@ def plan_slots(quota: DataFrame, shard_slots: int = 4096, seed: int = 7) -> Data
     return ranked.where(F.col("rank") < F.col("quota")).select("shard", "sid", "rank").unionByName(moved)
 
 
-def mix(docs: DataFrame, block_words: int = 128, shard_slots: int = 4096, weights: tuple[int, ...] = (1, 2, 3),
+def mix(docs: DataFrame, block_words: int = 64, shard_slots: int = 4096, weights: tuple[int, ...] = (1, 2, 3),
         passes: int = 3, seed: int = 7) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken."""
     rows = docs.select("doc_id", "source", word_count().alias("size"), F.xxhash64("text").alias("__h"))
@@ -140,9 +140,10 @@ def mixed_documents(docs: DataFrame, seed: int = 7, **kw) -> DataFrame:
     taken / size times, a fraction rounded up or down by a hash of the id.
     Rows whose id repeats share the id's words.  Rows of no words and rows with
     no id are not part of any block that can be named, and leave."""
-    times = mix(docs, seed=seed, **kw).where("size > 0").groupBy(F.col("doc_id").alias("__id")) \
-        .agg((F.sum("taken") / F.sum("size")).alias("__x"))
-    chance = F.pmod(F.xxhash64(F.lit(seed), F.lit("copies"), "__id"), F.lit(1 << 20)) / float(1 << 20)
-    copies = (F.floor("__x") + (chance < F.col("__x") - F.floor("__x")).cast("long")).cast("int")
-    joined = docs.join(times.withColumn("__n", copies).where("__n > 0").select("__id", "__n"), F.col("doc_id") == F.col("__id"))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*[docs[c] for c in docs.columns])
+    key, share, n, copy = unused(docs, "__id", "__share", "__n", "__copy")
+    times = mix(docs, seed=seed, **kw).where("size > 0").groupBy(F.col("doc_id").alias(key)).agg((F.sum("taken") / F.sum("size")).alias(share))
+    chance = F.pmod(F.xxhash64(F.lit(seed), F.lit("copies"), key), F.lit(1 << 20)) / float(1 << 20)
+    whole = F.floor(share)
+    times = times.select(key, (whole + (chance < F.col(share) - whole).cast("long")).cast("int").alias(n)).where(F.col(n) > 0)
+    joined = docs.join(times, F.col("doc_id") == F.col(key))
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).drop(key, n, copy)

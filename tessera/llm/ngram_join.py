@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import staged
+from tessera.llm.common import staged, unused
 from tessera.llm.components import components
 
 HOT_TOKENS = 65536
@@ -404,8 +404,9 @@ def drop_near_copies(docs: DataFrame, **kw) -> DataFrame:
     Rows without an id leave where their class has an id; of the others, equal
     texts stay once."""
     classes = staged(near_copy_classes(docs, **kw), "ngram-classes")
-    kept = classes.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    out = docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi")
+    key, = unused(docs, "__kept")
+    kept = classes.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
+    out = docs.join(kept, F.col("doc_id") == F.col(key), "left_semi")
     if classes.where("doc_id IS NULL AND component_id IS NULL").isEmpty():
         return out
     return out.unionByName(docs.where("doc_id IS NULL").dropDuplicates(["text"]))

@@ -29,6 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.common import unused
+
 # FIXED VALUES: the patterns of the rule kinds, in the order in which kinds are listed.
 ASSIGN = r"""(?i:(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)[A-Za-z0-9+/_.=-]+"""
 ASSIGN_VALUE = r"""^(?i:(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)$"""
@@ -197,7 +199,8 @@ def redact(docs: DataFrame, fdr: float = 0.05, mark: str = "[SECRET]") -> DataFr
     """``docs`` with every stretch covered by spans replaced by ``mark`` and
     ``n_chars``, where present, counted anew; null text stays null."""
     text = F.col("text")
-    found = scan(docs.select("*"), "__spans", fdr)
+    spans, = unused(docs, "__spans")
+    found = scan(docs, spans, fdr)
     state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def add(s: Column, r: Column) -> Column:
@@ -206,7 +209,7 @@ def redact(docs: DataFrame, fdr: float = 0.05, mark: str = "[SECRET]") -> DataFr
         first = (s["at"] == 0) & (s["out"] == "")
         return F.struct(F.greatest(s["at"], r["end"]).alias("at"), F.when(fresh | first, cut).otherwise(s["out"]).alias("out"))
 
-    clean = F.aggregate("__spans", state, add, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    clean = F.when(F.size("__spans") > 0, clean).otherwise(text)
-    done = found.withColumn("text", clean).drop("__spans")
+    clean = F.aggregate(spans, state, add, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    clean = F.when(F.size(spans) > 0, clean).otherwise(text)
+    done = found.withColumn("text", clean).drop(spans)
     return done.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else done
