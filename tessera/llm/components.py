@@ -21,7 +21,7 @@ def _star(pairs: DataFrame, larger: bool) -> DataFrame:
         moved = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         moved = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return moved.where("u > v").distinct()
+    return moved.where("u > v")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -37,7 +37,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     before = mark(pairs)
     while True:
-        pairs = staged(_star(_star(pairs, True), False), "components")
+        pairs = staged(_star(_star(pairs, True), False).distinct(), "components")
         now = mark(pairs)
         if now == before:
             break
