@@ -7,8 +7,8 @@
   arg-max (count desc, pair asc — deterministic), and rewrites the symbol
   arrays with a left-to-right merge.  One row (the winning pair) reaches
   the driver per round; lineage is cut with a reliable checkpoint.
-* T3 encodes each *distinct* piece once with the learned merges (Arrow
-  pandas UDF) and joins ids back to piece occurrences.
+* T3 encodes a document's pieces where the document is (Arrow pandas UDF
+  with a bounded cache of piece encodings): no shuffle.
 
 Symbols are characters (code points); ids: special tokens first, then the
 base alphabet in code-point order, then merges in learned order.
@@ -16,6 +16,7 @@ base alphabet in code-point order, then merges in learned order.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -27,6 +28,8 @@ from tessera.functions import constants as K
 from tessera.functions.constants import PY_SPACE
 from tessera.session import cut_lineage
 
+CACHED_PIECES = 200_000
+
 # Pre-tokeniser: contractions, letter runs, digit runs, other-symbol runs and
 # whitespace runs, each optionally led by one space.
 PRETOKEN_PATTERN = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{PY_SPACE}\p{{L}}\p{{N}}]+|[{PY_SPACE}]+")
@@ -79,10 +82,10 @@ def learn_merges(freq: DataFrame, num_merges: int, min_frequency: int = 2,
                  specials=None, checkpoint_every: int = 5) -> tuple[BpeModel, DataFrame]:
     """Returns the model and a ``(rank, left, right, count)`` DataFrame."""
     spark = freq.sparkSession
-    words = (freq.where(F.col("n") >= min_frequency)
-             .select(F.split(F.col("piece"), "", -1).alias("sym"), "n"))
-    words = cut_lineage(words)
-    alphabet = [r.s for r in words.select(F.explode("sym").alias("s")).distinct().orderBy("s").collect()]
+    split = F.split(F.col("piece"), "", -1).alias("sym")
+    # every character that occurs is in the alphabet (bounded by Unicode), also those of rare pieces only
+    alphabet = [r.s for r in freq.select(F.explode(split).alias("s")).distinct().where("s <> ''").orderBy("s").collect()]
+    words = cut_lineage(freq.where(F.col("n") >= min_frequency).select(split, "n"))
     merges: list[tuple[str, str, int]] = []
     for rnd in range(num_merges):
         pairs = (words.where(F.size("sym") > 1)
@@ -129,7 +132,9 @@ def _encode_piece(piece: str, ranks: dict[tuple[str, str], int], vocab: dict[str
 
 
 def encode(df: DataFrame, model: BpeModel, text: str = "text", id_col: str = "id") -> DataFrame:
-    """``(id, input_ids)``; each distinct piece is encoded once."""
+    """``(id, input_ids)``, without a shuffle: a document's pieces are encoded
+    where it is, with a cache of piece encodings that is emptied when full.
+    Null and empty texts keep their row, with no ids."""
     spark: SparkSession = df.sparkSession
     ranks = {(a, b): i for i, (a, b) in enumerate(model.merges)}
     vocab = model.vocab()
@@ -137,16 +142,24 @@ def encode(df: DataFrame, model: BpeModel, text: str = "text", id_col: str = "id
     bc = spark.sparkContext.broadcast((ranks, vocab, unk))  # size bounded by the vocabulary
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def enc(ps: pd.Series) -> pd.Series:
+    def enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         r, v, u = bc.value
-        return ps.map(lambda p: _encode_piece(p, r, v, u))
-
-    occ = df.select(id_col, F.posexplode(pieces(text)).alias("pos", "piece"))
-    distinct = occ.select("piece").distinct().withColumn("ids", enc(F.col("piece")))
-    joined = occ.join(distinct, "piece")
-    return (joined.groupBy(id_col)
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
-            .select(id_col, F.flatten(F.transform("parts", lambda p: p["ids"])).alias("input_ids")))
+        known: dict[str, list[int]] = {}
+        for docs in batches:
+            rows = []
+            for ps in docs:
+                ids: list[int] = []
+                for p in ps:
+                    if p not in known:
+                        if len(known) >= CACHED_PIECES:
+                            known.clear()
+                        known[p] = _encode_piece(p, r, v, u)
+                    ids += known[p]
+                rows.append(ids)
+            yield pd.Series(rows)
+
+    own = F.coalesce(pieces(text), F.array().cast("array<string>"))
+    return df.select(id_col, enc(own).alias("input_ids"))
 
 
 def special_token_table(spark: SparkSession, profile: str = "trainer") -> DataFrame:

@@ -44,23 +44,22 @@ def text_hash(text) -> Column:
 
 
 def exact_dedup_flags(df: DataFrame, text: str, id_col: str, scope=()) -> DataFrame:
-    """Adds ``content_hash`` and ``is_first`` (first occurrence = min id)."""
-    scope = list(scope)
+    """Adds ``content_hash`` and ``is_first`` (first occurrence = min id).
+
+    Null scopes are a scope of their own.  A row with null text has no content
+    to compare and is always first."""
+    keys = [*scope, "content_hash", id_col]
     hashed = df.withColumn("content_hash", text_hash(text))
-    winners = (hashed.select(*scope, "content_hash", id_col)
-               .groupBy(*scope, "content_hash").agg(F.min(id_col).alias(id_col))
-               .withColumn("is_first", F.lit(True)))
-    return (hashed.join(winners, on=[*scope, "content_hash", id_col], how="left")
-            .withColumn("is_first", F.coalesce(F.col("is_first"), F.lit(False))))
+    winners = (hashed.where(F.col("content_hash").isNotNull()).groupBy(*scope, "content_hash").agg(F.min(id_col).alias(id_col))
+               .select(*[F.col(c).alias(f"_first_{c}") for c in keys], F.lit(True).alias("is_first")))
+    same = functools.reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_first_{c}")) for c in keys])
+    return (hashed.join(winners, same, "left").drop(*[f"_first_{c}" for c in keys])
+            .withColumn("is_first", F.coalesce(F.col("is_first"), F.col("content_hash").isNull())))
 
 
 def exact_dedup(df: DataFrame, text: str, id_col: str, scope=()) -> DataFrame:
-    """Keep the first occurrence of each text (per scope)."""
-    scope = list(scope)
-    hashed = df.withColumn("content_hash", text_hash(text))
-    winners = (hashed.select(*scope, "content_hash", id_col)
-               .groupBy(*scope, "content_hash").agg(F.min(id_col).alias(id_col)))
-    return hashed.join(winners, on=[*scope, "content_hash", id_col], how="left_semi")
+    """Keep the first occurrence of each text (per scope) and rows without text."""
+    return exact_dedup_flags(df, text, id_col, scope).where("is_first").drop("is_first")
 
 
 def normalized_prompt(text) -> Column:
@@ -165,8 +164,6 @@ class NearDup:
     bands: int | None = None  # None: derived from threshold (lsh_params)
     rows: int | None = None
     mode: str = "first_wins"  # or "component"
-    max_rounds: int = 200
-    checkpoint_every: int = 1
 
     def band_rows(self) -> tuple[int, int]:
         if self.bands is not None and self.rows is not None:
@@ -180,8 +177,7 @@ def _multi_member(members: DataFrame, id_col: str) -> DataFrame:
     return members.join(sizes.where("n > 1").select("bucket"), "bucket", "left_semi")
 
 
-def first_wins(members: DataFrame, id_col: str, max_rounds: int = 200, checkpoint_every: int = 1,
-               stats: dict | None = None) -> DataFrame:
+def first_wins(members: DataFrame, id_col: str, stats: dict | None = None) -> DataFrame:
     """Reference LSH semantics without pairs: ``(id, kept)`` for candidate ids.
 
     Per round, per bucket: ``min_live`` (smallest id not yet dropped) and
@@ -196,7 +192,8 @@ def first_wins(members: DataFrame, id_col: str, max_rounds: int = 200, checkpoin
     m = cut_lineage(members.select(id_col, "bucket").distinct())
     status = m.select(id_col).distinct().withColumn("state", F.lit("U"))
     decided = None
-    for rnd in range(max_rounds):
+    rnd = 0
+    while True:
         joined = m.join(status, id_col)
         per_bucket = joined.groupBy("bucket").agg(
             F.min(F.when(F.col("state") != "X", F.col(id_col))).alias("min_live"),
@@ -215,6 +212,7 @@ def first_wins(members: DataFrame, id_col: str, max_rounds: int = 200, checkpoin
         still = new_state.where(F.col("state") == "U").select(id_col)
         if stats is not None:
             stats["rounds"] = rnd + 1
+        rnd += 1
         if still.limit(1).count() == 0:
             status = new_state
             break
@@ -224,26 +222,43 @@ def first_wins(members: DataFrame, id_col: str, max_rounds: int = 200, checkpoin
         final_now = new_state.join(m.select(id_col).distinct(), id_col, "left_anti")
         decided = final_now if decided is None else decided.unionByName(final_now)
         status = new_state.join(m.select(id_col).distinct(), id_col, "left_semi")
-    else:
-        raise RuntimeError("near-dup first-wins did not converge; raise max_rounds")
     result = status if decided is None else decided.unionByName(status)
     return result.select(id_col, (F.col("state") == "K").alias("kept"))
 
 
-def components(members: DataFrame, id_col: str, max_rounds: int = 50) -> DataFrame:
-    """Connected components over bucket hyperedges by min-label propagation."""
+def _star(edges: DataFrame, larger: bool) -> DataFrame:
+    """One contraction step on (hi, lo) edges: every node's larger (or smaller)
+    neighbours are re-attached to the least node of its neighbourhood."""
+    both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo"))) if larger else edges
+    least = both.groupBy("hi").agg(F.min("lo").alias("m")).withColumn("m", F.least("m", "hi"))
+    near = both.join(least, "hi")
+    if larger:
+        out = near.where("lo > hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+    else:
+        out = near.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).unionByName(least.select("hi", F.col("m").alias("lo")))
+    return out.where("hi > lo")
+
+
+def components(members: DataFrame, id_col: str) -> DataFrame:
+    """Connected components over bucket hyperedges, one star edge per member.
+
+    Large-star and small-star steps alternate until the edges stop changing:
+    rounds grow with the logarithm of the longest chain, without a limit."""
     m = members.select(id_col, "bucket").distinct()
-    label = m.select(id_col).distinct().withColumn("label", F.col(id_col))
-    for _ in range(max_rounds):
-        per_bucket = m.join(label, id_col).groupBy("bucket").agg(F.min("label").alias("bl"))
-        new_label = m.join(per_bucket, "bucket").groupBy(id_col).agg(F.min("bl").alias("label"))
-        new_label = cut_lineage(new_label)
-        changed = new_label.join(label.withColumnRenamed("label", "old"), id_col).where("label <> old").limit(1).count()
-        label = new_label
-        if changed == 0:
+    first = m.groupBy("bucket").agg(F.min(id_col).alias("lo"))
+    edges = cut_lineage(m.join(first, "bucket").select(F.col(id_col).alias("hi"), "lo").where("hi > lo").distinct())
+
+    def mark(e: DataFrame):
+        return e.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
+
+    before = mark(edges)
+    while True:
+        edges = cut_lineage(_star(_star(edges, True), False).distinct())
+        if (now := mark(edges)) == before:
             break
-    else:
-        raise RuntimeError("component labelling did not converge; raise max_rounds")
+        before = now
+    label = m.select(id_col).distinct().join(edges.select(F.col("hi").alias(id_col), F.col("lo").alias("label")), id_col, "left")
+    label = label.withColumn("label", F.coalesce("label", id_col))
     return label.select(id_col, "label", (F.col("label") == F.col(id_col)).alias("kept"))
 
 
@@ -266,7 +281,7 @@ def near_dup(df: DataFrame, text: str, id_col: str, scope=(), p: NearDup = NearD
     # UDF runs a single time, and the rounds read a few dozen bytes per band
     all_members = cut_lineage(band_buckets(sigs, id_col, "signature", bands, rows, scope, carry=[*scope, "content_hash"]))
     winners = all_members.groupBy(*scope, "content_hash").agg(F.min(id_col).alias(id_col))
-    first_members = all_members.join(winners, [*scope, "content_hash", id_col], "left_semi").select(id_col, "band", "bucket")
+    first_members = all_members.join(winners.select(id_col), id_col, "left_semi").select(id_col, "band", "bucket")
     copies = (all_members.select(id_col).distinct().join(winners.select(id_col), id_col, "left_anti")
               .withColumn("kept", F.lit(False)))
     members = cut_lineage(_multi_member(first_members, id_col))
@@ -275,9 +290,9 @@ def near_dup(df: DataFrame, text: str, id_col: str, scope=(), p: NearDup = NearD
         stats["candidate_docs"] = members.select(id_col).distinct().count()
         stats["bands"], stats["rows"] = bands, rows
     if p.mode == "component":
-        decided = components(members, id_col, p.max_rounds).select(id_col, "kept")
+        decided = components(members, id_col).select(id_col, "kept")
     else:
-        decided = first_wins(members, id_col, p.max_rounds, p.checkpoint_every, stats)
+        decided = first_wins(members, id_col, stats)
     result = decided.unionByName(copies)
     return (df.join(result.select(id_col, F.col("kept").alias("near_dup_kept")), id_col, "left")
             .withColumn("near_dup_kept", F.coalesce(F.col("near_dup_kept"), F.lit(True))))

@@ -17,10 +17,10 @@ from tessera.functions.text import col, py_strip, words
 # --- A5 / A6 pass@k ---------------------------------------------------------------
 
 def pass_at_k_column(n, c, k) -> Column:
-    """Unbiased estimator 1 - C(n-c, k)/C(n, k) as a product of doubles:
-    1 - prod_{i=n-c+1}^{n} (1 - k/i); 1 when n-c < k; 0 when c = 0."""
+    """Unbiased estimator 1 - C(n-c, k)/C(n, k) as a product of ``k`` doubles,
+    prod_{i<k} (n-c-i)/(n-i), whatever n and c are; 1 when n-c < k; 0 when c = 0."""
     n, c, k = col(n), col(c), col(k)
-    prod = F.aggregate(F.sequence(n - c + 1, n), F.lit(1.0), lambda a, i: a * (F.lit(1.0) - k / i))
+    prod = F.aggregate(F.sequence(F.lit(0).cast("long"), k.cast("long") - 1), F.lit(1.0), lambda a, i: a * ((n - c - i) / (n - i)))
     return F.when(c == 0, F.lit(0.0)).when(n - c < k, F.lit(1.0)).otherwise(F.lit(1.0) - prod)
 
 

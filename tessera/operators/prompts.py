@@ -172,18 +172,15 @@ def route_answers(df: DataFrame, rules: DataFrame, prompt: str = "prompt", categ
     """First rule (by priority) of the row's category whose needle occurs
     in lower(prompt); ``placeholder`` when none; null for placeholder prompts.
 
-    ``rules(category, priority, needle, template_id)`` is configuration,
-    broadcast when a count proves it small; the join is on category with a
-    ``contains`` residual.
+    ``rules(category, priority, needle, template_id)`` is configuration: it
+    becomes one chain of conditions, so rows are neither joined nor moved.
     """
-    from tessera.plans.joins import broadcast_if_small
-    low = df.select(key, category, F.lower(F.col(prompt)).alias("_low"))
-    hits = (low.join(broadcast_if_small(rules), category)
-            .where(F.col("_low").contains(F.col("needle")))
-            .groupBy(key).agg(F.min_by("template_id", F.struct("priority", "needle")).alias("template_id")))
-    out = df.join(hits, key, "left")
-    return out.withColumn("template_id", F.when(F.lower(F.col(prompt)).contains(skip_marker), F.lit(None))
-                          .otherwise(F.coalesce(F.col("template_id"), F.lit(placeholder))))
+    low = F.lower(F.col(prompt))
+    chosen = F.lit(placeholder)
+    ordered = sorted((tuple(r) for r in rules.select("priority", "needle", "category", "template_id").collect()), reverse=True)
+    for _, needle, rule_category, template in ordered:
+        chosen = F.when((F.col(category) == rule_category) & low.contains(needle), F.lit(template)).otherwise(chosen)
+    return df.withColumn("template_id", F.when(low.contains(skip_marker), F.lit(None)).otherwise(chosen))
 
 
 # --- P18 markup cleaning --------------------------------------------------------------
@@ -441,10 +438,9 @@ def _candidates(nd, hay, needle_key, hay_key, scope, k, window):
 def generate_prompts(ids: DataFrame, templates: DataFrame, id_col: str = "id", seed: str = "prompts") -> DataFrame:
     """M3: per id, a keyed uniform template (by index) and keyed option per
     variable.  ``templates(t_idx, category, template, variables)`` is
-    configuration (broadcast when a count proves it small)."""
-    from tessera.plans.joins import broadcast_if_small
+    configuration."""
     n_t = templates.count()
     picked = ids.withColumn("t_idx", keyed_pick(seed + ":template", n_t, id_col))
-    j = picked.join(broadcast_if_small(templates), "t_idx")
+    j = picked.join(templates, "t_idx")
     chosen = choose_options(F.col("variables"), seed + ":option", F.col(id_col))
     return j.withColumn("prompt", fill_template(F.col("template"), chosen))

@@ -56,15 +56,14 @@ def mixture(df: DataFrame, group: str, shares: DataFrame, budget: float, weight:
     running weight of the group stays within its quota.
 
     ``shares`` is a (group, share) table (percent); groups without a share
-    get quota 0.  The quota table (one row per group) is broadcast when a
-    count proves it small.
+    get quota 0.  How the quota table (one row per group) is joined is left to
+    the planner.
     """
     ranked = prefix_scan(with_shuffle_key(df, key, salt), [group], ["shuffle_key", key], weight,
                          "running_weight", integral=False)
     quota = shares.select(F.col(shares.columns[0]).alias(group),
                           (F.col(shares.columns[1]) / 100.0 * F.lit(float(budget))).alias("quota"))
-    from tessera.plans.joins import broadcast_if_small
-    return (ranked.join(broadcast_if_small(quota), group, "left")
+    return (ranked.join(quota, group, "left")
             .withColumn("kept", F.col("running_weight") <= F.coalesce(F.col("quota"), F.lit(0.0))))
 
 

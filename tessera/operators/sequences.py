@@ -9,7 +9,6 @@ only* over bounded pack groups.
 
 from __future__ import annotations
 
-import math
 
 import numpy as np
 import pandas as pd
@@ -134,9 +133,9 @@ def chunk(df: DataFrame, ids: str = "input_ids", max_length: int = K.CHUNK_LENGT
 
 # --- W4: greedy next-fit packing ---------------------------------------------
 
-def _next_fit(max_length: int):
+def _next_fit(order_cols: list[str], max_length: int):
     def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq_order", kind="stable")
+        pdf = pdf.sort_values(order_cols, kind="stable")
         lengths = pdf["length"].to_numpy()
         blocks = np.empty(len(lengths), dtype=np.int64)
         b, fill = 0, 0
@@ -148,49 +147,43 @@ def _next_fit(max_length: int):
                     b += 1
                 fill = n
             blocks[i] = b
-        return pd.DataFrame({"pack_group": pdf["pack_group"].to_numpy(),
-                             "seq_order": pdf["seq_order"].to_numpy(), "block": blocks})
+        return pdf[["pack_group", *order_cols]].assign(block=blocks)
     return assign
 
 
-def pack_assign(df: DataFrame, order_col: str, length_col: str, group_cols=(), buckets: int = 1,
-                max_length: int = K.BLOCK_LENGTH, salt: str = "pack") -> DataFrame:
-    """Block number per sequence under next-fit in ``order_col`` order.
+def pack_assign(df: DataFrame, order_cols: list[str], length_col: str, group_cols=(),
+                max_length: int = K.BLOCK_LENGTH, ids_per_group: int = 4096) -> DataFrame:
+    """Block number per sequence under next-fit in ``order_cols`` order.
 
-    Pack group = (group_cols..., keyed bucket of the order key); the bucket
-    count bounds the rows one pandas call sees.  Only ``(group, order,
+    Pack group = (group_cols..., first order column div ``ids_per_group``): a
+    fixed function of the row, so unrelated rows never change a block, and one
+    pandas call sees the rows of that many ids.  Only ``(group, order,
     length)`` crosses into Python.  Returns the input plus ``pack_group``
     and ``block``.
     """
     parts = [F.col(c).cast("string") for c in group_cols] + [
-        F.pmod(keyed_u32(salt, order_col), F.lit(buckets)).cast("string")]
+        F.floor(F.col(order_cols[0]) / F.lit(ids_per_group)).cast("string")]
     keyed = df.withColumn("pack_group", F.concat_ws("|", *parts))
-    narrow = keyed.select("pack_group", F.col(order_col).alias("seq_order"), F.col(length_col).alias("length"))
-    assigned = narrow.groupBy("pack_group").applyInPandas(
-        _next_fit(max_length), "pack_group string, seq_order long, block long")
-    return keyed.join(assigned.withColumnRenamed("seq_order", order_col), ["pack_group", order_col])
+    narrow = keyed.select("pack_group", *order_cols, F.col(length_col).alias("length"))
+    kinds = ", ".join(f"{c} {narrow.schema[c].dataType.simpleString()}" for c in order_cols)
+    assigned = narrow.groupBy("pack_group").applyInPandas(_next_fit(order_cols, max_length), f"pack_group string, {kinds}, block long")
+    return keyed.join(assigned, ["pack_group", *order_cols])
 
 
-def auto_buckets(df: DataFrame, rows_per_group: int = 200_000) -> int:
-    """Pack-group count so that one group holds about ``rows_per_group`` rows."""
-    return max(1, math.ceil(df.count() / rows_per_group))
-
-
-def pack(df: DataFrame, ids: str, order_col: str, group_cols=(), buckets: int | None = None,
-         max_length: int = K.BLOCK_LENGTH, rows_per_group: int = 200_000) -> DataFrame:
+def pack(df: DataFrame, ids: str, order_col, group_cols=(), max_length: int = K.BLOCK_LENGTH,
+         ids_per_group: int = 4096) -> DataFrame:
     """Packed blocks ``(pack_group, block, input_ids, length, n_seqs)``.
 
+    ``order_col`` is a column or a list of columns that order the sequences.
     Blocks are assembled by grouping on (pack_group, block): each group is
     bounded by ``max_length`` tokens (a single over-long sequence forms its
-    own block, as in the reference).  ``buckets=None`` sizes the pack groups
-    from a row count so one pandas call sees about ``rows_per_group`` rows
-    (the packing result depends on this documented grouping).
+    own block, as in the reference).
     """
-    if buckets is None:
-        buckets = auto_buckets(df, rows_per_group)
-    a = pack_assign(df.withColumn("_len", F.size(F.col(ids))), order_col, "_len", group_cols, buckets, max_length)
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    a = pack_assign(df.withColumn("_len", F.size(F.col(ids))), order, "_len", group_cols, max_length, ids_per_group)
+    key = F.struct(*[F.col(c) for c in order]).alias("o")
     blocks = (a.groupBy("pack_group", "block")
-              .agg(F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col(ids).alias("ids")))).alias("parts"),
+              .agg(F.array_sort(F.collect_list(F.struct(key, F.col(ids).alias("ids")))).alias("parts"),
                    F.count("*").alias("n_seqs"), F.sum("_len").alias("length")))
     return blocks.select("pack_group", "block", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("input_ids"),
                          "length", "n_seqs")

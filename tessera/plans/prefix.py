@@ -6,11 +6,12 @@ one key may hold a third of all rows, neither survives.  This plan:
 
 1. range-partitions on ``(group..., order...)`` (one shuffle; a hot group is
    split across many partitions) and sorts within partitions;
-2. computes the *local* running sum per group inside each partition with
-   ``mapInArrow`` (vectorised numpy over Arrow batches, wide columns pass
-   through untouched);
-3. aggregates one stats row per partition (first group, last group, the
-   last group's local total) — size bounded by the partition count;
+2. computes the *local* running value per group inside each partition with
+   ``mapInArrow`` (numpy over Arrow batches, restarted at each group; whole
+   numbers stay 64-bit integers) and writes the rows once into the shared
+   folder, so that the range bounds, which are sampled, are drawn once;
+3. reads one stats row per partition from that table (first group, last group,
+   the last group's local total) - size bounded by the partition count;
 4. turns the stats into per-partition offsets with a window over that tiny
    table, and adds them back with a broadcast join on the partition id
    (broadcast size = number of partitions, a proven bound).
@@ -20,6 +21,8 @@ The order columns must be a total order (add an id tie-break).
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -30,14 +33,8 @@ from pyspark.sql import types as T
 
 def _local_scan_fn(group_cols: list[str], value_col: str, op: str = "sum"):
     def seg_scan(v, new):
-        if op == "sum":
-            c = np.cumsum(v)
-            seg = np.cumsum(new) - 1
-            starts = np.flatnonzero(new)
-            base = np.where(starts > 0, c[starts - 1], 0.0)
-            return c - base[seg]
-        g = pd.Series(v).groupby(np.cumsum(new))
-        return (g.cummin() if op == "min" else g.cummax()).to_numpy()
+        g = pd.Series(v).groupby(np.cumsum(new))  # starts anew in each group: neighbours can't disturb it
+        return {"sum": g.cumsum, "min": g.cummin, "max": g.cummax}[op]().to_numpy()
 
     def combine(local, carry):
         if op == "sum":
@@ -52,9 +49,7 @@ def _local_scan_fn(group_cols: list[str], value_col: str, op: str = "sum"):
             n = batch.num_rows
             if n == 0:
                 continue
-            v = np.asarray(batch.column(value_col).to_numpy(zero_copy_only=False), dtype=np.float64)
-            if op == "sum":
-                v = np.nan_to_num(v)
+            v = np.asarray(batch.column(value_col).to_numpy(zero_copy_only=False))
             keys = [np.asarray(batch.column(g).to_numpy(zero_copy_only=False), dtype=object) for g in group_cols]
             new = np.zeros(n, dtype=bool)
             new[0] = True
@@ -81,10 +76,11 @@ def prefix_scan(df: DataFrame, group_cols, order_cols, value_col: str | None = N
     when None) per group.
 
     ``group_cols`` may be empty (one global sequence, e.g. global row numbers).
-    Group columns must be non-null.  Range partitioning samples its input in
+    A null value adds nothing.  Range partitioning samples its input in
     a separate job; pass ``materialize=True`` when the input is expensive to
     recompute (it is checkpointed into the shared folder first).
     """
+    from tessera.session import scratch_path
     if materialize:
         from tessera.session import cut_lineage
         df = cut_lineage(df)
@@ -94,13 +90,20 @@ def prefix_scan(df: DataFrame, group_cols, order_cols, value_col: str | None = N
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     grp = group_cols if group_cols else ["_g"]
     base = df if group_cols else df.withColumn("_g", F.lit(0))
-    base = base.withColumn("_v", F.lit(1.0) if value_col is None else F.col(value_col).cast("double"))
+    whole = value_col is None or (op == "sum" and isinstance(df.schema[value_col].dataType, T.IntegralType))
+    kind = T.LongType() if whole else T.DoubleType()
+    value = F.lit(1) if value_col is None else F.col(value_col)
+    if op == "sum":
+        value = F.coalesce(value, F.lit(0))
+    base = base.withColumn("_v", value.cast(kind))
     ranged = (base.repartitionByRange(n, *[F.col(c) for c in grp + order_cols])
               .sortWithinPartitions(*grp, *order_cols)
               .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(ranged.schema.fields + [T.StructField("_pos", T.LongType()),
-                                                  T.StructField("_local", T.DoubleType())])
-    local = ranged.mapInArrow(_local_scan_fn(grp, "_v", op), schema)
+                                                  T.StructField("_local", kind)])
+    path = scratch_path(spark, f"prefix-{uuid.uuid4().hex}")
+    ranged.mapInArrow(_local_scan_fn(grp, "_v", op), schema).write.parquet(path)
+    local = spark.read.schema(schema).parquet(path)
     key = F.struct(*[F.col(c) for c in grp])
     stats = (local.groupBy("_pid").agg(
         F.min_by(key, F.col("_pos")).alias("first_key"),
@@ -114,15 +117,15 @@ def prefix_scan(df: DataFrame, group_cols, order_cols, value_col: str | None = N
                .withColumn("prev_last", F.lag("last_key").over(w_all))
                .withColumn("prev_cum", F.lag("cum_same").over(w_all))
                .select("_pid", "first_key",
-                       F.when(F.col("prev_last") == F.col("first_key"), F.col("prev_cum")).alias("_offset")))
+                       F.when(F.col("prev_last").eqNullSafe(F.col("first_key")), F.col("prev_cum")).alias("_offset")))
     joined = local.join(F.broadcast(offsets), "_pid")
-    carried = F.when(key == F.col("first_key"), F.col("_offset"))
+    carried = F.when(key.eqNullSafe(F.col("first_key")), F.col("_offset"))
     if op == "sum":
-        total = F.col("_local") + F.coalesce(carried, F.lit(0.0))
+        total = F.col("_local") + F.coalesce(carried, F.lit(0).cast(kind))
     else:
         f = F.least if op == "min" else F.greatest
         total = f(F.col("_local"), F.coalesce(carried, F.col("_local")))
-    res = joined.withColumn(out_col, F.round(total).cast("bigint") if integral else total)
+    res = joined.withColumn(out_col, F.round(total).cast("bigint") if integral else total.cast("double"))
     drop = ["_v", "_pid", "_pos", "_local", "first_key", "_offset"] + ([] if group_cols else ["_g"])
     return res.drop(*drop)
 

@@ -150,7 +150,7 @@ SELECT round(CASE WHEN zero_n > 0 THEN 0.0 ELSE bp * exp(log_sum / 4) END, 6) AS
 
 @register("a11_corpus_bleu", _bleu_sql())
 def q_a11(spark, sf):
-    p = prompt_response_pairs(spark, sf).withColumn("id", F.col("conv_id") * 1000 + F.col("turn"))
+    p = prompt_response_pairs(spark, sf).withColumn("id", F.struct("conv_id", "turn"))
     return EV.corpus_bleu(p, "id", "response", "prompt")
 
 

@@ -141,13 +141,11 @@ def q_w3(spark, sf):
                     d["id_sum"].alias("id_sum"))
 
 
-_PACK_BUCKETS = 2
+_PACK_IDS = 256
 _PACK_SQL = f"""
 WITH RECURSIVE {_CHUNK_SQL},
-o0 AS (SELECT doc_id * 100000 + chunk_idx AS seq_order, len(c) AS n,
-             concat_ws('|', lang, CAST({sql_u32('pack', 'doc_id * 100000 + chunk_idx')} % {_PACK_BUCKETS} AS VARCHAR)) AS pack_group
-      FROM ch),
-o AS MATERIALIZED (SELECT pack_group, n, row_number() OVER (PARTITION BY pack_group ORDER BY seq_order) AS rn FROM o0),
+o0 AS (SELECT doc_id, chunk_idx, len(c) AS n, concat_ws('|', lang, CAST(doc_id // {_PACK_IDS} AS VARCHAR)) AS pack_group FROM ch),
+o AS MATERIALIZED (SELECT pack_group, n, row_number() OVER (PARTITION BY pack_group ORDER BY doc_id, chunk_idx) AS rn FROM o0),
 r AS (SELECT pack_group, rn, n, 0 AS block, n AS fill FROM o WHERE rn = 1
       UNION ALL
       SELECT x.pack_group, x.rn, x.n,
@@ -157,8 +155,7 @@ r AS (SELECT pack_group, rn, n, 0 AS block, n AS fill FROM o WHERE rn = 1
 
 
 def _packed(spark, sf):
-    c = _chunks(spark, sf).withColumn("seq_order", F.col("doc_id") * 100000 + F.col("chunk_idx"))
-    return S.pack(c, "input_ids", "seq_order", ["lang"], _PACK_BUCKETS)
+    return S.pack(_chunks(spark, sf), "input_ids", ["doc_id", "chunk_idx"], ["lang"], ids_per_group=_PACK_IDS)
 
 
 @register("w4_pack_blocks", _PACK_SQL + """

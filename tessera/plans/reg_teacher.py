@@ -197,12 +197,12 @@ def q_j6(spark, sf):
 WITH {_sql_requests()[1:]},
 k AS (SELECT *, {_CACHE_SQL_KEY} AS cache_key,
         regexp_replace(lower(regexp_replace(prompt, '^[{PYS} ]+|[{PYS} ]+$', '', 'g')), '[{PYS}]+', ' ', 'g') AS norm,
-        conv_id * 1000 + turn AS id FROM req WHERE length(prompt) >= 20),
+        row(conv_id, turn) AS id FROM req WHERE length(prompt) >= 20),
 cache AS (SELECT cache_key FROM k WHERE {sql_unit('cached', 'conv_id', 'turn')} < 0.3),
 d AS (SELECT * FROM k WHERE id = (SELECT min(id) FROM k k2 WHERE k2.norm = k.norm))
 SELECT conv_id, turn FROM d WHERE cache_key NOT IN (SELECT cache_key FROM cache)""")
 def q_f14(spark, sf):
-    k = _keyed(spark, sf).withColumn("id", F.col("conv_id") * 1000 + F.col("turn"))
+    k = _keyed(spark, sf).withColumn("id", F.struct("conv_id", "turn"))
     cache = k.where(keyed_unit("cached", "conv_id", "turn") < 0.3).select("cache_key")
     return TE.prefilter_requests(k, cache).select("conv_id", "turn")
 

@@ -44,7 +44,9 @@ def get_session(master: str | None = None, app: str = "tessera", **conf: str) ->
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a private one only when unset."""
+    """The shared checkpoint folder.  Where none is named, a local master (tests,
+    laptops) gets a private one; on a cluster that would be one machine's disk,
+    so it is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -53,6 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

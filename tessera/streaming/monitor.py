@@ -56,6 +56,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists, asked of the file system that holds it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def stage_files(df: DataFrame, order_micros: str, n_files: int, base: str, fmt: str = "parquet",
                 redeliver: DataFrame | None = None) -> str:
     """Write ``df`` as ``n_files`` single-file folders in ascending
@@ -103,13 +109,11 @@ def latest_rows(spark: SparkSession, sink: str, keys) -> DataFrame:
     return best.select(*keys, "r.*")
 
 
-def run_available_now(writer, checkpoint: str, timeout_s: int = 600):
+def run_available_now(writer, checkpoint: str):
     """Start a prepared ``DataStreamWriter``, drain all input, stop."""
     q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     try:
-        finished = q.awaitTermination(timeout_s)
-        if not finished:
-            raise TimeoutError(f"stream {q.name} did not finish in {timeout_s}s")
+        q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
     finally:
@@ -233,10 +237,10 @@ def online_near_dup(stream: DataFrame, id_col: str, text_col: str, scope, index_
         members = D.band_buckets(sigs, id_col, "signature", bands, rows, scope)
         members = members.cache()
         # only earlier batches' kept bands: a replayed batch sees the same index
-        try:
+        if path_exists(spark, index_path):
             index = spark.read.parquet(index_path).where(F.col("batch_id") < batch_id)
             hit = members.join(index.select("bucket").distinct(), "bucket", "left_semi").select(id_col).distinct()
-        except Exception:  # first batch: no index folder yet
+        else:  # first batch
             hit = members.limit(0).select(id_col)
         rest = members.join(hit, id_col, "left_anti")
         multi = D._multi_member(rest, id_col)

@@ -39,7 +39,7 @@ def test_same_result_for_1_and_64_partitions(spark, name):
 @given(st.lists(st.integers(min_value=1, max_value=300), min_size=1, max_size=40), st.integers(min_value=50, max_value=400))
 def test_packing_conserves_tokens_and_respects_max(spark, lengths, max_len):
     df = spark.createDataFrame([(i, [i] * n) for i, n in enumerate(lengths)], "id long, input_ids array<int>")
-    blocks = S.pack(df, "input_ids", "id", [], 1, max_length=max_len).collect()
+    blocks = S.pack(df, "input_ids", "id", [], max_length=max_len, ids_per_group=10**9).collect()
     assert sum(b.length for b in blocks) == sum(lengths)
     assert all(b.length <= max_len or b.n_seqs == 1 for b in blocks)
     # next-fit: two consecutive blocks never fit together

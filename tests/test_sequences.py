@@ -40,7 +40,7 @@ def test_chunk_edges(spark):
 def test_pack_next_fit_conserves_tokens(spark):
     lens = [50, 50, 30, 100, 120, 10, 90, 100, 5]
     df = spark.createDataFrame([(i, [i] * n) for i, n in enumerate(lens)], "id long, input_ids array<int>")
-    blocks = S.pack(df, "input_ids", "id", [], 1, max_length=100).orderBy("block").collect()
+    blocks = S.pack(df, "input_ids", "id", [], max_length=100, ids_per_group=10**9).orderBy("block").collect()
     assert [b.length for b in blocks] == [100, 30, 100, 120, 100, 100, 5]
     assert sum(b.length for b in blocks) == sum(lens)
     assert Counter(x for b in blocks for x in b.input_ids) == Counter({i: n for i, n in enumerate(lens)})
