@@ -86,3 +86,17 @@ def test_lsh_params_from_threshold():
     assert D.lsh_params(0.85, 128) == (8, 16)
     b, r = D.lsh_params(0.7, 128)
     assert b * r <= 128 and r < 16  # a lower threshold needs shorter bands
+
+
+def test_exact_dedup_keeps_null_text_and_compares_null_scopes(spark):
+    rows = [(1, "a", None), (2, "a", None), (3, "a", "en"), (4, None, "en"), (5, None, "en"), (6, None, None)]
+    df = spark.createDataFrame(rows, "id long, content string, language string")
+    flags = {r["id"]: r["is_first"] for r in D.exact_dedup_flags(df, "content", "id", ["language"]).collect()}
+    assert flags == {1: True, 2: False, 3: True, 4: True, 5: True, 6: True}
+    assert {r["id"] for r in D.exact_dedup(df, "content", "id", ["language"]).collect()} == {1, 3, 4, 5, 6}
+
+
+def test_components_follow_a_long_chain(spark):
+    members = spark.createDataFrame([(i, b) for b in range(500) for i in (b, b + 1)], "id long, bucket long")
+    got = D.components(members, "id").collect()
+    assert len(got) == 501 and {r["label"] for r in got} == {0} and [r["id"] for r in got if r["kept"]] == [0]

@@ -72,3 +72,11 @@ def test_bleu_identical_and_disjoint(spark):
     assert EV.corpus_bleu(same, "id", "p", "r").first().bleu == 1.0
     none = spark.createDataFrame([(1, "x y z w", "a b c d")], "id long, p string, r string")
     assert EV.corpus_bleu(none, "id", "p", "r").first().bleu == 0.0
+
+
+def test_pass_at_k_of_a_hot_task(spark):
+    from tessera.operators.evalmetrics import pass_at_k_column
+    got = spark.createDataFrame([(3_000_000_000, 2_999_995_000, 10), (10, 3, 2), (5, 0, 1), (5, 5, 1)], "n long, c long, k int").select(
+        pass_at_k_column("n", "c", "k").alias("p")).collect()
+    assert abs(got[0]["p"] - 1.0) < 1e-9 and abs(got[1]["p"] - (1 - 7 / 10 * 6 / 9)) < 1e-12
+    assert got[2]["p"] == 0.0 and got[3]["p"] == 1.0

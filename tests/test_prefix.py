@@ -37,3 +37,23 @@ def test_running_min_max(spark):
         exp = df.withColumn("e", fn("v").over(w))
         j = got.select("id", "r").join(exp.select("id", "e"), "id")
         assert j.where(F.abs(F.col("r") - F.col("e")) > 1e-9).count() == 0 and j.count() == 4000
+
+
+def test_groups_do_not_disturb_each_other(spark):
+    rows = [("a", 1, 1e17), ("b", 1, 0.1), ("b", 2, 0.2), ("c", 1, float("inf")), ("d", 1, 0.5), ("d", 2, None), (None, 1, 2.0), (None, 2, 3.0)]
+    df = spark.createDataFrame(rows, "g string, id long, v double")
+    got = {(r["g"], r["id"]): r["s"] for r in prefix_scan(df, ["g"], ["id"], "v", "s", num_partitions=3, integral=False).collect()}
+    assert got == {("a", 1): 1e17, ("b", 1): 0.1, ("b", 2): 0.1 + 0.2, ("c", 1): float("inf"), ("d", 1): 0.5, ("d", 2): 0.5,
+                   (None, 1): 2.0, (None, 2): 5.0}
+
+
+def test_large_integers_stay_exact_without_exchange_reuse(spark):
+    df = spark.range(0, 20000).select("id", (F.col("id") % 3).alias("g"), (F.col("id") + F.lit(2 ** 53)).alias("v"))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        rows = row_numbers(df, [], ["id"], "rn", num_partitions=8)
+        assert rows.where("rn <> id + 1").count() == 0 and rows.count() == 20000
+        total = prefix_scan(df.where("id < 30"), ["g"], ["id"], "v", "s", num_partitions=4)
+        assert total.where("id = 27").first()["s"] == sum(i + 2 ** 53 for i in range(0, 28, 3))
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")

@@ -95,3 +95,18 @@ def test_bpe_matches_python_reference(spark):
     inv = {v: k for k, v in vocab.items()}
     for i, t in enumerate(corpus):
         assert "".join(inv[x] for x in enc[i]) == t
+
+
+def test_bpe_encode_keeps_every_document_and_knows_every_character(spark):
+    from tessera.operators import bpe as B
+    docs = spark.createDataFrame([(1, "abab"), (2, ""), (3, None), (4, "xyz")], "id long, text string")
+    model, _ = B.learn_merges(B.piece_frequencies(docs), 2)
+    got = {r["id"]: r["input_ids"] for r in B.encode(docs, model).collect()}
+    assert got.keys() == {1, 2, 3, 4} and got[2] == got[3] == [] and len(model.vocab()) not in got[4]
+
+
+def test_unrelated_rows_do_not_change_blocks(spark):
+    few = spark.range(100).select(F.col("id"), F.transform(F.sequence(F.lit(1), F.lit(7)), lambda x: x.cast("int")).alias("ids"))
+    many = spark.range(1000).select(F.col("id"), F.transform(F.sequence(F.lit(1), F.lit(7)), lambda x: x.cast("int")).alias("ids"))
+    blocks = [{(r["pack_group"], r["block"]): r["length"] for r in S.pack(d, "ids", "id", [], max_length=50, ids_per_group=50).collect()} for d in (few, many)]
+    assert blocks[0].items() <= blocks[1].items()
