@@ -7,8 +7,9 @@ Tokens of one host with equal vectors form an equivalence class; a class is
 valid if its tokens occur at most once a page, so that they are ordered by
 position and nested by path.  Valid classes nest into the host's template; the
 places where they say that text goes are its slots.  The content slot of a class
-is its innermost element that still holds most of the page's running text, and
-a page is read from the deepest content slot that it has.
+is its innermost container that still holds most of the page's running text, an
+article or main element before others, and a page is read from the first such
+slot that it has.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts
 and styles are known by element name, role or class word and belong to no slot.
@@ -45,6 +46,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template textarea title svg math iframe object select button".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
                   "h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+CONTAINER = "article main section div body html td center".split()
 CHROME = frozenset("nav aside form footer menu dialog head".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar form".split())
 CHROME_WORDS = frozenset("ad ads advert advertisement advertising sponsor sponsored promo cookie cookies consent notice popup modal menu "
@@ -135,10 +137,11 @@ def host(url: str = "url"):
 
 
 def deduce_templates(pages: DataFrame, share: float = 0.8) -> DataFrame:
-    """(host, slots): the paths of the host's content slots, deepest first.
+    """(host, slots): the paths of the host's content slots, articles first, then
+    deepest first.
 
-    A class's content slot is its longest path whose text makes at least ``share``
-    of the running text of the pages that have it."""
+    A class's content slot is its container whose text makes at least ``share``
+    of the running text of the pages that have it, in that order."""
     def tokens(batches):
         for pdf in batches:
             seen: dict[tuple[str, str], list[int]] = {}
@@ -157,8 +160,9 @@ def deduce_templates(pages: DataFrame, share: float = 0.8) -> DataFrame:
     found = (pages.select(host().alias("host"), "html").mapInPandas(tokens, "host string, path string, " + ", ".join(f"{c} long" for c in sums))
              .groupBy("host", "path").agg(*[F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in sums]))
     vector = ["host", "pages", "n", "v1", "v2"]
-    once = found.where((F.col("n") == F.col("pages")) & (F.col("chars") >= share * F.col("whole")))
-    slot = once.groupBy(*vector).agg(F.max(F.struct(F.size(F.split("path", "/")).alias("depth"), F.length("path").alias("size"), "path")).alias("s"))
+    name = F.regexp_extract("path", r"([^/.]*)(?:\.[^/]*)?$", 1)
+    once = found.where((F.col("n") == F.col("pages")) & (F.col("chars") >= share * F.col("whole")) & name.isin("", *CONTAINER))
+    slot = once.groupBy(*vector).agg(F.max(F.struct(name.isin("article", "main").alias("article"), F.size(F.split("path", "/")).alias("depth"), F.length("path").alias("size"), "path")).alias("s"))
     return slot.groupBy("host").agg(F.sort_array(F.collect_set("s"), asc=False).alias("s")).select("host", F.col("s.path").alias("slots"))
 
 

@@ -149,3 +149,9 @@ def test_registered(spark):
         inner = re.search(r"<article>(.*?)</article>", pages[r["page_id"]], re.S)[1]
         parts = [" ".join(unescape(re.sub(r"</?b>", "", x)).split()) for x in re.split(r"</?p>|</?h1>|<br>", inner)]
         assert r["text"] == "\n".join(x for x in parts if x)
+
+
+def test_one_long_paragraph_is_not_the_slot(spark):
+    rows = [(i, "http://h.x/", f"<article><h1>Head {i}</h1><p>{'text ' * 90}</p></article>") for i in range(3)]
+    got = X.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(r["text"] == f"Head {r['page_id']}\n" + ("text " * 90).strip() for r in got)
