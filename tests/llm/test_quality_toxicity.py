@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -12,7 +14,8 @@ def _corpus(spark, n=300):
     rows, labels = [], []
     for i in range(n):
         bad = i % 3 == 0
-        words = [f"w{(i * 7 + j * 13) % 50}" for j in range(60)]
+        r = random.Random(i)
+        words = [f"w{r.randrange(300)}" for _ in range(60)]
         rows.append((i, ("!!! ".join(words).upper() if bad else " ".join(words)) + (" idiot moron" if i % 5 == 0 else ""), "en", "s", 0))
         labels.append((i, 0 if bad else 1, 1 if i % 5 == 0 else 0))
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), spark.createDataFrame(labels, LABELS)
