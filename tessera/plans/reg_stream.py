@@ -1,42 +1,19 @@
-"""Streaming queries (R1-R8): events / documents staged into time-ordered
-files, replayed with ``availableNow``; each result must equal its batch form."""
+"""Streaming queries (R1-R8): file streams over the given tables, drained with
+``availableNow``; each result must equal its batch form."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import keyed_unit, sql_unit
-from tessera.plans.adapters import table
 from tessera.plans.registry import register
 from tessera.streaming import monitor as S
 
-N_FILES = 6
-
-
-_STAGED: dict[tuple, str] = {}
-
-
-def _staged_events(spark, sf, redeliver_rate: float) -> tuple[str, object]:
-    """The replay log: events staged once per session into time-ordered
-    files (the stand-in for the log a production stream reads)."""
-    e = table(spark, sf, "events").withColumn("us", S.epoch_micros("ts"))
-    key = (spark.sparkContext.applicationId, sf, redeliver_rate)
-    if key not in _STAGED:
-        base = S.scratch(spark, "events-log")
-        again = e.where(keyed_unit("redeliver", "event_id") < redeliver_rate) if redeliver_rate > 0 else None
-        S.stage_files(e, "us", N_FILES, f"{base}/in", redeliver=again)
-        _STAGED[key] = f"{base}/in"
-    return _STAGED[key], e.schema
-
-
-def _event_stream(spark, sf, name, redeliver_rate: float = 0.0):
-    """Open a file stream over the staged events log; each run gets its own
+def _event_stream(spark, sf, name):
+    """A file stream over the events table itself; each run gets its own
     checkpoint and sink folder."""
-    log, schema = _staged_events(spark, sf, redeliver_rate)
-    base = S.scratch(spark, name)
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(log)
-              .withColumn("t", S.event_time("ts")))
-    return stream, base
+    stream = S.stream_table(spark, sf, "events").withColumn("t", S.event_time("ts"))
+    return stream, S.scratch(spark, name)
 
 
 @register("r4_stream_tumbling_windows", """
@@ -100,7 +77,8 @@ def q_r5(spark, sf):
 @register("r1_r2_stream_usage_totals", """
 SELECT event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY event_type""")
 def q_r1(spark, sf):
-    stream, base = _event_stream(spark, sf, "r1", redeliver_rate=0.05)
+    stream, base = _event_stream(spark, sf, "r1")
+    stream = stream.unionByName(stream.where(keyed_unit("redeliver", "event_id") < 0.05))  # delivered twice
     w = S.usage_totals_stream(stream, "event_id", "t", ["event_type"], "value", f"{base}/out")
     S.run_available_now(w, f"{base}/ckpt")
     return S.read_usage_totals(spark, f"{base}/out", ["event_type"])
@@ -110,13 +88,11 @@ def q_r1(spark, sf):
 SELECT 'ok' AS status, count(*) AS n FROM events
 UNION ALL SELECT 'rejected', count(*) FROM events WHERE {sql_unit('corrupt', 'event_id')} < 0.02""")
 def q_r3(spark, sf):
-    e = table(spark, sf, "events")
+    e = S.stream_table(spark, sf, "events")
     base = S.scratch(spark, "r3")
-    good = e.select(S.epoch_micros("ts").alias("us"), F.to_json(F.struct("event_id", "ts", "user_id", "event_type", "value")).alias("value"))
-    bad = e.where(keyed_unit("corrupt", "event_id") < 0.02).select(
-        S.epoch_micros("ts").alias("us"), F.concat(F.lit("{\"event_id\": "), F.col("event_id").cast("string"), F.lit(", \"ts")).alias("value"))
-    S.stage_files(good.unionByName(bad), "us", N_FILES, f"{base}/in", fmt="parquet")
-    lines = spark.readStream.schema("us long, value string").option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    good = F.to_json(F.struct("event_id", "ts", "user_id", "event_type", "value"))
+    bad = F.when(keyed_unit("corrupt", "event_id") < 0.02, F.concat(F.lit("{\"event_id\": "), F.col("event_id").cast("string"), F.lit(", \"ts")))
+    lines = e.select(F.explode(F.array_compact(F.array(good, bad))).alias("value"))
     parsed = S.parse_with_rejects(lines, e.select("event_id", "ts", "user_id", "event_type", "value").schema)
 
     def write_batch(batch, batch_id):
@@ -131,12 +107,8 @@ def q_r3(spark, sf):
 
 @register("r7_stream_near_dup")
 def q_r7(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "lang", "text")
     base = S.scratch(spark, "r7")
-    # the verdicts do not depend on how the log is cut into micro-batches
-    # (tests/test_streaming.py: equal to batch); 3 files keep per-batch cost low
-    S.stage_files(d.withColumn("us", F.col("doc_id")), "us", 3, f"{base}/in")
-    stream = spark.readStream.schema(d.schema.add("us", "long")).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    stream = S.stream_table(spark, sf, "documents").select("doc_id", "lang", "text")
     w = S.online_near_dup(stream, "doc_id", "text", ["lang"], f"{base}/index", f"{base}/out")
     S.run_available_now(w, f"{base}/ckpt")
     return spark.read.parquet(f"{base}/out").select("doc_id", "kept")

@@ -62,6 +62,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A file stream over ``<folder>/<name>.parquet``, a folder of files or one file."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    one = p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isFile()
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder) if one else reader.parquet(path)
+
+
 def stage_files(df: DataFrame, order_micros: str, n_files: int, base: str, fmt: str = "parquet",
                 redeliver: DataFrame | None = None) -> str:
     """Write ``df`` as ``n_files`` single-file folders in ascending
