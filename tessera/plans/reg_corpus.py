@@ -8,9 +8,9 @@ from tessera.functions import constants as K
 from tessera.functions.hashing import keyed_unit, sql_u32, sql_unit
 from tessera.operators import quality as Q
 from tessera.operators import sampling as M
+from tessera.plans import tidy
 from tessera.plans.adapters import SQL_CODE_RECORDS, SQL_PAIRS, code_records, prompt_response_pairs, table
 from tessera.plans.corpus_report import corpus_report, corpus_report_sql
-from tessera.plans.prefix import row_numbers
 from tessera.plans.registry import register
 
 PYS = r"\t\n\x{0B}\f\r\x{1C}-\x{1F}\x{85}\p{Z}"
@@ -264,29 +264,23 @@ def q_a4(spark, sf):
 
 @register("w1_head_split", """
 WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn, count(*) OVER () AS n FROM documents)
-SELECT doc_id, rn, CASE WHEN rn <= greatest(10, n // 10) THEN 'dev' ELSE 'train' END AS split FROM r""")
+SELECT doc_id, CASE WHEN rn <= greatest(10, n // 10) THEN 'dev' ELSE 'train' END AS split FROM r""")
 def q_w1(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id")
-    n = d.count()  # scalar action
-    dev = max(10, n // 10)
-    rn = row_numbers(d, [], ["doc_id"], "rn")
-    return rn.withColumn("split", F.when(F.col("rn") <= dev, F.lit("dev")).otherwise(F.lit("train")))
+    return tidy.head_split(table(spark, sf, "documents").select("doc_id"), ["doc_id"])
 
 
 @register("w1_hash_split", f"""
 SELECT doc_id, CASE WHEN {sql_unit('split', 'doc_id')} < 0.1 THEN 'dev' ELSE 'train' END AS split FROM documents""")
 def q_w1_hash(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id")
-    return d.withColumn("split", F.when(keyed_unit("split", "doc_id") < 0.1, F.lit("dev")).otherwise(F.lit("train")))
+    return tidy.hash_split(table(spark, sf, "documents").select("doc_id"), "doc_id")
 
 
 @register("u4_split_leakage", f"""
 WITH s AS (SELECT sha256(text) AS h, {sql_unit('split', 'doc_id')} < 0.1 AS is_dev FROM documents)
 SELECT h AS content_hash FROM s WHERE is_dev INTERSECT SELECT h FROM s WHERE NOT is_dev""")
 def q_u4(spark, sf):
-    d = table(spark, sf, "documents").select(F.sha2("text", 256).alias("content_hash"),
-                                             (keyed_unit("split", "doc_id") < 0.1).alias("is_dev"))
-    return d.where("is_dev").select("content_hash").intersect(d.where("not is_dev").select("content_hash"))
+    split = tidy.hash_split(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return tidy.split_leakage(split, "text").withColumnRenamed("h", "content_hash")
 
 
 @register("w6_first_per_category", f"""

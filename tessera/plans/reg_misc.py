@@ -7,17 +7,21 @@ from pyspark.sql import functions as F
 
 from tessera.functions.hashing import keyed_unit, sql_unit
 from tessera.operators import evalmetrics as EV
+from tessera.operators import sequences as SEQ
 from tessera.plans.adapters import SQL_PAIRS, prompt_response_pairs, table, verdicts
 from tessera.plans.registry import register
+from tessera.sources import files
+from tessera.streaming.monitor import scratch
 
 
 @register("s4_keyed_last_wins", """
 SELECT source, max_by(doc_id, doc_id) AS doc_id, max_by(n_chars, doc_id) AS n_chars FROM documents GROUP BY source""")
 def q_s4(spark, sf):
-    """Last record (in id order) per key, as an aggregate (no window)."""
+    """Documents written as JSON lines in id order and read back: the last line of a key wins."""
     d = table(spark, sf, "documents").select("source", "doc_id", "n_chars")
-    last = d.groupBy("source").agg(F.max_by(F.struct("doc_id", "n_chars"), "doc_id").alias("r"))
-    return last.select("source", "r.doc_id", "r.n_chars")
+    path = scratch(spark, "s4-lines")
+    d.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.json(path)
+    return files.keyed_last_wins(spark, path, "source", "source string, doc_id long, n_chars long")
 
 
 @register("w12_first_n_problems", """
@@ -82,3 +86,15 @@ def q_t7(spark, sf):
     j = pred.join(e.select("vec_id", "label"), "vec_id")
     return j.agg(F.count("*").alias("n_pairs"),
                  F.round(F.avg((F.col("pred") == F.col("label")).cast("double")), 6).alias("accuracy"))
+
+
+@register("t7_shifted_pairs", """
+WITH t AS (SELECT doc_id, list_transform(string_split(substring(text, 1, 100), ''), lambda c: unicode(c) % 1000) AS ids FROM documents WHERE length(text) > 0)
+SELECT doc_id, len(ids) - 1 AS n_pairs,
+       CAST(coalesce(list_sum(list_transform(range(1, len(ids)), lambda i: CAST(ids[i] AS BIGINT) * ids[i + 1])), 0) AS BIGINT) AS product_sum FROM t""")
+def q_t7_pairs(spark, sf):
+    """Inputs against the labels one place on, over the toy tokenizer's ids."""
+    d = table(spark, sf, "documents").where(F.length("text") > 0).select("doc_id", SEQ.codepoint_ids(F.col("text")).alias("ids"))
+    z = d.select("doc_id", SEQ.shifted_pairs("ids", "ids").alias("z"))
+    total = F.aggregate("z", F.lit(0).cast("bigint"), lambda s, p: s + p["x"].cast("bigint") * p["y"].cast("bigint"))
+    return z.select("doc_id", F.size("z").cast("bigint").alias("n_pairs"), total.alias("product_sum"))
