@@ -303,8 +303,8 @@ def related_files(files: DataFrame, current: DataFrame, k: int = 5, use: int = 3
 # --- P23 chat history ---------------------------------------------------------------------
 
 def chat_prompts(conv: DataFrame, history: int = 5, system: str = "You are a helpful coding assistant.\n") -> DataFrame:
-    """For every user turn that has an answer, the prompt built from the
-    previous ``history`` exchanges and the current input.
+    """For every user turn, answered or pending, the prompt built from the
+    previous ``history`` completed exchanges and the current input.
 
     ``conv(conv_id, turn, role, text)``; an exchange is a user row followed
     by an assistant row.  Exchanges fan out to the next ``history`` user
@@ -313,15 +313,16 @@ def chat_prompts(conv: DataFrame, history: int = 5, system: str = "You are a hel
     u = conv.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("user"))
     a = conv.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"),
                                                            F.col("text").alias("assistant"))
-    ex = u.join(a, ["conv_id", "turn"])  # completed exchanges, keyed by user turn
-    # exchange index per conversation: rank of the user turn among exchanges
-    from tessera.plans.prefix import row_numbers
-    ex = row_numbers(ex, ["conv_id"], ["turn"], "ex_idx")
+    asked = u.join(a, ["conv_id", "turn"], "left").withColumn("done", F.col("assistant").isNotNull().cast("int"))
+    # a turn's target: one more than the exchanges completed before it
+    from tessera.plans.prefix import prefix_scan
+    asked = prefix_scan(asked, ["conv_id"], ["turn"], "done", "so_far").withColumn("target", F.col("so_far") - F.col("done") + 1)
+    ex = asked.where("done = 1").withColumnRenamed("target", "ex_idx")
     hist = ex.select("conv_id", F.col("ex_idx").alias("src"), "user", "assistant",
                      F.explode(F.sequence(F.col("ex_idx") + 1, F.col("ex_idx") + history)).alias("target"))
     grouped = hist.groupBy("conv_id", "target").agg(
         F.array_sort(F.collect_list(F.struct("src", "user", "assistant"))).alias("h"))
-    cur = ex.select("conv_id", "turn", F.col("ex_idx").alias("target"), F.col("user").alias("current"))
+    cur = asked.select("conv_id", "turn", "target", F.col("user").alias("current"))
     j = cur.join(grouped, ["conv_id", "target"], "left")
     parts = F.transform(F.coalesce(F.col("h"), F.array()), lambda x: F.concat(
         F.lit("User: "), x["user"], F.lit("\n\nAssistant: "), x["assistant"]))

@@ -176,10 +176,11 @@ def q_p21(spark, sf):
 @register("p23_chat_prompts", """
 WITH u AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'user'),
 a AS (SELECT conv_id, turn - 1 AS turn, text FROM conversations WHERE role = 'assistant'),
-ex AS (SELECT u.conv_id, u.turn, u.text AS usr, a.text AS asst FROM u JOIN a USING (conv_id, turn)),
+ex AS (SELECT u.conv_id, u.turn, u.text AS usr, a.text AS asst FROM u LEFT JOIN a USING (conv_id, turn)),
 h AS (SELECT conv_id, turn, usr,
-        list('User: ' || usr || chr(10) || chr(10) || 'Assistant: ' || asst) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS hist,
-        row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS exchange FROM ex)
+        list_filter(list('User: ' || usr || chr(10) || chr(10) || 'Assistant: ' || asst) OVER w, lambda x: x IS NOT NULL)[-5:] AS hist,
+        count(asst) OVER w + 1 AS exchange FROM ex
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
 SELECT conv_id, turn, exchange, md5(array_to_string(list_concat(['You are a helpful coding assistant.' || chr(10)], coalesce(hist, []),
        ['User: ' || usr, 'Assistant:']), chr(10) || chr(10))) AS prompt_md5 FROM h""")
 def q_p23(spark, sf):
