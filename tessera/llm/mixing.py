@@ -90,13 +90,13 @@ def plan_slots(quota: DataFrame, shard_slots: int = 4096, seed: int = 7) -> Data
     slots = spark.range(total).select(F.col("id").alias("slot"), F.floor(F.col("id") / shard_slots).alias("shard"),
                                       F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(max(total, 1))).alias("draw"))
     drawn = _owner(slots, "draw", _intervals(quota.select("sid", "quota"), F.col("quota"))).select("slot", "shard", "sid", "quota")
-    counts = drawn.groupBy("sid", "shard").agg(F.count("*").alias("n"))  # the multinomial counts
-    offsets = running_total(counts, ["sid"], "shard", "n", "offset", levels=3)
+    counts = staged(drawn.groupBy("sid", "shard").agg(F.count("*").alias("n")), "mix-counts")  # the multinomial counts
+    offsets = running_total(counts, ["sid"], "shard", "n", "offset", levels=2)
     within = F.row_number().over(Window.partitionBy("sid", "shard").orderBy("slot")) - 1
     ranked = drawn.withColumn("rank", within).join(offsets.select("sid", "shard", "offset"), ["sid", "shard"]) \
                   .withColumn("rank", F.col("rank") + F.col("offset")).drop("offset")
     got = counts.groupBy("sid").agg(F.sum("n").alias("got"))
-    balance = quota.select("sid", "quota").join(got, "sid", "left").withColumn("got", F.coalesce("got", F.lit(0))).cache()
+    balance = quota.select("sid", "quota").join(got, "sid", "left").withColumn("got", F.coalesce("got", F.lit(0)))
     over = _intervals(balance, F.greatest(F.col("got") - F.col("quota"), F.lit(0))).select("sid", F.col("lo").alias("over_lo"))
     short = _intervals(balance, F.greatest(F.col("quota") - F.col("got"), F.lit(0))) \
         .select(F.col("sid").alias("to_sid"), "got", "lo", "hi")
@@ -116,7 +116,7 @@ def mix(docs: DataFrame, block_words: int = 64, shard_slots: int = 4096, weights
     sources = staged(targets(sizes, weights, passes), "mix-sources")
     key = sources.select(F.col("source").alias("__source"), "sid", "source_size", "target")
     named = rows.join(key, F.col("source").eqNullSafe(F.col("__source"))).drop("__source", "source")
-    placed = running_total(named.where("size > 0"), ["sid"], "doc_id", "size", "start", ["size", "__h"])
+    placed = running_total(named.where("size > 0"), ["sid"], "doc_id", "size", "start", ["size", "__h"], levels=3)
     # a share of a source is the same share of its blocks, each pass over them taking every block once
     blocks = F.ceil(F.col("source_size") / block_words)
     quota = sources.where("source_size > 0").select("sid", blocks.alias("blocks"),
