@@ -1,27 +1,27 @@
-"""Toxicity by nearest labelled examples under exact TF-IDF cosine.
+"""Toxicity by nearest labelled examples under cosine of label-weighted TF-IDF.
 
 A bounded, documented sample of labelled documents becomes an index of
-examples.  Its vocabulary holds the terms whose presence goes with the label
-(chi-squared over the sample, copies of one text counted once); inverse
-document frequencies count every document.  The index is cut into blocks of
-examples; per term each block keeps its postings and their greatest weight.
-A query bounds every block by the sum of those maxima, opens blocks in falling
-order of bound and stops when no unopened block can reach the k-th best
-cosine, so the neighbours are exact.  Neighbours vote with a weight that grows
+examples.  Every term of the sample is indexed.  A term weighs its inverse
+document frequency, which counts every document, times the strength with which
+its presence goes with the label in the sample (phi; copies of one text count
+once).  The weight is never zero: what goes with no label weighs as much as
+chance gives.  So one rare word that only toxic examples hold outweighs the
+text around it, and a text of other words is still compared by those words.
+
+Cosines with all examples are exact: terms that many examples hold are one
+dense matrix, the others are postings.  Neighbours vote with a weight that grows
 as the cosine distance shrinks; leave-one-out votes of the examples themselves
 calibrate the vote into a probability.
 
-Null text counts as empty.  A text with no vocabulary term has no neighbour
-and scores as such examples did in the sample.
+Null text counts as empty.  A text that shares no term with the sample has no
+neighbour and scores as such examples did in the sample.
 """
 
 from __future__ import annotations
 
-import math
 import re
 import zlib
-from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -37,48 +37,124 @@ def terms_of(text: str | None) -> list[str]:
     return _TERM.findall((text or "").lower())
 
 
+class Vocabulary(dict):
+    """Term -> number in order; sent as one string."""
+
+    def __reduce__(self):
+        return _vocabulary, ("\n".join(self),)
+
+
+def _vocabulary(names: str) -> Vocabulary:
+    return Vocabulary((t, i) for i, t in enumerate(names.split("\n") if names else ()))
+
+
 @dataclass
 class ExampleIndex:
-    """Bounded by ``sample_rows`` examples over ``max_terms`` terms."""
+    """Bounded by the terms of ``sample_rows`` examples."""
 
     terms: dict[str, int]
-    idf: np.ndarray
-    ids: np.ndarray       # example ids in block order
+    weight: np.ndarray    # of a term: idf times association
+    ids: np.ndarray       # example ids in the order of places
     labels: np.ndarray
-    blocks: list[dict[int, tuple[np.ndarray, np.ndarray]]]  # term -> places in the block, weights
-    maxima: np.ndarray    # term x block
+    first: np.ndarray     # place -> its first entry, and the end
+    held: np.ndarray      # terms of the examples by place
+    times: np.ndarray     # how often the example has the term
     block_size: int
     k: int
     base: float
     steps: tuple[np.ndarray, np.ndarray]  # calibration: vote -> probability
     blank: float
+    lists: tuple[np.ndarray, ...] | None = field(default=None, repr=False)
+
+    def __getstate__(self):
+        return self.__dict__ | {"lists": None}
+
+    def example(self, place: int) -> tuple[np.ndarray, np.ndarray]:
+        at = slice(self.first[place], self.first[place + 1])
+        return self.unit(self.held[at], self.times[at])
+
+    def unit(self, t: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = (1.0 + np.log(n, dtype=float)) * self.weight[t]
+        return t, raw / max(float(np.sqrt(raw @ raw)), 1e-300)
+
+    def postings(self) -> tuple[np.ndarray, ...]:
+        """term -> first posting; places and weights by term, then place; term ->
+        row of the dense matrix or -1; that matrix.  Made where it is first used."""
+        if self.lists is None:
+            n = len(self.ids)
+            size = np.diff(self.first)
+            raw = (1.0 + np.log(self.times, dtype=float)) * self.weight[self.held]
+            if n:
+                raw /= np.repeat(np.sqrt(np.add.reduceat(raw * raw, self.first[:-1])), size)
+            order = np.argsort(self.held, kind="stable")
+            places = np.repeat(np.arange(n, dtype=np.int32), size)[order]
+            weights, starts = raw[order], np.searchsorted(self.held[order], np.arange(len(self.terms) + 1))
+            often = np.flatnonzero(np.diff(starts) > n // 20)
+            row = np.full(len(self.terms), -1)
+            row[often] = np.arange(len(often))
+            matrix = np.zeros((len(often), n))
+            for r, t in enumerate(often):
+                at = slice(starts[t], starts[t + 1])
+                matrix[r, places[at]] = weights[at]
+            self.lists = starts, places, weights, row, matrix
+        return self.lists
+
+    @property
+    def blocks(self) -> list[dict[int, tuple[np.ndarray, np.ndarray]]]:
+        """Per block of ``block_size`` examples: term -> places in the block, weights."""
+        made: list[dict] = [{} for _ in range(-(-len(self.ids) // self.block_size))]
+        starts, places, weights, *_ = self.postings()
+        for t in range(len(self.terms)):
+            at = slice(starts[t], starts[t + 1])
+            block = places[at] // self.block_size
+            for b in np.unique(block):
+                made[b][t] = (places[at][block == b] % self.block_size, weights[at][block == b])
+        return made
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The text's terms in order, and how often it has them."""
+        return np.unique(np.array([t for t in map(self.terms.get, terms_of(text)) if t is not None], np.int32), return_counts=True)
+
+    def arrays(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        return self.unit(*self.counts(text))
 
     def vector(self, text: str | None) -> dict[int, float]:
-        count = Counter(t for t in map(self.terms.get, terms_of(text)) if t is not None)
-        raw = {t: (1.0 + math.log(n)) * float(self.idf[t]) for t, n in sorted(count.items())}
-        norm = math.sqrt(sum(v * v for v in raw.values()))
-        return {t: v / norm for t, v in raw.items()} if norm else {}
+        t, w = self.arrays(text)
+        return dict(zip(t.tolist(), w.tolist()))
+
+    def scores(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Cosines of some vectors with all examples."""
+        starts, places, weights, row, matrix = self.postings()
+        query, rest = np.zeros((len(vectors), len(matrix))), []
+        for q, (t, w) in zip(query, vectors):
+            r = row[t]
+            q[r[r >= 0]] = w[r >= 0]
+            rest.append((t[r < 0], w[r < 0]))
+        score = query @ matrix
+        for line, (t, w) in zip(score, rest):
+            if len(t):
+                lo, hi = starts[t], starts[t + 1]
+                at = [slice(x, y) for x, y in zip(lo.tolist(), hi.tolist())]
+                share = np.concatenate([weights[x] for x in at]) * np.repeat(w, hi - lo)
+                line += np.bincount(np.concatenate([places[x] for x in at]), share, len(line))
+        return np.round(score, 12, out=score)  # sums in another order differ less: copies tie
+
+    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], leave_out: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """Per vector the k greatest positive cosines as (cosine, place), ties by place."""
+        out = []
+        for at in range(0, len(vectors), 64):  # a few vectors at a time bounds the cosines held
+            for i, line in enumerate(self.scores(vectors[at:at + 64])):
+                if leave_out is not None:
+                    line[leave_out[at + i]] = 0.0
+                least = np.partition(line, -self.k)[-self.k] if len(line) > self.k else 0.0
+                some = np.flatnonzero((line >= least) & (line > 0))
+                some = some[np.argsort(-line[some], kind="stable")][:self.k]
+                out.append(list(zip(line[some].tolist(), some.tolist())))
+        return out
 
     def neighbours(self, vector: dict[int, float], leave_out: int | None = None) -> list[tuple[float, int]]:
-        """The k greatest positive cosines as (cosine, place), ties by place."""
-        if not vector or not self.blocks:
-            return []
-        bound = sum(self.maxima[t] * w for t, w in vector.items())
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            full = len(best) == self.k
-            if bound[b] <= 0 or (full and bound[b] < -best[-1][0] - 1e-12):
-                break
-            if full and bound[b] <= -best[-1][0] and b * self.block_size > best[-1][1]:
-                continue  # could only tie, and ties go to the lower place
-            score = np.zeros(self.block_size)
-            for t, w in vector.items():
-                if (posting := self.blocks[b].get(t)) is not None:
-                    score[posting[0]] += posting[1] * w
-            at = int(b) * self.block_size
-            found = [(-float(score[i]), at + int(i)) for i in np.flatnonzero(score > 0) if at + int(i) != leave_out]
-            best = sorted(best + found)[:self.k]
-        return [(-s, i) for s, i in best]
+        arrays = np.array(list(vector), np.int32), np.array(list(vector.values()), float)
+        return self.nearest([arrays], None if leave_out is None else [leave_out])[0]
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         weight = [s / (1.1 - min(1.0, s)) for s, _ in near]
@@ -106,13 +182,11 @@ def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, np.array([(p[1] + 0.5) / (p[2] + 1.0) for p in pools])
 
 
-def _select_terms(sample: DataFrame, min_chi2: float, min_phi2: float, min_texts: int,
-                  min_share: float, max_terms: int) -> list[str]:
-    """Terms that go with the label.  Counts are of distinct least hashes of
-    word triples, which copies and near copies of a text share, so a copied text
-    counts about once.  A term must occur in ``min_share`` of a class's texts: a
-    rare word of a few texts says nothing about others.  ``min_phi2`` (chi-squared
-    over rows) drops weak associations that a large sample makes significant."""
+def _associations(sample: DataFrame, min_chi2: float, min_phi2: float, min_texts: int) -> tuple[Vocabulary, np.ndarray]:
+    """The terms of the sample and their association with the label: phi, and
+    at least what chance gives.  Counts are of distinct least hashes of word
+    triples, which copies and near copies of a text share, so a copied text
+    counts about once.  Without examples of both labels every term counts alike."""
 
     def distinct(batches):
         for pdf in batches:
@@ -131,104 +205,110 @@ def _select_terms(sample: DataFrame, min_chi2: float, min_phi2: float, min_texts
     held = sample.select("__y", "__text").mapInPandas(distinct, "__y int, h long, term string")
     n = {r["__y"]: r["n"] for r in held.groupBy("__y").agg(F.countDistinct("h").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
-    if not n1 or not n0:
-        return []
-    a, b = F.col("a"), F.col("b")
-    c, d = F.lit(n1) - a, F.lit(n0) - b
-    chi2 = (n1 + n0) * F.pow(a * d - b * c, 2) / (F.lit(float(n1) * n0) * (a + b) * (c + d + 1e-9))
-    per = (held.groupBy("term")
-           .agg(F.countDistinct(F.when(F.col("__y") == 1, F.col("h"))).cast("double").alias("a"),
-                F.countDistinct(F.when(F.col("__y") == 0, F.col("h"))).cast("double").alias("b")))
-    common = (a >= max(min_texts, min_share * n1)) | (b >= max(min_texts, min_share * n0))
-    top = (per.where(common & (chi2 >= max(min_chi2, min_phi2 * (n1 + n0)))).orderBy(chi2.desc(), "term").limit(max_terms))
-    return [r["term"] for r in top.select("term").collect()]
+    per = (held.groupBy("term").agg(F.countDistinct(F.when(F.col("__y") == 1, F.col("h"))).alias("a"),
+                                    F.countDistinct(F.when(F.col("__y") == 0, F.col("h"))).alias("b")).toPandas())
+    per = per.sort_values("term", kind="stable", ignore_index=True)
+    a, b = per["a"].to_numpy(float), per["b"].to_numpy(float)
+    if n1 and n0:
+        phi2 = (a * (n0 - b) - b * (n1 - a)) ** 2 / (float(n1) * n0 * (a + b) * (n1 + n0 - a - b + 1e-9))
+    else:
+        phi2 = np.ones(len(per))
+    keep = (np.maximum(a, b) >= min_texts) & (phi2 * (n1 + n0) >= max(min_chi2, min_phi2 * (n1 + n0)))
+    strength = np.sqrt(np.maximum(phi2[keep], 1.0 / max(n1 + n0, 1)))
+    return Vocabulary((t, i) for i, t in enumerate(per["term"][keep].tolist())), strength
 
 
 def document_frequencies(docs: DataFrame, terms: dict[str, int]) -> tuple[np.ndarray, int]:
     """Rows of ``docs`` that hold each vocabulary term, and all rows; every task
     sends one row per term it has seen."""
 
+    held = docs.sparkSession.sparkContext.broadcast(terms)
+
     def count(batches):
+        terms = held.value
         seen, rows = np.zeros(len(terms), np.int64), 0
         for pdf in batches:
             rows += len(pdf)
             for text in pdf["__text"]:
-                for t in {terms.get(w) for w in set(terms_of(text))} - {None}:
-                    seen[t] += 1
+                own = [t for t in map(terms.get, set(terms_of(text))) if t is not None]
+                seen[own] += 1
         at = np.flatnonzero(seen)
         yield pd.DataFrame({"t": np.append(at, -1), "n": np.append(seen[at], rows)})
 
     got = (docs.select(F.coalesce("text", F.lit("")).alias("__text")).mapInPandas(count, "t long, n long")
-           .groupBy("t").agg(F.sum("n").alias("n")).collect())
+           .groupBy("t").agg(F.sum("n").alias("n")).toPandas())
+    held.destroy()
+    t, n = got["t"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
     df = np.zeros(len(terms), np.int64)
-    total = 0
-    for r in got:
-        if r["t"] < 0:
-            total = r["n"]
-        else:
-            df[r["t"]] = r["n"]
-    return df, total
+    df[t[t >= 0]] = n[t >= 0]
+    return df, int(n[t < 0].sum())
 
 
 def build_index(docs: DataFrame, labels: DataFrame, target: str = "toxic", sample_rows: int = 20000, k: int = 16,
-                block_size: int = 64, min_chi2: float = 20.0, min_phi2: float = 0.01,
-                min_texts: int = 3, min_share: float = 0.02, max_terms: int = 1024) -> ExampleIndex:
-    """Index over at most ``sample_rows`` labelled documents, which is all that
-    reaches the driver (as sparse vectors over ``max_terms`` terms)."""
+                block_size: int = 64, min_chi2: float = 0.0, min_phi2: float = 0.0, min_texts: int = 1) -> ExampleIndex:
+    """Index over all terms of at most ``sample_rows`` labelled documents, which
+    is all that reaches the driver (as term numbers and counts).  ``min_chi2``,
+    ``min_phi2`` and ``min_texts`` leave terms out on demand."""
+    context = docs.sparkSession.sparkContext
     sample = training_rows(docs, labels, target, sample_rows)
-    chosen = _select_terms(sample, min_chi2, min_phi2, min_texts, min_share, max_terms)
-    terms = {t: i for i, t in enumerate(chosen)}
+    terms, strength = _associations(sample, min_chi2, min_phi2, min_texts)
     df, total = document_frequencies(docs, terms)
-    idf = np.log((1.0 + total) / (1.0 + df)) + 1.0
-    index = ExampleIndex(terms, idf, np.empty(0, np.int64), np.empty(0, np.int64), [], np.zeros((len(terms), 0)),
-                         block_size, k, 0.0, (np.empty(0), np.empty(0)), 0.0)
-
-    @F.pandas_udf("struct<t: array<int>, w: array<double>>")
-    def vectors(s: pd.Series) -> pd.DataFrame:
-        got = [index.vector(t) for t in s]
-        return pd.DataFrame({"t": [list(v) for v in got], "w": [list(v.values()) for v in got]})
-
-    rows = sample.select("__id", "__y", vectors("__text").alias("v")).collect()
-    rows = sorted(((r["__id"], r["__y"], dict(zip(r["v"]["t"], r["v"]["w"]))) for r in rows),
-                  key=lambda r: (r[0], r[1], sorted(r[2].items())))
-    index.base = (sum(y for _, y, _ in rows) + 0.5) / (len(rows) + 1.0)
-    blank = [y for _, y, v in rows if not v]
-    index.blank = (sum(blank) + 0.5) / (len(blank) + 1.0) if blank else index.base
-    held = sorted((r for r in rows if r[2]), key=lambda r: (max(r[2], key=r[2].get), -max(r[2].values()), r[0]))
-    index.ids = np.array([r[0] for r in held], np.int64)
-    index.labels = np.array([r[1] for r in held], np.int64)
-    n_blocks = -(-len(held) // block_size)
-    index.maxima = np.zeros((len(terms), n_blocks))
-    for b in range(n_blocks):
-        lists: dict[int, tuple[list, list]] = {}
-        for place, (_, _, v) in enumerate(held[b * block_size:(b + 1) * block_size]):
-            for t, w in v.items():
-                lists.setdefault(t, ([], []))[0].append(place)
-                lists[t][1].append(w)
-        index.blocks.append({t: (np.array(i), np.array(w)) for t, (i, w) in lists.items()})
-        for t, (_, w) in lists.items():
-            index.maxima[t, b] = max(w)
-    votes = [index.vote(index.neighbours(v, leave_out=i)) for i, (_, _, v) in enumerate(held)]
-    if votes:
-        index.steps = _isotonic(np.array(votes), index.labels.astype(float))
+    weight = (np.log((1.0 + total) / (1.0 + df)) + 1.0) * strength
+    none = np.empty(0, np.int64)
+    index = ExampleIndex(terms, weight, none, none, np.zeros(1, np.int64), np.empty(0, np.int32), np.empty(0, np.int32), block_size, k,
+                         0.0, (np.empty(0), np.empty(0)), 0.0)
+    sent = context.broadcast(index)
+
+    @F.pandas_udf("struct<t: binary, n: binary>")
+    def counted(s: pd.Series) -> pd.DataFrame:
+        got = [sent.value.counts(t) for t in s]
+        return pd.DataFrame({"t": [t.tobytes() for t, _ in got], "n": [n.astype(np.min_scalar_type(n.max(initial=0))).tobytes() for _, n in got]})
+
+    rows = sample.select("__id", "__y", counted("__text").alias("v")).select("__id", "__y", "v.*").toPandas()
+    rows = rows.sort_values(["__id", "__y", "t", "n"], kind="stable")
+    y = rows["__y"].to_numpy(np.int64)
+    index.base = (int(y.sum()) + 0.5) / (len(y) + 1.0)
+    some = rows["t"].map(len).to_numpy() > 0
+    index.blank = (int(y[~some].sum()) + 0.5) / (int((~some).sum()) + 1.0) if (~some).any() else index.base
+    if not some.any():
+        return index
+    index.ids, index.labels = rows["__id"].to_numpy(np.int64)[some], y[some]
+    size = rows["t"][some].map(len).to_numpy() // 4
+    index.first = np.append(0, np.cumsum(size))
+    index.held = np.frombuffer(b"".join(rows["t"][some]), np.int32)
+    index.times = np.concatenate([np.frombuffer(n, f"u{4 * len(n) // len(t)}") for t, n in zip(rows["t"][some], rows["n"][some])])
+    del rows
+    sent.destroy()
+    sent = context.broadcast(index)
+
+    def votes(batches):
+        index = sent.value
+        for pdf in batches:
+            own = pdf["id"].tolist()
+            near = index.nearest([index.example(i) for i in own], own)
+            yield pd.DataFrame({"id": own, "vote": [index.vote(x) for x in near]})
+
+    voted = docs.sparkSession.range(len(size)).mapInPandas(votes, "id long, vote double").toPandas().sort_values("id")
+    index.steps = _isotonic(voted["vote"].to_numpy(float), index.labels.astype(float))
+    sent.destroy()
     return index
 
 
 def with_toxicity(docs: DataFrame, index: ExampleIndex, out: str = "toxicity", evidence: int = 3) -> DataFrame:
     """``docs`` with a struct column ``out``: score, the number of neighbours,
-    and evidence (``id:label:cosine`` of the nearest, and the terms that met).
+    and evidence (``id:label:cosine`` of the nearest, and the greatest terms).
     Every row stays; a column called ``out`` is replaced."""
+    sent = docs.sparkSession.sparkContext.broadcast((index, list(index.terms)))
 
     @F.pandas_udf("struct<score: double, neighbours: int, evidence: string>")
     def judge(s: pd.Series) -> pd.DataFrame:
-        names = list(index.terms)
+        index, names = sent.value
         made = []
-        for text in s:
-            v = index.vector(text)
-            near = index.neighbours(v)
+        vectors = [index.arrays(text) for text in s]
+        for (t, w), near in zip(vectors, index.nearest(vectors)):
             shown = [f"{index.ids[i]}:{index.labels[i]}:{c:.4f}" for c, i in near[:evidence]]
-            top = sorted(v, key=lambda t: (-v[t], t))[:evidence]
-            made.append((index.probability(near), len(near), " ".join(shown + [names[t] for t in top])))
+            top = t[np.argsort(-w, kind="stable")[:evidence]]
+            made.append((index.probability(near), len(near), " ".join(shown + [names[i] for i in top])))
         return pd.DataFrame(made, columns=["score", "neighbours", "evidence"])
 
     return docs.withColumn(out, judge(F.coalesce("text", F.lit(""))))

@@ -89,3 +89,13 @@ def test_registered_queries(spark):
         got = QUERIES[name](spark, SF)
         assert got.select("doc_id").distinct().count() == got.count() == n
         assert got.where(~F.col("score").between(0, 1) | (F.col("predicted") != (F.col("score") >= 0.3).cast("int"))).count() == 0
+
+
+def test_rare_toxic_words_are_evidence(spark):
+    docs, labels = _corpus(spark, 600)  # 120 toxic; "zorgl" is in 2 of them, under 2 %
+    rare = spark.createDataFrame([(1000 + i, f"zorgl w{i} w{i + 40} w{i + 90}", "en", "s", 0) for i in range(4)], docs.schema)
+    named = spark.createDataFrame([(1000, 1, 1), (1001, 1, 1)], LABELS)
+    index = X.build_index(docs.unionByName(rare), labels.unionByName(named))
+    assert "zorgl" in index.terms and "w17" in index.terms
+    got = X.with_toxicity(rare, index).where("doc_id > 1001").select("toxicity.*").collect()
+    assert all(r.neighbours > 0 and r.evidence.split()[0].split(":")[1] == "1" and r.score >= 0.3 for r in got)
