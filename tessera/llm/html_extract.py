@@ -12,7 +12,8 @@ article or main element before others, and a page is read from the first such
 slot that it has.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts
-and styles are known by element name, role or class word and belong to no slot.
+and styles are known by element name, role or whole class and belong to no slot;
+a class or role doesn't count where the page's article or most of its text is below.
 Text is cut at block elements; white space (also of character references)
 becomes one space.
 
@@ -39,11 +40,10 @@ from tessera.llm.common import staged, unused
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_WORD = re.compile(r"[a-z]+")
 
 # FIXED VALUES: element names and class words, by what they do to text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg math iframe object select button".split())
+RAW = frozenset("script style template textarea title iframe select button".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
                   "h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CONTAINER = "article main section div body html td center".split()
@@ -52,32 +52,45 @@ CHROME_ROLES = frozenset("navigation banner contentinfo complementary search dia
 CHROME_WORDS = frozenset("ad ads advert advertisement advertising sponsor sponsored promo cookie cookies consent notice popup modal menu "
                          "nav navbar navigation breadcrumb breadcrumbs sidebar comment comments disqus newsletter subscribe".split())
 OUTER_WORDS = frozenset("header footer banner masthead".split())
+# what a chrome word is put together with: ad-banner, cookie-notice, left_sidebar
+CHROME_PARTS = frozenset("area bar block bottom box container footer header banner holder inner left list main outer panel primary right "
+                         "secondary section site slot top unit widget wrap wrapper".split())
+ROOTS = frozenset("html body main article".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
 
-def _is_chrome(name: str, words: set[str], role: str, inside: bool) -> bool:
-    if name in CHROME or words & CHROME_WORDS or role in CHROME_ROLES:
-        return True
-    return not inside and (name == "header" or bool(words & OUTER_WORDS))
+def _chrome_token(token: str) -> bool:
+    """A whole class or id that is a chrome word, or a compound of nothing else."""
+    parts = [p for p in re.split(r"[-_]+", token) if p]
+    return any(p in CHROME_WORDS for p in parts) and all(p in CHROME_WORDS or p in CHROME_PARTS for p in parts)
+
+
+def _is_chrome(name: str, tokens: list[str], role: str, inside: bool) -> str:
+    """"" for content, "name" for what an element's name tells, "word" for what
+    its class, id or role tells, which the page's text can refute."""
+    if name in ROOTS:
+        return ""
+    if name in CHROME or (name == "header" and not inside):
+        return "word" if name in ("form", "dialog") else "name"
+    if role in CHROME_ROLES or any(_chrome_token(t) or (t in OUTER_WORDS and not inside) for t in tokens):
+        return "word"
+    return ""
 
 
 def read_page(page: str | None) -> tuple[dict[str, list[int]], list[tuple[str, str]]]:
     """(path -> [openings, characters of running text below], blocks as (path, text))."""
     page = page or ""
-    elements: dict[str, list[int]] = {"": [1, 0]}
-    blocks: list[tuple[str, str]] = []
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # name, path, chrome, inside an article
-    held: list[str] = []
+    opened: list[tuple[str, tuple[int, ...]]] = []  # block elements: path, marks
+    texts: list[tuple[str, list[tuple[str, tuple[int, ...]]]]] = []  # blocks: path, pieces with their marks
+    # a mark is an element that looks like chrome: known by name, in an article, holds an article
+    marks: list[list[bool]] = []
+    stack: list[tuple[str, str, tuple[int, ...], bool]] = [("", "", (), False)]  # name, path, marks, inside an article
+    held: list[tuple[str, tuple[int, ...]]] = []
     at = 0
 
     def flush() -> None:
         if held:
-            path = next(p for n, p, _, _ in reversed(stack) if n in BLOCK or not n)
-            if text := " ".join(unescape("".join(held)).split()):
-                blocks.append((path, text))
-                parts = path.split("/") if path else []
-                for i in range(len(parts) + 1):
-                    elements["/".join(parts[:i])][1] += len(text)
+            texts.append((next(p for n, p, _, _ in reversed(stack) if n in BLOCK or not n), held.copy()))
             held.clear()
 
     def close(depth: int) -> None:
@@ -89,8 +102,8 @@ def read_page(page: str | None) -> tuple[dict[str, list[int]], list[tuple[str, s
         at = m.end()
         name = m[2]
         if name is None:
-            if not m[0].startswith(("<!", "<?")) and not stack[-1][2]:
-                held.append(m[0])
+            if not m[0].startswith(("<!", "<?")):
+                held.append((m[0], stack[-1][2]))
             continue
         name = name.lower()
         if m[1]:
@@ -105,8 +118,8 @@ def read_page(page: str | None) -> tuple[dict[str, list[int]], list[tuple[str, s
         if name in VOID:
             if name == "hr":
                 flush()
-            elif name == "br" and not stack[-1][2]:
-                held.append(" ")
+            elif name == "br":
+                held.append((" ", stack[-1][2]))
             continue
         if name in BLOCK:
             flush()
@@ -118,17 +131,51 @@ def read_page(page: str | None) -> tuple[dict[str, list[int]], list[tuple[str, s
                     break
         found = {a.lower(): (x or y or z).lower() for a, x, y, z in _ATTRIBUTE.findall(m[3])}
         classes = found.get("class", "").split()
-        words = set(_WORD.findall(found.get("class", "") + " " + found.get("id", "")))
-        _, above, chrome, inside = stack[-1]
-        chrome = chrome or _is_chrome(name, words, found.get("role", ""), inside) or found.get("aria-hidden") == "true"
+        tokens = [*classes, *found.get("id", "").split()]
+        _, above, under, inside = stack[-1]
+        chrome = "name" if found.get("aria-hidden") == "true" and name not in ROOTS else _is_chrome(name, tokens, found.get("role", ""), inside)
+        if name in ("article", "main"):
+            for i in under:
+                marks[i][2] = True
+        if chrome:
+            under = (*under, len(marks))
+            marks.append([chrome == "name", inside, False])
         path = above
         if name in BLOCK:
             own = ".".join([name, *sorted(c.replace("/", "") for c in classes)])
             path = f"{above}/{own}" if above else own
-            if not chrome:
-                elements.setdefault(path, [0, 0])[0] += 1
-        stack.append((name, path, chrome, inside or name in ("article", "main")))
+            opened.append((path, under))
+        stack.append((name, path, under, inside or name in ("article", "main")))
     flush()
+    return _running_text(opened, texts, marks)
+
+
+def _running_text(opened: list, texts: list, marks: list[list[bool]]) -> tuple[dict[str, list[int]], list[tuple[str, str]]]:
+    """Elements and blocks without chrome.  An element marked by class, id or role
+    is content if it holds an article (but for those within an article, as
+    comments are) or, on a page without an unmarked article, more than half of the
+    text that no name marks."""
+    plain = any(not under and path.rpartition("/")[2].split(".")[0] in ("article", "main") for path, under in opened)
+    size, total = [0] * len(marks), 0
+    for _, pieces in texts:
+        for text, under in pieces:
+            if not any(marks[i][0] for i in under):
+                n = len("".join(text.split()))
+                total += n
+                for i in under:
+                    size[i] += n
+    chrome = [named or not ((holds and not inside) or (2 * n > total and not plain)) for (named, inside, holds), n in zip(marks, size)]
+    elements: dict[str, list[int]] = {"": [1, 0]}
+    for path, under in opened:
+        if not any(chrome[i] for i in under):
+            elements.setdefault(path, [0, 0])[0] += 1
+    blocks: list[tuple[str, str]] = []
+    for path, pieces in texts:
+        if text := " ".join(unescape("".join(t for t, under in pieces if not any(chrome[i] for i in under))).split()):
+            blocks.append((path, text))
+            parts = path.split("/") if path else []
+            for i in range(len(parts) + 1):
+                elements.setdefault("/".join(parts[:i]), [0, 0])[1] += len(text)
     return elements, blocks
 
 

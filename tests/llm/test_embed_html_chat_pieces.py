@@ -155,3 +155,16 @@ def test_one_long_paragraph_is_not_the_slot(spark):
     rows = [(i, "http://h.x/", f"<article><h1>Head {i}</h1><p>{'text ' * 90}</p></article>") for i in range(3)]
     got = X.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert all(r["text"] == f"Head {r['page_id']}\n" + ("text " * 90).strip() for r in got)
+
+
+def test_chrome_words_in_content_classes():
+    def text(page):
+        return "\n".join(t for _, t in X.read_page(page)[1])
+
+    for tag in ("<body class='has-sidebar'>", "<body id='no-ads'>", "<body class='menu'>", "<body><div class='sidebar'>"):
+        assert text(f"{tag}<main class='content with-sidebar'><article class='post comments-open'><h1>A</h1><p>b c</p></article></main>") == "A\nb c"
+    assert text("<article><p class='ad-hoc'>one <span class='menu-item-name'>two</span> <math><mi>x</mi></math> <svg><text>y</text></svg>"
+                "<noscript>z</noscript> <object>w</object></p></article>") == "one two x yz w"
+    assert text("<body><form role='form'><p>all of the text</p><p class='ad'>buy</p></form>") == "all of the text"
+    assert text("<article><p>long enough</p></article><div class='ad-banner'>a</div><div id='left_sidebar'>b</div><p class='x cookie-notice'>c</p>") == "long enough"
+    assert text("<main><p>the text of it</p><div class='comments'><article>c</article></div></main>") == "the text of it"
