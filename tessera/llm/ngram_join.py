@@ -317,6 +317,11 @@ def _node(tokens: np.ndarray) -> int:
 def near_copy_classes(docs: DataFrame, words: int = 4, threshold: tuple[int, int] = (85, 100), hot: int = 32) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the least doc_id
     reachable by links of at least ``threshold`` = numerator / denominator)."""
+    return _classes(docs, words, threshold, hot).select("doc_id", "n_shingles", "component_id")
+
+
+def _classes(docs: DataFrame, words: int = 4, threshold: tuple[int, int] = (85, 100), hot: int = 32) -> DataFrame:
+    """``near_copy_classes`` with each document's node (rep) and its class (component; null without words)."""
     num, den = t = threshold
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -355,9 +360,9 @@ def near_copy_classes(docs: DataFrame, words: int = 4, threshold: tuple[int, int
             if token:
                 yield pd.DataFrame({"token": np.concatenate(token).view(np.int64), "rep": np.concatenate(owner)})
 
-    def null_nodes(batches):
+    def nodes(batches):
         for pdf in batches:
-            yield pd.DataFrame({"rep": [_node(shingle_set(x, words)) for x in pdf["text"]], "text": pdf["text"]})
+            yield pd.DataFrame({"id": pdf["doc_id"].astype("Int64"), "rep": [_node(shingle_set(x, words)) for x in pdf["text"]], "text": pdf["text"]})
 
     every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     sets = staged(every.mapInPandas(profile, "doc_id long, n long, rep long, sketch binary, tokens binary"), "ngram-sets")
@@ -383,9 +388,10 @@ def near_copy_classes(docs: DataFrame, words: int = 4, threshold: tuple[int, int
     named = full.select("doc_id", "rep").join(near.select(F.col("node").alias("rep")), "rep").groupBy("rep").agg(F.min("doc_id").alias("id"))
     named = staged(named, "ngram-named")
     wanted = _member_filter(named.where("id IS NOT NULL"), "id")
-    texts = every.where(F.col("doc_id").isNotNull()).where(wanted(F.col("doc_id"))).join(
-        named.where("id IS NOT NULL"), F.col("doc_id") == F.col("id")).select("rep", "text")
-    unnamed = every.where(F.col("doc_id").isNull()).select("text").mapInPandas(null_nodes, "rep long, text string")
+    # an id may have several texts: each row's own node says whether it is the one
+    fetched = every.where(F.col("doc_id").isNotNull()).where(wanted(F.col("doc_id"))).mapInPandas(nodes, "id long, rep long, text string")
+    texts = fetched.join(named.where("id IS NOT NULL"), ["id", "rep"]).select("rep", "text")
+    unnamed = every.where(F.col("doc_id").isNull()).mapInPandas(nodes, "id long, rep long, text string").select("rep", "text")
     texts = texts.unionByName(unnamed.join(named.where("id IS NULL").select("rep"), "rep")).groupBy("rep").agg(F.min("text").alias("text"))
     keys = ["component", "bi", "bj"]
     work = cut.join(texts, "rep").select(*keys, "block", "rep", "text").repartition(parts, *keys).sortWithinPartitions(*keys)
@@ -395,18 +401,30 @@ def near_copy_classes(docs: DataFrame, words: int = 4, threshold: tuple[int, int
     classed = ids.join(links.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn(
         "component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep")))
     least = classed.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    out = classed.where("n_shingles > 0").join(least, "component").select("doc_id", "n_shingles", "component_id")
-    return out.unionByName(classed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-
-
-def drop_near_copies(docs: DataFrame, **kw) -> DataFrame:
-    """``docs`` with one document of each class: the one whose id names it.
-    Rows without an id leave where their class has an id; of the others, equal
-    texts stay once."""
-    classes = staged(near_copy_classes(docs, **kw), "ngram-classes")
-    key, = unused(docs, "__kept")
-    kept = classes.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
-    out = docs.join(kept, F.col("doc_id") == F.col(key), "left_semi")
+    out = ["doc_id", "n_shingles", "rep", "component", "component_id"]
+    linked = classed.where("n_shingles > 0").join(least, "component").select(*out)
+    return linked.unionByName(classed.where("n_shingles = 0").withColumn("component_id", F.col("doc_id")).select(*out))
+
+
+def drop_near_copies(docs: DataFrame, words: int = 4, **kw) -> DataFrame:
+    """``docs`` with one document of each class: the one whose id names it (of
+    several texts under that id the one with the least node).  A class without
+    an id keeps one row; rows of no words and no id stay once a text."""
+    classes = staged(_classes(docs, words, **kw), "ngram-classes")
+    own, key, node = unused(docs, "__node", "__id", "__rep")
+
+    @F.pandas_udf("long")
+    def named(s: pd.Series) -> pd.Series:
+        return pd.Series([_node(shingle_set(x, words)) for x in s], dtype="int64")
+
+    kept = (classes.where("n_shingles > 0 AND doc_id <=> component_id").groupBy("component", "component_id").agg(F.min("rep").alias("rep"))
+            .unionByName(classes.where("n_shingles = 0 AND doc_id IS NOT NULL").select("component", "component_id", "rep").distinct())
+            .select(F.col("component_id").alias(key), F.col("rep").alias(node)))
+    rows = docs.withColumn(own, named(F.coalesce("text", F.lit(""))))
+    out = rows.join(kept.where(F.col(key).isNotNull()), (F.col("doc_id") == F.col(key)) & (F.col(own) == F.col(node)), "left_semi")
     if classes.where("doc_id IS NULL AND component_id IS NULL").isEmpty():
-        return out
-    return out.unionByName(docs.where("doc_id IS NULL").dropDuplicates(["text"]))
+        return out.drop(own)
+    unnamed = rows.where(F.col("doc_id").isNull())
+    once = unnamed.join(kept.where(F.col(key).isNull()), F.col(own) == F.col(node), "left_semi").dropDuplicates([own])
+    wordless = unnamed.where(F.col(own) == 0).dropDuplicates(["text"])
+    return out.unionByName(once).unionByName(wordless).drop(own)

@@ -141,3 +141,21 @@ def test_prefix_tree_walk_equals_sets():
             got = {tree.order[p] for p in tree.walk(x, (85, 100))}
             want = {i for i, s in enumerate(sets) if 100 * len(np.intersect1d(s, x)) >= 85 * len(np.union1d(s, x))}
             assert got == want
+
+
+def test_one_id_with_several_texts(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(200)) for c in "ab")
+    near = b.replace("b199", "other")
+    df = spark.createDataFrame([(5, a), (5, b), (7, near), (9, a + " more")], "doc_id long, text string")
+    got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in J.near_copy_classes(df).collect()}
+    assert got == {(5, 197): 5, (7, 197): 5, (9, 198): 5}
+    assert sorted(map(tuple, J.drop_near_copies(df).collect())) == [(5, a), (5, b)]
+
+
+def test_rows_without_id_join_their_class(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(200)) for x in "abc")
+    rows = [(1, a), (None, a + " more"), (None, b), (None, b), (None, b + " more"), (None, c), (None, ""), (None, ""), (3, " "), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in J.drop_near_copies(df).collect()]
+    assert len(got) == 6 and {(1, a), (None, c), (None, ""), (3, " "), (4, None)} < set(got)
+    assert len({t for i, t in got if i is None and t.startswith("b")}) == 1
