@@ -98,3 +98,15 @@ def q_t7_pairs(spark, sf):
     z = d.select("doc_id", SEQ.shifted_pairs("ids", "ids").alias("z"))
     total = F.aggregate("z", F.lit(0).cast("bigint"), lambda s, p: s + p["x"].cast("bigint") * p["y"].cast("bigint"))
     return z.select("doc_id", F.size("z").cast("bigint").alias("n_pairs"), total.alias("product_sum"))
+
+
+@register("t7_shifted_pairs_whole", """
+WITH t AS (SELECT doc_id, CASE WHEN length(text) > 0 THEN list_transform(string_split(text, ''), lambda c: unicode(c) % 1000) ELSE [] END AS ids FROM documents)
+SELECT doc_id, greatest(len(ids) - 1, 0) AS n_pairs,
+       CAST(coalesce(list_sum(list_transform(range(1, len(ids)), lambda i: CAST(ids[i] AS BIGINT) * ids[i + 1])), 0) AS BIGINT) AS product_sum FROM t""")
+def q_t7_pairs_whole(spark, sf):
+    """As ``t7_shifted_pairs`` over whole texts; an empty text has no pair."""
+    d = table(spark, sf, "documents").select("doc_id", SEQ.codepoint_ids(F.coalesce("text", F.lit("")), None).alias("ids"))
+    z = d.select("doc_id", F.when(F.size("ids") > 0, SEQ.shifted_pairs("ids", "ids")).alias("z"))
+    total = F.aggregate("z", F.lit(0).cast("bigint"), lambda s, p: s + p["x"].cast("bigint") * p["y"].cast("bigint"))
+    return z.select("doc_id", F.when(F.col("z").isNull(), 0).otherwise(F.size("z")).cast("bigint").alias("n_pairs"), F.coalesce(total, F.lit(0)).alias("product_sum"))

@@ -170,6 +170,20 @@ def q_j5(spark, sf):
                   ["batch_id", "position"]).drop("position"))
 
 
+@register("j5_exchange_zip", """
+WITH u AS (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) AS rn FROM conversations WHERE role = 'user')
+SELECT u.conv_id AS prompt_conv, u.turn AS prompt_turn, a.conv_id AS response_conv, a.turn AS response_turn, (u.rn - 1) // 10 AS batch_id
+FROM u LEFT JOIN (SELECT conv_id, turn FROM conversations WHERE role = 'assistant') a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1""")
+def q_j5_exchange(spark, sf):
+    """Every prompt with the response of its own exchange, null where none came."""
+    c = table(spark, sf, "conversations")
+    u = TE.batches(c.where("role = 'user'").select("conv_id", "turn"), ["conv_id", "turn"])
+    a = c.where("role = 'assistant'").select(F.col("conv_id").alias("response_conv"), F.col("turn").alias("response_turn"))
+    u = u.select(F.col("conv_id").alias("prompt_conv"), F.col("turn").alias("prompt_turn"), "batch_id")
+    return (u.join(a, (F.col("response_conv") == F.col("prompt_conv")) & (F.col("response_turn") == F.col("prompt_turn") + 1), "left")
+            .select("prompt_conv", "prompt_turn", "response_conv", "response_turn", "batch_id"))
+
+
 # --- J6 / F14 -----------------------------------------------------------------------------------
 
 _CACHE_SQL_KEY = "substr(sha256(prompt || '{\"max_tokens\": 1024, \"model\": \"' || model || '\", \"temperature\": 0.7}'), 1, 16)"

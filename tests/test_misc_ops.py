@@ -70,3 +70,15 @@ def test_license_policy(spark):
                                 ("no licence here",)], "content string")
     got = [(r.license, r.license_ok) for r in Q.license_policy(df).collect()]
     assert got == [("mit", True), ("gpl", False), ("none", True)]
+
+
+def test_whole_text_pairs_and_unanswered_prompts(spark):
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    q = E.queries()
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").toPandas()
+    want = {i: max(len(t or "") - 1, 0) for i, t in zip(docs.doc_id, docs.text)}
+    assert {r["doc_id"]: r["n_pairs"] for r in q["t7_shifted_pairs_whole"](spark, SF_SMALL).collect()} == want
+    users = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").where("role = 'user'").count()
+    got = q["j5_exchange_zip"](spark, SF_SMALL).collect()
+    assert len(got) == users and all(r["response_conv"] in (None, r["prompt_conv"]) for r in got)
