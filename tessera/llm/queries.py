@@ -175,3 +175,29 @@ def op6_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm import html_extract
     found = html_extract.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@register("op13_source_divergence", r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+o AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS total FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+c AS (SELECT o.lang, o.source, o.term, CAST(count(*) AS HUGEINT) AS c FROM o JOIN k ON o.lang = k.lang AND o.term = k.term GROUP BY o.lang, o.source, o.term),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(total) AS n FROM k GROUP BY lang),
+s AS (SELECT g.lang, g.source, coalesce((SELECT sum(c.c) FROM c WHERE c.lang = g.lang AND c.source = g.source), 0) + v.v AS size FROM g JOIN v ON g.lang = v.lang),
+p AS (SELECT s.lang, s.source, k.term, coalesce(c.c, 0) AS c, CAST(1 + (1000000000 * (coalesce(c.c, 0) + 1)) // s.size AS HUGEINT) AS p,
+             CAST(1 + (1000000000 * (k.total + 1)) // (v.n + v.v) AS HUGEINT) AS q
+      FROM s JOIN k ON s.lang = k.lang JOIN v ON v.lang = s.lang LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM u)
+WHERE part = 'pair' OR rank <= 200""")
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source of every language and its distinguishing terms."""
+    from tessera.llm import divergence
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
