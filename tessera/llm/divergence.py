@@ -142,41 +142,40 @@ def _compare(scale: int, top: int):
         lang, _, bi, bj = key
         marks, rows = pdf[pdf["term"].isna()], pdf[pdf["term"].notna()]
         out = []
-        if len(rows):
-            sources = marks["source"].tolist()
-            sizes = [int(n) + int(v) for n, v in zip(marks["n"], marks["v"])]
-            blocks = marks["block"].tolist()
-            every = int(marks["n_lang"].iloc[0]) + int(marks["v"].iloc[0])
-            place = {s: i for i, s in enumerate(sources)}
-            terms, at = np.unique(rows["term"].to_numpy(object), return_inverse=True)
-            width = 1 << max(0, len(terms) - 1).bit_length()
-            leaves = np.full((len(sources), width), -1, np.int64)  # -1: no term here, priced 0
-            leaves[:, :len(terms)] = 0
-            leaves[rows["source"].map(place).to_numpy(), at] = rows["c"].to_numpy()
-            trees = ConsedTrees(leaves)
-
-            def leaf(a: int, b: int):
-                def f(x, y):
-                    p, q = _share(x, sizes[a], scale), _share(y, sizes[b], scale)
-                    return np.where(x < 0, 0, _distance(p, q)), np.where(x < 0, 0, _distance(q, p))
-                return f
-
-            for a in range(len(sources)):
-                for b in range(a + 1, len(sources)):
-                    if bi == bj or blocks[a] != blocks[b]:
-                        ab, ba = trees.price(a, b, leaf(a, b))
-                        out += [(lang, sources[a], "pair", sources[b], ab), (lang, sources[b], "pair", sources[a], ba)]
-            if bi == bj:
-                total = np.zeros(len(terms), np.int64)
-                total[at] = rows["total"].to_numpy()
-                q = _share(total, every, scale)
-                for a, source in enumerate(sources):
-                    own = leaves[a, :len(terms)]
-                    p = _share(own, sizes[a], scale)
-                    f = _distance(p, q)
-                    have = np.flatnonzero((own > 0) & (p > q))
-                    first = sorted(have, key=lambda i: (-f[i], terms[i].encode()))[:top]
-                    out += [(lang, source, "term", terms[i], int(f[i])) for i in first]
+        sources = marks["source"].tolist()
+        sizes = [int(n) + int(v) for n, v in zip(marks["n"], marks["v"])]
+        blocks = marks["block"].tolist()
+        every = int(marks["n_lang"].iloc[0]) + int(marks["v"].iloc[0])
+        size = int(marks["terms"].iloc[0])  # terms of the subtree, also those that only other blocks' sources have
+        place = {s: i for i, s in enumerate(sources)}
+        terms, at = np.unique(rows["term"].to_numpy(object), return_inverse=True)
+        leaves = np.full((len(sources), 1 << (size - 1).bit_length()), -1, np.int64)  # -1: no term here, priced 0
+        leaves[:, :size] = 0
+        leaves[rows["source"].map(place).to_numpy(np.int64), at] = rows["c"].to_numpy(np.int64)
+        trees = ConsedTrees(leaves)
+
+        def leaf(a: int, b: int):
+            def f(x, y):
+                p, q = _share(x, sizes[a], scale), _share(y, sizes[b], scale)
+                return np.where(x < 0, 0, _distance(p, q)), np.where(x < 0, 0, _distance(q, p))
+            return f
+
+        for a in range(len(sources)):
+            for b in range(a + 1, len(sources)):
+                if bi == bj or blocks[a] != blocks[b]:
+                    ab, ba = trees.price(a, b, leaf(a, b))
+                    out += [(lang, sources[a], "pair", sources[b], ab), (lang, sources[b], "pair", sources[a], ba)]
+        if bi == bj:
+            total = np.zeros(len(terms), np.int64)
+            total[at] = rows["total"].to_numpy(np.int64)
+            q = _share(total, every, scale)
+            for a, source in enumerate(sources):
+                own = leaves[a, :len(terms)]
+                p = _share(own, sizes[a], scale)
+                f = _distance(p, q)
+                have = np.flatnonzero((own > 0) & (p > q))
+                first = sorted(have, key=lambda i: (-f[i], terms[i].encode()))[:top]
+                out += [(lang, source, "term", terms[i], int(f[i])) for i in first]
         return pd.DataFrame(out, columns=["lang", "source", "part", "item", "value"])
 
     return run
@@ -209,14 +208,15 @@ def source_divergence(docs: DataFrame, min_docs: int = 3, scale: int = 1_000_000
     groups = staged(groups, "divergence-groups").withColumns({
         "chunks": F.ceil(F.col("v") / LEAVES).cast("int"), "nb": F.ceil(F.col("s") / SOURCE_BLOCK).cast("int")})
     layout = groups.select("lang", "chunks", "nb").distinct()
+    placed = kept.join(layout, "lang").withColumn("chunk", F.pmod(F.xxhash64("term"), F.col("chunks")).cast("int"))
 
     # one row a term and group, and one mark a subtree and group; each goes to the pairs of blocks its own is in
     block = F.pmod(F.xxhash64("source"), F.col("nb")).cast("int").alias("block")
-    rows = kept.join(layout, "lang").select("lang", F.pmod(F.xxhash64("term"), F.col("chunks")).cast("int").alias("chunk"), block, "nb",
-                                            "source", "term", "c", "total", *[F.lit(None).cast("long").alias(c) for c in ("n", "v", "n_lang")])
-    marks = groups.where("v > 0").select("lang", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), block, "nb", "source",
-                                         F.lit(None).cast("string").alias("term"), *[F.lit(None).cast("long").alias(c) for c in ("c", "total")],
-                                         "n", "v", "n_lang")
+    subtrees = placed.where("lead").groupBy("lang", "chunk").agg(F.count("*").alias("terms"))
+    numbers = ("n", "v", "n_lang", "terms")
+    rows = placed.select("lang", "chunk", block, "nb", "source", "term", "c", "total", *[F.lit(None).cast("long").alias(c) for c in numbers])
+    marks = groups.join(subtrees, "lang").select("lang", "chunk", block, "nb", "source", F.lit(None).cast("string").alias("term"),
+                                                 *[F.lit(None).cast("long").alias(c) for c in ("c", "total")], *numbers)
     work = rows.unionByName(marks).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     work = work.withColumns({"bi": F.least("block", "other"), "bj": F.greatest("block", "other")}).drop("other", "nb")
     priced = work.groupBy("lang", "chunk", "bi", "bj").applyInPandas(
