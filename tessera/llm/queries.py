@@ -201,3 +201,46 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergence of every source of every language and its distinguishing terms."""
     from tessera.llm import divergence
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+@register("op11_phrase_collocations", r"""
+WITH p AS (SELECT r, lang, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS i FROM (
+             SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+                    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+             FROM documents)),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, unnest(list_concat(
+        list_transform(range(1, len(w) + 1), lambda i: w[i:i]), list_transform(range(1, len(w)), lambda i: w[i:i+1]),
+        list_transform(range(1, len(w) - 1), lambda i: w[i:i+2]), list_transform(range(1, len(w) - 2), lambda i: w[i:i+3]))) AS g FROM w),
+f AS (SELECT lang, g, array_to_string(g, ' ') AS phrase, count(*) AS a FROM g GROUP BY lang, g HAVING count(*) >= 30),
+c AS (SELECT lang, g, phrase, a, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1),
+s AS (SELECT c.lang, c.g, c.phrase, c.a, c.k, h.a AS l, t.a AS r, CAST(CAST(2000000 AS HUGEINT) * c.a // (h.a + t.a) AS BIGINT) AS score
+      FROM c JOIN f h ON h.lang = c.lang AND h.g = c.g[1:c.k] JOIN f t ON t.lang = c.lang AND t.g = c.g[c.k+1:]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (SELECT lang, a, unnest(list_concat([g[1:2], g[2:3]], CASE WHEN len(g) = 4 THEN [g[3:4], g[1:3], g[2:4]] ELSE [] END)) AS g FROM f WHERE len(g) > 2),
+m AS (SELECT lang, g, max(a) AS longer FROM i GROUP BY lang, g),
+o AS (SELECT b.lang, b.phrase, b.a, b.l, b.r, b.score, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, encode(b.phrase)) AS rank
+      FROM b LEFT JOIN m ON m.lang = b.lang AND m.g = b.g WHERE m.longer IS NULL OR CAST(100 AS HUGEINT) * m.longer < CAST(80 AS HUGEINT) * b.a)
+SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN n ON n.lang = o.lang WHERE rank <= 2000""")
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best collocations of every language."""
+    from tessera.llm import collocations
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op12_repeated_passages", r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(w[i:i+19], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+r AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS at FROM g) WHERE at > 1),
+c AS (SELECT doc_id, list(DISTINCT j) AS gone FROM (SELECT doc_id, unnest(range(i, i + 20)) AS j FROM r) GROUP BY doc_id),
+s AS (SELECT d.doc_id, d.w, coalesce(c.gone, []) AS gone FROM d LEFT JOIN c ON c.doc_id = d.doc_id),
+k AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS kept FROM (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM s) t
+      WHERE NOT EXISTS (SELECT 1 FROM (SELECT doc_id AS id, unnest(gone) AS j FROM s) x WHERE x.id = t.doc_id AND x.j = t.i) GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM s LEFT JOIN k ON k.doc_id = s.doc_id""")
+def op12_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What removing repeated passages of 20 words leaves of every document."""
+    from tessera.llm import substrings
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "repeats.n_words", "repeats.n_removed", F.sha2("repeats.kept", 256).alias("kept_sha256"))
