@@ -232,7 +232,7 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op12_repeated_passages", r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
 g AS (SELECT doc_id, i, md5(array_to_string(w[i:i+19], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
-r AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS at FROM g) WHERE at > 1),
+r AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS rn FROM g) WHERE rn > 1),
 c AS (SELECT doc_id, list(DISTINCT j) AS gone FROM (SELECT doc_id, unnest(range(i, i + 20)) AS j FROM r) GROUP BY doc_id),
 s AS (SELECT d.doc_id, d.w, coalesce(c.gone, []) AS gone FROM d LEFT JOIN c ON c.doc_id = d.doc_id),
 k AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS kept FROM (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM s) t
