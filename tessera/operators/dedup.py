@@ -226,7 +226,7 @@ def first_wins(members: DataFrame, id_col: str, stats: dict | None = None) -> Da
     return result.select(id_col, (F.col("state") == "K").alias("kept"))
 
 
-def _star(edges: DataFrame, larger: bool) -> DataFrame:
+def star_step(edges: DataFrame, larger: bool) -> DataFrame:
     """One contraction step on (hi, lo) edges: every node's larger (or smaller)
     neighbours are re-attached to the least node of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo"))) if larger else edges
@@ -253,7 +253,7 @@ def components(members: DataFrame, id_col: str) -> DataFrame:
 
     before = mark(edges)
     while True:
-        edges = cut_lineage(_star(_star(edges, True), False).distinct())
+        edges = cut_lineage(star_step(star_step(edges, True), False).distinct())
         if (now := mark(edges)) == before:
             break
         before = now

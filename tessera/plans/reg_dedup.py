@@ -73,28 +73,55 @@ def q_d3_collisions(spark, sf):
     return D.earlier_collisions(_docs(spark, sf), "text", "doc_id", ["lang"])
 
 
-@register("d3_near_dup_first_wins")
+def _edges_sql(threshold: float) -> str:
+    """All pairs (a before b) of a language whose token sets have Jaccard >= threshold."""
+    return f"""toks AS (SELECT DISTINCT doc_id, lang, unnest(list_filter(string_split_regex(text, '[{PYS}]+'), lambda x: x <> '')) AS tok FROM documents),
+n AS (SELECT doc_id, count(*) AS n FROM toks GROUP BY doc_id),
+s AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS s FROM toks a JOIN toks b ON a.lang IS NOT DISTINCT FROM b.lang AND a.tok = b.tok AND a.doc_id < b.doc_id
+      GROUP BY a.doc_id, b.doc_id),
+e AS (SELECT a, b FROM s JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE s / CAST(x.n + y.n - s AS DOUBLE) >= {threshold})"""
+
+
+def _first_wins_sql(threshold: float) -> str:
+    """In the order of the ids, a document goes iff an earlier near copy has not gone."""
+    return f"""WITH RECURSIVE {_edges_sql(threshold)},
+c AS (SELECT b AS id, list(a) AS before, row_number() OVER (ORDER BY b) AS pos FROM e GROUP BY b),
+k(i, gone) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL
+  SELECT i + 1, CASE WHEN len(list_filter(before, lambda x: NOT list_contains(gone, x))) > 0 THEN list_append(gone, id) ELSE gone END FROM k JOIN c ON pos = i + 1),
+g AS (SELECT unnest(gone) AS doc_id FROM k WHERE i = (SELECT max(i) FROM k)),
+r AS (SELECT doc_id, lang, doc_id NOT IN (SELECT doc_id FROM g) AS near_dup_kept FROM documents)
+"""
+
+
+def _near_dup(spark, sf, **p):
+    from tessera.operators import neardup as N
+    return N.near_dup(_docs(spark, sf), "text", "doc_id", ["lang"], N.Verified(**p)).select("doc_id", "lang", "near_dup_kept")
+
+
+@register("d3_near_dup_first_wins", _first_wins_sql(0.85) + "SELECT * FROM r")
 def q_d3_first_wins(spark, sf):
-    """Reference LSH semantics (iterative; brute-force checked in pytest)."""
-    out = D.near_dup(_docs(spark, sf), "text", "doc_id", ["lang"], D.NearDup(mode="first_wins"))
-    return out.select("doc_id", "lang", "near_dup_kept")
+    """A document is dropped iff a kept earlier one of its language has Jaccard >= 0.85."""
+    return _near_dup(spark, sf)
 
 
-@register("d3_near_dup_components")
+@register("d3_near_dup_components", f"""WITH RECURSIVE {_edges_sql(0.85)},
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+c AS (SELECT a AS id, a AS reach FROM u UNION SELECT c.id, u.b FROM c JOIN u ON u.a = c.reach),
+m AS (SELECT id, min(reach) AS first FROM c GROUP BY id)
+SELECT doc_id, lang, coalesce(m.first = doc_id, TRUE) AS near_dup_kept FROM documents LEFT JOIN m ON m.id = doc_id""")
 def q_d3_components(spark, sf):
-    out = D.near_dup(_docs(spark, sf), "text", "doc_id", ["lang"], D.NearDup(mode="component"))
-    return out.select("doc_id", "lang", "near_dup_kept")
+    """The first document of each connected component of near copies stays."""
+    return _near_dup(spark, sf, mode="component")
 
 
-@register("d4_near_dup_rate")
+@register("d4_near_dup_rate", _first_wins_sql(0.85) + """SELECT lang AS language, count(*) AS n_total, count(*) FILTER (WHERE near_dup_kept) AS n_kept,
+       round(1 - count(*) FILTER (WHERE near_dup_kept) / count(*), 6) AS dedup_rate FROM r GROUP BY lang""")
 def q_d4_rate(spark, sf):
     """Per-language near-dup rate (scope = language)."""
-    out = D.near_dup(_docs(spark, sf), "text", "doc_id", ["lang"], D.NearDup(mode="first_wins"))
-    return D.dedup_rate(out.withColumnRenamed("lang", "language"), "near_dup_kept", ["language"])
+    return D.dedup_rate(_near_dup(spark, sf).withColumnRenamed("lang", "language"), "near_dup_kept", ["language"])
 
 
-@register("d3_near_dup_threshold_07")
+@register("d3_near_dup_threshold_07", _first_wins_sql(0.7) + "SELECT * FROM r")
 def q_d3_t07(spark, sf):
     """Second threshold (0.7): bands x rows derived from the threshold."""
-    out = D.near_dup(_docs(spark, sf), "text", "doc_id", ["lang"], D.NearDup(threshold=0.7))
-    return out.select("doc_id", "lang", "near_dup_kept")
+    return _near_dup(spark, sf, threshold=0.7)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -89,3 +90,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A table path under the shared checkpoint folder for written stages."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once into the shared folder and read it back: lineage ends
+    there, and the planner knows the table's size when it chooses a join."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
