@@ -23,8 +23,6 @@ gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from itertools import count
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -40,12 +38,11 @@ FLUSH = 2_000_000  # term occurrences that a task counts at once
 _TERM_BYTES = bytes(b if 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
-def _count_terms(batches):
-    """(lang, source, term, c, d): occurrences and documents, summed over up to FLUSH occurrences."""
-    def flush():
-        if not tokens:
-            return
-        names = list(code)
+def _count_terms(held: int):
+    """Task: (lang, source, term, c, d), occurrences and documents, summed over up to ``held`` occurrences."""
+
+    def rows(code, group, tokens, owner):
+        names, groups = list(code), list(group)
         sizes = np.array([len(t) for t in tokens])
         flat = np.concatenate(tokens).astype(np.int64)
         doc = np.repeat(np.arange(len(tokens)), sizes)
@@ -53,41 +50,35 @@ def _count_terms(batches):
         who = np.array(owner)[pair // len(names)] * len(names) + pair % len(names)
         key, at, d = np.unique(who, return_inverse=True, return_counts=True)
         total = np.bincount(at, weights=c, minlength=len(key)).astype(np.int64)
-        groups = list(group)
-        g, t = key // len(names), key % len(names)
         for i in range(0, len(key), 100_000):
-            gi, ti = g[i:i + 100_000], t[i:i + 100_000]
+            g, t = key[i:i + 100_000] // len(names), key[i:i + 100_000] % len(names)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([groups[x][0] for x in gi]), pa.array([groups[x][1] for x in gi]), pa.array([names[x].decode() for x in ti]),
+                [pa.array([groups[x][0] for x in g]), pa.array([groups[x][1] for x in g]), pa.array([names[x].decode() for x in t]),
                  pa.array(total[i:i + 100_000]), pa.array(d[i:i + 100_000])], names=["lang", "source", "term", "c", "d"])
 
-    def fresh():
-        ids, seen = count(), count()
-        return _Numbers(ids), _Numbers(seen), [], [], 0
+    def run(batches):
+        code, group, tokens, owner, size = _Numbers(), _Numbers(), [], [], 0
+        for batch in batches:
+            for text, lang, source in zip(*[batch.column(c).to_pylist() for c in ("text", "lang", "source")]):
+                words = text.encode().translate(_TERM_BYTES).split()
+                if words:
+                    tokens.append(np.fromiter(map(code.__getitem__, words), np.int32, len(words)))
+                    owner.append(group[lang, source])
+                    size += len(words)
+                if size >= held:
+                    yield from rows(code, group, tokens, owner)
+                    code, group, tokens, owner, size = _Numbers(), _Numbers(), [], [], 0
+        if tokens:
+            yield from rows(code, group, tokens, owner)
 
-    code, group, tokens, owner, held = fresh()
-    for batch in batches:
-        for text, lang, source in zip(*[batch.column(c).to_pylist() for c in ("text", "lang", "source")]):
-            words = text.encode().translate(_TERM_BYTES).split()
-            if words:
-                tokens.append(np.fromiter(map(code.__getitem__, words), np.int32, len(words)))
-                owner.append(group[lang, source])
-                held += len(words)
-            if held >= FLUSH:
-                yield from flush()
-                code, group, tokens, owner, held = fresh()
-    yield from flush()
+    return run
 
 
 class _Numbers(dict):
     """Numbers keys in order of first use."""
 
-    def __init__(self, numbers):
-        super().__init__()
-        self.numbers = numbers
-
     def __missing__(self, key):
-        self[key] = n = next(self.numbers)
+        self[key] = n = len(self)
         return n
 
 
@@ -187,7 +178,7 @@ def term_counts(docs: DataFrame, min_docs: int = 3) -> DataFrame:
     tasks before they are dealt by term, so a common term has a row a task and group."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    found = own.mapInArrow(_count_terms, "lang string, source string, term string, c long, d long")
+    found = own.mapInArrow(_count_terms(FLUSH), "lang string, source string, term string, c long, d long")
     counts = found.repartition(parts, "lang", "term").groupBy("lang", "term", "source").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
     w = Window.partitionBy("lang", "term")
     counts = counts.withColumns({"docs": F.sum("d").over(w), "total": F.sum("c").over(w),
