@@ -7,11 +7,14 @@ composed from built-ins; no UDAF.  Per-group "best" rows use ``max_by`` /
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import constants as K
-from tessera.functions.text import col, py_strip, words
+from tessera.functions.text import col, py_strip
 
 
 # --- A5 / A6 pass@k ---------------------------------------------------------------
@@ -108,11 +111,52 @@ def completion_match(df: DataFrame, prediction: str, target: str, group_cols=())
         F.round(F.avg(prefix.cast("double")), 6).alias("prefix_match"))
 
 
-def edit_distance(df: DataFrame, prediction: str, target: str, group_cols=()) -> DataFrame:
-    """Mean Levenshtein distance in code points (Spark's ``levenshtein``)."""
-    return df.groupBy(*group_cols).agg(
-        F.count("*").alias("n_scored"),
-        F.round(F.avg(F.levenshtein(F.col(prediction), F.col(target))), 6).alias("avg_edit_distance"))
+def levenshtein_distance(a: str, b: str, limit: int | None = None) -> int:
+    """Edit distance in code points, a whole column of the matrix at a time as the
+    bits of one integer.  Beyond ``limit`` the result is ``limit + 1``, found
+    without finishing."""
+    if len(a) > len(b):
+        a, b = b, a
+    start = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    a, b = a[start:], b[start:]
+    end = next((i for i, (x, y) in enumerate(zip(reversed(a), reversed(b))) if x != y), len(a))
+    a, b = a[:len(a) - end], b[:len(b) - end]
+    if limit is not None and len(b) - len(a) > limit:
+        return limit + 1
+    if not a:
+        return len(b)
+    here: dict[str, int] = {}
+    for i, ch in enumerate(a):
+        here[ch] = here.get(ch, 0) | 1 << i
+    every, last = (1 << len(a)) - 1, 1 << len(a) - 1
+    up, down, score = every, 0, len(a)  # bits: the column rises or falls by one at this row
+    for j, ch in enumerate(b):
+        same = here.get(ch, 0)
+        flat = same | down
+        diagonal = (((same & up) + up) ^ up) | same
+        right = down | ~(diagonal | up) & every
+        left = up & diagonal
+        if right & last:
+            score += 1
+        elif left & last:
+            score -= 1
+        if limit is not None and score - (len(b) - 1 - j) > limit:
+            return limit + 1
+        right = (right << 1 | 1) & every
+        up = (left << 1) & every | ~(flat | right) & every
+        down = right & flat
+    return score if limit is None else min(score, limit + 1)
+
+
+def edit_distance(df: DataFrame, prediction: str, target: str, group_cols=(), limit: int | None = None) -> DataFrame:
+    """Mean Levenshtein distance in code points; a pair further apart than
+    ``limit`` counts ``limit + 1``.  Pairs with a null side are not scored."""
+    @F.pandas_udf("long")
+    def distance(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or y is None else levenshtein_distance(x, y, limit) for x, y in zip(a, b)], dtype="Int64")
+
+    scored = df.select(*group_cols, distance(F.col(prediction), F.col(target)).alias("__distance"))
+    return scored.groupBy(*group_cols).agg(F.count("*").alias("n_scored"), F.round(F.avg("__distance"), 6).alias("avg_edit_distance"))
 
 
 def completion_quality(df: DataFrame, prediction: str, target: str, group_cols=()) -> DataFrame:
@@ -126,46 +170,38 @@ def completion_quality(df: DataFrame, prediction: str, target: str, group_cols=(
 
 # --- A11 corpus BLEU --------------------------------------------------------------------
 
-def _ngrams(df: DataFrame, key: str, text: str, max_n: int) -> DataFrame:
-    """``(key, n, gram)`` for n = 1..max_n over whitespace tokens (one
-    codegen'd explode per order; measured faster than a single combined
-    explode or the ML ``NGram`` transformer)."""
-    toks = words(F.col(text))
-    out = df.select(key, toks.alias("tok"))
-    grams = []
-    for n in range(1, max_n + 1):
-        starts = F.when(F.size("tok") >= n, F.sequence(F.lit(1), F.size("tok") - n + 1)).otherwise(F.array().cast("array<int>"))
-        g = out.select(key, F.lit(n).alias("n"), F.explode(F.transform(
-            starts, lambda i: F.array_join(F.slice("tok", i, n), " "))).alias("gram"))
-        grams.append(g)
-    u = grams[0]
-    for g in grams[1:]:
-        u = u.unionByName(g)
-    return u
+def _bleu_counts(max_n: int):
+    """Task: per n the clipped matches and the n-grams of the predictions, and (n = 0) both sides' lengths."""
+    def run(batches):
+        for pdf in batches:
+            sums = [[0, 0] for _ in range(max_n + 1)]
+            for prediction, reference in zip(pdf["c"], pdf["r"]):
+                c, r = (prediction or "").split(), (reference or "").split()
+                sums[0][0] += len(c)
+                sums[0][1] += len(r)
+                for n in range(1, min(max_n, len(c)) + 1):
+                    own = Counter(zip(*[c[i:] for i in range(n)]))
+                    other = Counter(zip(*[r[i:] for i in range(n)]))
+                    sums[n][0] += sum(min(k, other[g]) for g, k in own.items())
+                    sums[n][1] += len(c) - n + 1
+            yield pd.DataFrame([(n, a, b) for n, (a, b) in enumerate(sums)], columns=["n", "matches", "total"])
+    return run
 
 
 def corpus_bleu(df: DataFrame, key: str, prediction: str, reference: str, max_n: int = 4) -> DataFrame:
     """Corpus BLEU over whitespace tokens: clipped n-gram counts summed over
     the corpus, brevity penalty, geometric mean of n=1..max_n precisions.
-    N-gram counts are aggregated per (pair, n, gram) before the join."""
-    lens = df.select(key, F.size(words(F.col(prediction))).alias("c_len"), F.size(words(F.col(reference))).alias("r_len"))
-    pc = _ngrams(df.where(F.size(words(F.col(prediction))) > 0), key, prediction, max_n).groupBy(key, "n", "gram").agg(F.count("*").alias("cc"))
-    rc = _ngrams(df.where(F.size(words(F.col(reference))) > 0), key, reference, max_n).groupBy(key, "n", "gram").agg(F.count("*").alias("rc"))
-    m = pc.join(rc, [key, "n", "gram"], "left").groupBy("n").agg(
-        F.sum(F.least("cc", F.coalesce("rc", F.lit(0)))).alias("matches"), F.sum("cc").alias("total"))
-    ns = df.sparkSession.range(1, max_n + 1).select(F.col("id").cast("int").alias("n"))
-    m = F.broadcast(ns).join(m, "n", "left")  # every n present (bounded: max_n rows)
-    # one aggregate over (per-n rows) union (one length row): no join of scalars
-    per_n = m.select("n", "matches", "total", F.lit(None).cast("bigint").alias("c"), F.lit(None).cast("bigint").alias("r"))
-    length_row = lens.agg(F.sum("c_len").alias("c"), F.sum("r_len").alias("r")).select(
-        F.lit(None).cast("int").alias("n"), F.lit(None).cast("bigint").alias("matches"),
-        F.lit(None).cast("bigint").alias("total"), "c", "r")
-    j = per_n.unionByName(length_row).agg(
-        F.sum(F.log(F.col("matches") / F.col("total"))).alias("log_sum"),
-        F.count_if(F.col("n").isNotNull() & (F.coalesce(F.col("matches"), F.lit(0)) == 0)).alias("zero_n"),
-        F.max("c").alias("c"), F.max("r").alias("r"))
+    A row holds both texts, so its n-grams are counted where it is; only
+    ``max_n + 1`` sums a batch leave a task.  Null texts have no tokens."""
+    sums = (df.select(F.col(prediction).alias("c"), F.col(reference).alias("r"))
+            .mapInPandas(_bleu_counts(max_n), "n int, matches long, total long").groupBy("n").agg(F.sum("matches").alias("matches"), F.sum("total").alias("total")))
+    gram = F.col("n") > 0
+    j = sums.agg(F.sum(F.when(gram, F.log(F.col("matches") / F.col("total")))).alias("log_sum"),
+                 F.count_if(gram & (F.col("matches") == 0)).alias("zero_n"),
+                 F.max(F.when(~gram, F.col("matches"))).alias("c"), F.max(F.when(~gram, F.col("total"))).alias("r"),
+                 F.count_if(gram).alias("seen"))
     bp = F.when(F.col("c") >= F.col("r"), F.lit(1.0)).when(F.col("c") == 0, F.lit(0.0)).otherwise(F.exp(1 - F.col("r") / F.col("c")))
-    bleu = F.when(F.col("zero_n") > 0, F.lit(0.0)).otherwise(bp * F.exp(F.col("log_sum") / max_n))
+    bleu = F.when((F.col("zero_n") > 0) | (F.col("seen") < max_n), F.lit(0.0)).otherwise(bp * F.exp(F.col("log_sum") / max_n))
     return j.select(F.round(bleu, 6).alias("bleu"), F.round(bp, 6).alias("brevity_penalty"),
                     F.col("c").alias("candidate_length"), F.col("r").alias("reference_length"))
 

@@ -14,9 +14,11 @@ two places that need more are:
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -371,46 +373,102 @@ def _winnow(k: int, window: int, first_only: bool):
     return fp
 
 
+NEEDLE_BYTES = 4 << 20  # of short needles that one pass over the haystacks looks for
+FIRST_CANDIDATES = 8    # texts a needle is looked up in at first; four times as many each further round
+
+
 def containment_join(needles: DataFrame, haystacks: DataFrame, needle_text: str, hay_text: str,
                      needle_key: str, hay_key: str, scope=(), k: int = 16, window: int = 32) -> DataFrame:
     """For each needle, the smallest haystack key whose text contains the
     (stripped) needle, within ``scope``; null when none.
 
-    Winnowing guarantee: every window of ``window`` consecutive k-grams of a
-    needle lies inside each occurrence, and the haystack selects that
-    window's minimum too — so any fingerprint the needle selects is an exact
-    join key (the rarest one in the haystack index is used).  Needles shorter than ``k + window - 1`` use a second, denser
-    index sized by the shortest of them; empty needles match everything.
+    Needles of at least ``k + window - 1`` characters: winnowing guarantees that
+    every window of ``window`` consecutive k-grams of a needle lies inside each
+    occurrence, and the haystack selects that window's minimum too, so any
+    fingerprint that the needle selects is an exact join key (the rarest one in
+    the haystack index is used).  Texts are looked up in ascending key order, a
+    few a needle and round, until one holds the needle: a common anchor
+    brings no more texts than that.  Shorter needles are searched for directly:
+    each pass over the haystacks carries an automaton of at most ``NEEDLE_BYTES``
+    of them, so one very short needle changes nothing for the others.  Empty
+    needles match everything; null ones nothing.
     """
+    from tessera.session import stage
     scope = list(scope)
-    if not scope:  # one constant scope keeps every join an equi-join
+    added = not scope
+    if added:  # one constant scope keeps every join an equi-join
         needles, haystacks, scope = needles.withColumn("_scope", F.lit(0)), haystacks.withColumn("_scope", F.lit(0)), ["_scope"]
     nd = needles.select(needle_key, *scope, py_strip(F.col(needle_text)).alias("_needle"))
     hay = haystacks.select(hay_key, *scope, F.col(hay_text).alias("_hay"))
     limit = k + window - 1
     long_n = nd.where(F.length("_needle") >= limit)
-    cands = [_candidates(long_n, hay, needle_key, hay_key, scope, k, window)]
-    short_n = nd.where((F.length("_needle") < limit) & (F.length("_needle") > 0))
-    shortest = short_n.agg(F.min(F.length("_needle"))).first()[0]  # one scalar
-    if shortest:
-        k2 = min(k, shortest)
-        cands.append(_candidates(short_n, hay, needle_key, hay_key, scope, k2, shortest - k2 + 1))
-    cand = cands[0]
-    for c in cands[1:]:
-        cand = cand.unionByName(c)
-    verified = (cand.distinct().join(nd, needle_key).join(hay.select(hay_key, "_hay"), hay_key)
-                .where(F.col("_hay").contains(F.col("_needle"))))
-    first = verified.groupBy(needle_key).agg(F.min(hay_key).alias("match_" + hay_key))
+    pairs = stage(_candidates(long_n, hay, needle_key, hay_key, scope, k, window).distinct(), "j8-candidates")
+    first = _first_holder(pairs, long_n, hay, needle_key, hay_key)
+    first = first.unionByName(_search_short(nd.where((F.length("_needle") < limit) & (F.length("_needle") > 0)), hay, needle_key, hay_key, scope))
     empty = nd.where(F.length("_needle") == 0)
-    if empty.limit(1).count():  # '' is contained in every haystack of its scope
-        if scope == ["_scope"]:
-            lowest = hay.agg(F.min(hay_key)).first()[0]  # one scalar
-            empty_match = empty.select(needle_key, F.lit(lowest).cast(hay.schema[hay_key].dataType).alias("match_" + hay_key))
-        else:
-            first_in_scope = hay.groupBy(*scope).agg(F.min(hay_key).alias("match_" + hay_key))
-            empty_match = empty.join(first_in_scope, scope).select(needle_key, "match_" + hay_key)
-        first = first.unionByName(empty_match)
-    return needles.join(first, needle_key, "left").drop("_scope")
+    if not empty.isEmpty():  # '' is contained in every haystack of its scope
+        first_in_scope = hay.where(F.col("_hay").isNotNull()).groupBy(*scope).agg(F.min(hay_key).alias("match_" + hay_key))
+        first = first.unionByName(empty.join(first_in_scope, scope).select(needle_key, "match_" + hay_key))
+    out = needles.join(first, needle_key, "left")
+    return out.drop("_scope") if added else out
+
+
+def _first_holder(pairs: DataFrame, nd: DataFrame, hay: DataFrame, needle_key: str, hay_key: str) -> DataFrame:
+    """The least candidate of each needle that holds it, in rounds of ever more candidates."""
+    from tessera.session import stage
+    found, width = [], FIRST_CANDIDATES
+    order = Window.partitionBy(needle_key).orderBy(hay_key)  # the planner limits it before the shuffle
+    while not pairs.isEmpty():
+        now = stage(pairs.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= width).drop("_r"), "j8-round")
+        held = now.join(nd.select(needle_key, "_needle"), needle_key).join(hay.select(hay_key, "_hay"), hay_key).where(F.col("_hay").contains(F.col("_needle")))
+        found.append(stage(held.groupBy(needle_key).agg(F.min(hay_key).alias("match_" + hay_key)), "j8-found"))
+        seen = now.groupBy(needle_key).agg(F.max(hay_key).alias("_last"))
+        rest = pairs.join(found[-1].select(needle_key), needle_key, "left_anti").join(seen, needle_key).where(F.col(hay_key) > F.col("_last"))
+        pairs, width = stage(rest.drop("_last"), "j8-rest"), width * 4
+    if not found:
+        return pairs.select(needle_key, F.col(hay_key).alias("match_" + hay_key))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _search_short(nd: DataFrame, hay: DataFrame, needle_key: str, hay_key: str, scope) -> DataFrame:
+    """Least haystack key for each short needle, by one pass a chunk of needles."""
+    from tessera.plans.prefix import prefix_scan
+    spark = nd.sparkSession
+    named = nd.groupBy(*scope, "_needle").agg(F.count("*").alias("_n"))
+    size = (F.length(F.encode("_needle", "utf-8")) + 16).cast("long")
+    placed = prefix_scan(named.withColumn("_size", size), [], [*scope, "_needle"], "_size", "_until")
+    chunked = placed.withColumn("_chunk", F.floor((F.col("_until") - F.col("_size")) / NEEDLE_BYTES)).select("_chunk", *scope, "_needle")
+    chunks = chunked.agg(F.max("_chunk")).first()[0]
+    out = spark.createDataFrame([], T.StructType([*[nd.schema[c] for c in scope], nd.schema["_needle"], T.StructField("_key", hay.schema[hay_key].dataType)]))
+    for chunk in range(0 if chunks is None else chunks + 1):
+        rows = chunked.where(F.col("_chunk") == chunk).collect()  # NEEDLE_BYTES at most
+        wanted = spark.sparkContext.broadcast([(tuple(r[c] for c in scope), r["_needle"]) for r in rows])
+
+        def search(batches):
+            import ahocorasick
+            automata, tiny, best = {}, {}, {}
+            for s, needle in wanted.value:
+                if len(needle) < 4:  # these would match almost everywhere
+                    tiny.setdefault(s, []).append(needle)
+                else:
+                    automata.setdefault(s, ahocorasick.Automaton()).add_word(needle, needle)
+            for a in automata.values():
+                a.make_automaton()
+            for pdf in batches:
+                pdf = pdf.sort_values(hay_key)
+                for s, key, text in zip(zip(*[pdf[c] for c in scope]), pdf[hay_key].tolist(), pdf["_hay"]):
+                    held = {x for _, x in automata[s].iter(text)} if s in automata else set()
+                    held.update(x for x in tiny.get(s, ()) if ((s, x) not in best or key < best[s, x]) and x in text)
+                    for x in held:
+                        if (s, x) not in best or key < best[s, x]:
+                            best[s, x] = key
+            yield pd.DataFrame([(*s, x, key) for (s, x), key in best.items()], columns=[*scope, "_needle", "_key"])
+
+        texts = hay.where(F.col("_hay").isNotNull() & F.col(hay_key).isNotNull()).select(*scope, hay_key, "_hay")
+        out = out.unionByName(texts.mapInPandas(search, out.schema))
+    least = out.groupBy(*scope, "_needle").agg(F.min("_key").alias("match_" + hay_key))
+    same = functools.reduce(lambda a, b: a & b, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*scope, "_needle"]])
+    return nd.alias("a").join(least.alias("b"), same).select(F.col(f"a.{needle_key}"), F.col(f"b.match_{hay_key}"))
 
 
 def _candidates(nd, hay, needle_key, hay_key, scope, k, window):

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions import constants as K
 from tessera.functions.text import col
@@ -20,17 +21,77 @@ from tessera.plans.prefix import row_numbers
 # --- P24 -------------------------------------------------------------------------
 
 def json_string(c) -> Column:
-    """A JSON string literal (quotes, backslash and control characters escaped)."""
+    """A JSON string literal in ASCII: quotes, backslashes, control characters
+    and all beyond ASCII are escaped (the last as UTF-16 units)."""
     s = col(c)
-    for a, b in [("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")]:
-        s = F.replace(s, F.lit(a), F.lit(b))
-    return F.concat(F.lit('"'), s, F.lit('"'))
+    named = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+
+    def escaped(ch: Column) -> Column:
+        units = F.regexp_replace(F.lower(F.hex(F.encode(ch, "UTF-16BE"))), "(.{4})", r"\\u$1")
+        out = F.when(ch.rlike("^[ !#-\\[\\]-~]$"), ch)
+        for plain, short in named.items():
+            out = out.when(ch == plain, F.lit(short))
+        return out.otherwise(units)
+
+    odd = F.array_join(F.transform(F.split(s, "", -1), escaped), "")
+    return F.concat(F.lit('"'), F.when(s.rlike("[^ !#-\\[\\]-~]"), odd).otherwise(s), F.lit('"'))
+
+
+def json_double(c) -> Column:
+    """A double in the shortest digits that read back as itself, in fixed notation
+    for exponents from -4 to 15, as Python prints it."""
+    x = col(c)
+    short = F.coalesce(*[F.when(F.format_string(f"%.{k}e", x).try_cast("double") == x, F.format_string(f"%.{k}e", x)) for k in range(17)])
+
+    def printed(e: Column) -> Column:
+        sign = F.when(e.startswith("-"), "-").otherwise("")
+        digits = F.regexp_replace(F.regexp_extract(e, r"^-?([0-9.]+)e", 1), r"\.", "")
+        digits = F.coalesce(F.nullif(F.regexp_replace(digits, "0+$", ""), F.lit("")), F.lit("0"))
+        power = F.regexp_extract(e, "e(.+)$", 1).cast("int")
+        n = F.length(digits)
+        whole = F.concat(F.rpad(F.substring(digits, F.lit(1), F.least(n, power + 1)), power + 1, "0"), F.lit("."),
+                         F.when(n > power + 1, F.substring(digits, power + 2, n)).otherwise("0"))
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+        tail = F.when(n > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), n))).otherwise("")
+        far = F.concat(F.substring(digits, 1, 1), tail, F.lit("e"), F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+        far = F.when(F.abs(power) > 99, F.concat(F.substring(digits, 1, 1), tail, F.lit("e"), F.when(power < 0, "-").otherwise("+"), F.abs(power).cast("string"))).otherwise(far)
+        return F.concat(sign, F.when(power.between(0, 15), whole).when(power.between(-4, -1), small).otherwise(far))
+
+    # a transform over one element names the digits, which are used several times
+    text = F.element_at(F.transform(F.array(short), printed), 1)
+    return (F.when(F.isnan(x), "NaN").when(x == float("inf"), "Infinity").when(x == float("-inf"), "-Infinity").otherwise(text))
+
+
+def canonical_json(c, kind: T.DataType) -> Column:
+    """``json.dumps(value, sort_keys=True)`` of a column of ``kind``: structs and
+    string-keyed maps with sorted keys, arrays, strings, numbers, booleans, nulls."""
+    v = col(c)
+    if isinstance(kind, T.StructType):
+        fields = sorted(kind.fields, key=lambda f: f.name.encode("utf-16-be"))
+        parts = [F.concat(json_string(F.lit(f.name)), F.lit(": "), canonical_json(v[f.name], f.dataType)) for f in fields]
+        out = F.concat(F.lit("{"), F.concat_ws(", ", *parts) if parts else F.lit(""), F.lit("}"))
+        out = F.when(v.isNotNull(), out)
+    elif isinstance(kind, T.MapType):
+        entries = F.array_sort(F.map_entries(v), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
+        parts = F.transform(entries, lambda e: F.concat(json_string(e["key"]), F.lit(": "), canonical_json(e["value"], kind.valueType)))
+        out = F.concat(F.lit("{"), F.array_join(parts, ", "), F.lit("}"))
+    elif isinstance(kind, T.ArrayType):
+        out = F.concat(F.lit("["), F.array_join(F.transform(v, lambda x: canonical_json(x, kind.elementType)), ", "), F.lit("]"))
+    elif isinstance(kind, T.StringType):
+        out = json_string(v)
+    elif isinstance(kind, T.DoubleType):
+        out = json_double(v)
+    elif isinstance(kind, (T.BooleanType, T.IntegralType)):
+        out = v.cast("string")
+    else:
+        raise TypeError(f"no JSON form for {kind.simpleString()}")
+    return F.coalesce(out, F.lit("null"))
 
 
 def canonical_params(model, temperature, max_tokens) -> Column:
     """``json.dumps({...}, sort_keys=True)`` for the request parameters."""
-    return F.concat(F.lit('{"max_tokens": '), col(max_tokens).cast("string"), F.lit(', "model": '), json_string(model),
-                    F.lit(', "temperature": '), col(temperature).cast("double").cast("string"), F.lit("}"))
+    kind = T.StructType([T.StructField("model", T.StringType()), T.StructField("temperature", T.DoubleType()), T.StructField("max_tokens", T.LongType())])
+    return canonical_json(F.struct(col(model).alias("model"), col(temperature).cast("double").alias("temperature"), col(max_tokens).cast("long").alias("max_tokens")), kind)
 
 
 def cache_key(prompt, params_json) -> Column:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tessera.functions.hashing import keyed_unit, sql_unit
 from tessera.plans.registry import register
+from tessera.plans.reg_dedup import _first_wins_sql
 from tessera.streaming import monitor as S
+from tessera.streaming import splittable as X
 
 def _event_stream(spark, sf, name):
     """A file stream over the events table itself; each run gets its own
@@ -42,15 +44,14 @@ def q_r4_sliding(spark, sf):
 @register("r8_stream_sessions", """
 WITH x AS (SELECT user_id, epoch_us(ts) AS us FROM events),
 y AS (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY user_id ORDER BY us) < 1800000000 THEN 0 ELSE 1 END AS brk FROM x),
-z AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY us ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM y),
-s AS (SELECT user_id, min(us) AS session_start_us, max(us) + 1800000000 AS session_end_us, count(*) AS n_events FROM z GROUP BY user_id, sid)
-SELECT * FROM s WHERE session_end_us <= (SELECT max(epoch_us(ts)) FROM events) - 3600000000""")
+z AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY us ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM y)
+SELECT user_id, min(us) AS session_start_us, max(us) + 1800000000 AS session_end_us, count(*) AS n_events FROM z GROUP BY user_id, sid""")
 def q_r8(spark, sf):
-    """Closed sessions: those the final watermark (last event - 1 hour) has passed."""
+    """All sessions, those still open too."""
     stream, base = _event_stream(spark, sf, "r8")
-    agg = S.sessions(stream, "t", "user_id", "30 minutes", delay="1 hour")
-    S.run_available_now(agg.writeStream.outputMode("append").format("parquet").option("path", f"{base}/out"), f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/out")
+    found = X.Sessions(base, "long", gap_us=1_800_000_000, delay_us=3_600_000_000)
+    S.run_available_now(found.writer(stream.withColumn("us", S.epoch_micros("ts")), "user_id", "us"), f"{base}/ckpt")
+    return found.result(spark).withColumnRenamed("user", "user_id")
 
 
 _BUDGET = 3000.0
@@ -68,10 +69,9 @@ UNION ALL SELECT run_id, 'loss_spike', event_id, value FROM r WHERE prev IS NOT
 UNION ALL SELECT run_id, 'new_best', event_id, value FROM r WHERE best_before IS NULL OR value < best_before""")
 def q_r5(spark, sf):
     stream, base = _event_stream(spark, sf, "r5")
-    alerts = S.run_monitor(stream, "user_id", "t", "event_id", "value", "value", _BUDGET)
-    S.run_available_now(alerts.writeStream.outputMode("append").format("parquet").option("path", f"{base}/out"),
-                        f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/out")
+    w = X.run_monitor(stream, "user_id", "t", "event_id", "value", "value", _BUDGET, f"{base}/state", f"{base}/out")
+    S.run_available_now(w, f"{base}/ckpt")
+    return spark.read.schema("run_id long, kind string, event_id long, value double, batch_id long").parquet(f"{base}/out").drop("batch_id")
 
 
 @register("r1_r2_stream_usage_totals", """
@@ -105,10 +105,11 @@ def q_r3(spark, sf):
     return spark.read.parquet(f"{base}/out").groupBy("status").agg(F.sum("n").alias("n"))
 
 
-@register("r7_stream_near_dup")
+@register("r7_stream_near_dup", _first_wins_sql(0.85) + "SELECT doc_id, near_dup_kept AS kept FROM r")
 def q_r7(spark, sf):
+    """Near copies of kept earlier documents, decided online; Jaccard verified."""
     base = S.scratch(spark, "r7")
     stream = S.stream_table(spark, sf, "documents").select("doc_id", "lang", "text")
-    w = S.online_near_dup(stream, "doc_id", "text", ["lang"], f"{base}/index", f"{base}/out")
+    w = X.online_near_dup(stream, "doc_id", "text", ["lang"], f"{base}/index", f"{base}/out")
     S.run_available_now(w, f"{base}/ckpt")
     return spark.read.parquet(f"{base}/out").select("doc_id", "kept")

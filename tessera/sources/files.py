@@ -9,7 +9,7 @@ without reading a file in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.plans.prefix import row_numbers
@@ -33,16 +33,30 @@ def _string_field(v: Column, name: str) -> Column:
 def tolerant_jsonl_texts(spark: SparkSession, paths, limit: int | None = None,
                          fields=("prompt", "response")) -> DataFrame:
     """Skip blank and undecodable lines; emit only *string* values of
-    ``fields`` in (file, line, field) order; stop after ``limit`` values."""
+    ``fields`` in (file, line, field) order; stop after ``limit`` values.
+
+    The limit holds in file order without sorting the files: values are counted
+    per file split (one row each), the split in which the limit falls is found
+    from their running sum, splits before it are taken whole, and only that one is
+    numbered.  Files are ordered by path."""
     ls = lines_in_order(spark, paths).where(F.trim("value") != "")
     v = F.try_parse_json("value")
     parsed = ls.select("file", "line_key", v.alias("v")).where(F.col("v").isNotNull())
     arr = F.array(*[F.struct(F.lit(i).alias("field_idx"), _string_field(F.col("v"), f).alias("text")) for i, f in enumerate(fields)])
     out = parsed.select("file", "line_key", F.explode(arr).alias("x")).select("file", "line_key", "x.field_idx", "x.text")
     out = out.where(F.col("text").isNotNull())
-    if limit is not None:  # the feature: first ``limit`` field values
-        out = out.orderBy("file", "line_key", "field_idx").limit(limit)
-    return out
+    if limit is None:
+        return out
+    split = F.struct("file", F.col("line_key.block").alias("block"))
+    counted = out.groupBy(split.alias("split")).agg(F.count("*").alias("n"))
+    until = F.sum("n").over(Window.orderBy("split").rowsBetween(Window.unboundedPreceding, 0))  # one row a file split
+    edge = counted.withColumn("until", until).where(F.col("until") >= limit).orderBy("split").first()
+    if edge is None or limit <= 0:
+        return out if limit > 0 else out.limit(0)
+    at = F.struct(F.lit(edge.split.file).alias("file"), F.lit(edge.split.block).cast("long").alias("block"))
+    rest = limit - (edge.until - edge.n)
+    last = out.where(split == at).orderBy("line_key", "field_idx").limit(rest)
+    return out.where(split < at).unionByName(last)
 
 
 def strict_jsonl(spark: SparkSession, paths, schema: str) -> DataFrame:
