@@ -28,7 +28,7 @@ def register(name: str, sql: str | None = None):
 def _load() -> None:
     import importlib
     for mod in ("reg_corpus", "reg_dedup", "reg_sequences", "reg_prompts", "reg_teacher",
-                "reg_eval", "reg_runs", "reg_stream", "reg_misc", "reg_bytebpe"):
+                "reg_eval", "reg_runs", "reg_stream", "reg_misc", "reg_bytebpe", "reg_files"):
         try:
             importlib.import_module(f"tessera.plans.{mod}")
         except ModuleNotFoundError as e:  # module not written yet

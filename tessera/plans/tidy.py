@@ -16,12 +16,17 @@ from tessera.plans.prefix import row_numbers
 from tessera.sources.files import text_tree
 
 
-def tidy_pairs(spark: SparkSession, prompts_dir: str, answers_dir: str) -> tuple[DataFrame, DataFrame]:
+def tidy_pairs(spark: SparkSession, prompts_dir: str, answers_dir: str, key=None) -> tuple[DataFrame, DataFrame]:
     """(examples, missing): examples have category, language (fixed),
-    prompt, response, was_fixed, rel_path; missing are prompts without an answer."""
-    p = text_tree(spark, prompts_dir)
+    prompt, response, was_fixed, rel_path; missing are prompts without an answer.
+    ``key`` (a Column function) turns a file's path into what pairs share."""
+    def tree(folder: str) -> DataFrame:
+        t = text_tree(spark, folder)
+        return t if key is None else t.withColumn("rel_path", key(F.col("rel_path")))
+
+    p = tree(prompts_dir)
     parsed = p.select("rel_path", *[c.alias(n) for n, c in parse_prompt_file(F.col("content")).items()])
-    a = text_tree(spark, answers_dir).select("rel_path", normalize_answer(F.col("content")).alias("response"))
+    a = tree(answers_dir).select("rel_path", normalize_answer(F.col("content")).alias("response"))
     matched = parsed.join(a, "rel_path")
     fix = validate_and_fix(F.col("category"), F.col("language"), F.col("prompt"))
     examples = matched.select("rel_path", "category", fix["language"].alias("language"), "prompt", "response",

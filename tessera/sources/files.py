@@ -9,6 +9,8 @@ without reading a file in one task.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -103,9 +105,8 @@ def text_tree(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
     """One row per file under ``root`` (recursive): ``rel_path``, ``content``."""
     # .text()'s own wholetext=False default would override an option() value
     df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=True)
-    root_norm = root.rstrip("/").split("://")[-1]
-    rel = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), r"^[a-z]+:", ""),
-                           "^/*" + _quote(root_norm.lstrip("/")) + "/", "")
+    root_norm = re.sub(r"^[a-z][a-z0-9+.-]*:", "", root).strip("/")  # with or without an authority: what follows the scheme
+    rel = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), r"^[a-z][a-z0-9+.-]*:", ""), "^/*" + _quote(root_norm) + "/", "")
     return df.select(rel.alias("rel_path"), F.col("value").alias("content"))
 
 
