@@ -40,7 +40,7 @@ from tessera.functions.text import col
 from tessera.session import stage
 
 CACHED_PIECES = 200_000
-SAMPLE = 20_000
+SAMPLE = 200_000
 BATCH = 256
 # white space as Unicode's property has it
 SPACE = r"\t-\r\x{85}\p{Z}"

@@ -75,17 +75,17 @@ def q_d3_collisions(spark, sf):
 
 def _edges_sql(threshold: float) -> str:
     """All pairs (a before b) of a language whose token sets have Jaccard >= threshold."""
-    return f"""toks AS (SELECT DISTINCT doc_id, lang, unnest(list_filter(string_split_regex(text, '[{PYS}]+'), lambda x: x <> '')) AS tok FROM documents),
+    return f"""toks AS MATERIALIZED (SELECT DISTINCT doc_id, lang, unnest(list_filter(string_split_regex(text, '[{PYS}]+'), lambda x: x <> '')) AS tok FROM documents),
 n AS (SELECT doc_id, count(*) AS n FROM toks GROUP BY doc_id),
 s AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS s FROM toks a JOIN toks b ON a.lang IS NOT DISTINCT FROM b.lang AND a.tok = b.tok AND a.doc_id < b.doc_id
       GROUP BY a.doc_id, b.doc_id),
-e AS (SELECT a, b FROM s JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE s / CAST(x.n + y.n - s AS DOUBLE) >= {threshold})"""
+e AS MATERIALIZED (SELECT a, b FROM s JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE s / CAST(x.n + y.n - s AS DOUBLE) >= {threshold})"""
 
 
 def _first_wins_sql(threshold: float) -> str:
     """In the order of the ids, a document goes iff an earlier near copy has not gone."""
     return f"""WITH RECURSIVE {_edges_sql(threshold)},
-c AS (SELECT b AS id, list(a) AS before, row_number() OVER (ORDER BY b) AS pos FROM e GROUP BY b),
+c AS MATERIALIZED (SELECT b AS id, list(a) AS before, row_number() OVER (ORDER BY b) AS pos FROM e GROUP BY b),
 k(i, gone) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL
   SELECT i + 1, CASE WHEN len(list_filter(before, lambda x: NOT list_contains(gone, x))) > 0 THEN list_append(gone, id) ELSE gone END FROM k JOIN c ON pos = i + 1),
 g AS (SELECT unnest(gone) AS doc_id FROM k WHERE i = (SELECT max(i) FROM k)),
