@@ -248,6 +248,7 @@ def dataset_metadata(df: DataFrame, teacher_model: str, teacher_provider: str,
         "*", F.lit(teacher_model).alias("teacher_model"), F.lit(teacher_provider).alias("teacher_provider"))
 
 
+# FIXED VALUES: lower bounds and names of the size tiers
 SIZE_TIERS = [(0, "Tiny"), (1000, "Small"), (10000, "Medium"), (50000, "Large")]
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import keyed_unit, sql_unit
 from tessera.operators import evalmetrics as EV
 from tessera.operators import sequences as SEQ
+from tessera.operators import teacher as TE
 from tessera.plans.adapters import SQL_PAIRS, prompt_response_pairs, table, verdicts
 from tessera.plans.registry import register
 from tessera.sources import files
@@ -55,9 +56,8 @@ FROM (SELECT user_id, count(*) AS cnt FROM events GROUP BY user_id) c, LATERAL (
 def q_u3(spark, sf):
     """Existing samples unioned with the planned new ones (S13 work-list)."""
     e = table(spark, sf, "events").select(F.col("user_id").alias("task_id"), F.col("event_id").alias("sample_id"))
-    have = e.groupBy("task_id").agg(F.count("*").alias("cnt")).where("cnt < 80")
-    new = (have.select("task_id", "cnt", F.explode(F.sequence(F.lit(1), 80 - F.col("cnt"))).alias("s"))
-           .select("task_id", (F.col("cnt") + F.col("s")).alias("sample_id")))
+    targets = e.select("task_id").distinct().withColumn("n_target", F.lit(80))
+    new = TE.resume_worklist(e, targets).select("task_id", F.col("sample_idx").cast("bigint").alias("sample_id"))
     return e.withColumn("origin", F.lit("existing")).unionByName(new.withColumn("origin", F.lit("new")))
 
 

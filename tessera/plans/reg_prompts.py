@@ -239,7 +239,7 @@ def q_j9(spark, sf):
 
 
 _M3_TEMPLATES = [
-    (0, "function_implementation", "Write a {language} function that {task}.",
+    (0, "function_implementation", "In {language}, give code that {task}.",
      {"language": ["Python", "JavaScript", "Go"], "task": ["sorts a list", "parses a date", "merges two maps"]}),
     (1, "algorithm", "Implement {algorithm} in {language} with {constraint}.",
      {"algorithm": ["binary search", "quicksort", "Dijkstra"], "language": ["Python", "Rust"],

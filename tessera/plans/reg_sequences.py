@@ -188,6 +188,18 @@ def q_t5(spark, sf):
                     F.aggregate(tp["input_ids"], F.lit(0).cast("bigint"), lambda a, x: a + x).alias("id_sum"))
 
 
+@register("t5_truncate_pad_whole", """
+WITH t AS (SELECT doc_id, CASE WHEN length(text) > 0 THEN list_transform(string_split(text, ''), lambda c: unicode(c) % 1000) ELSE [] END AS ids FROM documents),
+p AS (SELECT doc_id, ids[1:512] AS a FROM t)
+SELECT doc_id, len(a) AS n_real, 512 AS padded_length, CAST(coalesce(list_sum(a), 0) AS BIGINT) AS id_sum FROM p""")
+def q_t5_whole(spark, sf):
+    """As ``t5_truncate_pad`` from whole texts to 512 ids; an empty text is all padding."""
+    tp = S.truncate_pad(S.codepoint_ids(F.coalesce("text", F.lit("")), None), 512)
+    return _docs(spark, sf).select("doc_id", F.aggregate(tp["attention_mask"], F.lit(0), lambda a, x: a + x).alias("n_real"),
+                                   F.size(tp["input_ids"]).alias("padded_length"),
+                                   F.aggregate(tp["input_ids"], F.lit(0).cast("bigint"), lambda a, x: a + x).alias("id_sum"))
+
+
 @register("t6_label_mask", f"""
 WITH p AS ({SQL_PAIRS}),
 t AS (SELECT conv_id, turn, length(prompt) AS plen,

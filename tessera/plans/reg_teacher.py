@@ -13,7 +13,7 @@ PYS = r"\t\n\x{0B}\f\r\x{1C}-\x{1F}\x{85}\p{Z}"
 _PROVIDERS = ["openai", "anthropic", "local"]
 _MODELS = {
     "openai": ["gpt-4", "gpt-4-turbo", "gpt-3.5-turbo", "gpt-4o-preview"],
-    "anthropic": ["claude-3-opus-20240229", "claude-3-sonnet-20240229", "claude-3-haiku-20240307", "claude-next"],
+    "anthropic": ["claude-3-opus-20240229", "claude-3-sonnet-20240229", "claude-3-haiku-20240307", "unlisted-model"],
     "local": ["local-coder"],
 }
 
@@ -45,6 +45,7 @@ req AS (SELECT *, CASE provider {cases} END AS model, CAST(length(prompt) AS BIG
                CAST(length(response) AS BIGINT) AS output_tokens FROM p1)"""
 
 
+# FIXED VALUES: published prices per 1,000 tokens, as in functions/constants.py
 _PRICES_SQL = """
 prices AS (SELECT * FROM (VALUES ('openai', 'gpt-4', 0.03, 0.06), ('openai', 'gpt-4-turbo', 0.01, 0.03),
    ('openai', 'gpt-3.5-turbo', 0.0005, 0.0015), ('anthropic', 'claude-3-opus-20240229', 0.015, 0.075),
