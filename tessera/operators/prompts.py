@@ -391,15 +391,15 @@ def containment_join(needles: DataFrame, haystacks: DataFrame, needle_text: str,
     brings no more texts than that.  Shorter needles are searched for directly:
     each pass over the haystacks carries an automaton of at most ``NEEDLE_BYTES``
     of them, so one very short needle changes nothing for the others.  Empty
-    needles match everything; null ones nothing.
+    needles match everything; null ones, and null scopes, nothing.
     """
     from tessera.session import stage
     scope = list(scope)
     added = not scope
     if added:  # one constant scope keeps every join an equi-join
         needles, haystacks, scope = needles.withColumn("_scope", F.lit(0)), haystacks.withColumn("_scope", F.lit(0)), ["_scope"]
-    nd = needles.select(needle_key, *scope, py_strip(F.col(needle_text)).alias("_needle"))
-    hay = haystacks.select(hay_key, *scope, F.col(hay_text).alias("_hay"))
+    nd = needles.select(needle_key, *scope, py_strip(F.col(needle_text)).alias("_needle")).dropna(subset=scope)
+    hay = haystacks.select(hay_key, *scope, F.col(hay_text).alias("_hay")).dropna(subset=scope)
     limit = k + window - 1
     long_n = nd.where(F.length("_needle") >= limit)
     pairs = stage(_candidates(long_n, hay, needle_key, hay_key, scope, k, window).distinct(), "j8-candidates")
@@ -467,8 +467,7 @@ def _search_short(nd: DataFrame, hay: DataFrame, needle_key: str, hay_key: str,
         texts = hay.where(F.col("_hay").isNotNull() & F.col(hay_key).isNotNull()).select(*scope, hay_key, "_hay")
         out = out.unionByName(texts.mapInPandas(search, out.schema))
     least = out.groupBy(*scope, "_needle").agg(F.min("_key").alias("match_" + hay_key))
-    same = functools.reduce(lambda a, b: a & b, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*scope, "_needle"]])
-    return nd.alias("a").join(least.alias("b"), same).select(F.col(f"a.{needle_key}"), F.col(f"b.match_{hay_key}"))
+    return nd.join(least, [*scope, "_needle"]).select(needle_key, "match_" + hay_key)
 
 
 def _candidates(nd, hay, needle_key, hay_key, scope, k, window):

@@ -99,3 +99,20 @@ def test_basic_checks_edges(spark):
             ((("a" * 199 + "\n") * 5)[:-1] + "a",), ("#" * 60 + "a" * 40 + "\n\n\n\n",), (line * 10,)]
     got = [r.reject_reason for r in Q.basic_checks(spark.createDataFrame(rows, "content string")).collect()]
     assert got == ["too_short", None, "too_long", "too_few_lines", None, "low_alnum", None]
+
+
+def test_containment_rounds_short_needles_and_scopes(spark, monkeypatch):
+    import random
+    monkeypatch.setattr(P, "FIRST_CANDIDATES", 1)
+    monkeypatch.setattr(P, "NEEDLE_BYTES", 60)  # several passes of short needles
+    r = random.Random(7)
+    common = "a passage that very many of the texts have in common, word for word. "
+    texts = [(i, ["x", "y", None][i % 3], common + "".join(r.choice("abc é") for _ in range(60)) + f" tail {i % 7}") for i in range(90)]
+    needles = [(1, "x", common), (2, "y", common + texts[46][2][len(common):]), (3, "x", "é"), (4, "y", "tail 5"), (5, None, "tail 6"), (6, "x", ""), (7, "x", "zzzz"),
+               (8, "y", texts[70][2][30:110]), (9, "z", "tail"), (10, "x", None), (11, "x", "  tail 3 "), (12, "x", "tail 3")]
+    hay = spark.createDataFrame([*texts, (500, "x", None)], "doc_id long, s string, text string")
+    df = spark.createDataFrame(needles, "n long, s string, needle string")
+    got = {x.n: x.match_doc_id for x in P.containment_join(df, hay, "needle", "text", "n", "doc_id", ["s"]).collect()}
+    for n, s, needle in needles:
+        hits = [i for i, t, text in texts if s is not None and t == s and needle is not None and needle.strip() in text]
+        assert got[n] == (min(hits) if hits else None), n
