@@ -417,14 +417,19 @@ def drop_near_copies(docs: DataFrame, words: int = 4, **kw) -> DataFrame:
     def named(s: pd.Series) -> pd.Series:
         return pd.Series([_node(shingle_set(x, words)) for x in s], dtype="int64")
 
-    kept = (classes.where("n_shingles > 0 AND doc_id <=> component_id").groupBy("component", "component_id").agg(F.min("rep").alias("rep"))
-            .unionByName(classes.where("n_shingles = 0 AND doc_id IS NOT NULL").select("component", "component_id", "rep").distinct())
-            .select(F.col("component_id").alias(key), F.col("rep").alias(node)))
-    rows = docs.withColumn(own, named(F.coalesce("text", F.lit(""))))
-    out = rows.join(kept.where(F.col(key).isNotNull()), (F.col("doc_id") == F.col(key)) & (F.col(own) == F.col(node)), "left_semi")
+    kept = classes.where("n_shingles > 0 AND doc_id <=> component_id").groupBy("component", "component_id").agg(F.min("rep").alias("rep"))
+    # only rows whose id is that of a dropped one need their node, or an exchange
+    spoken = classes.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "rep").distinct()
+    dropped = staged(spoken.join(kept.select(F.col("component_id").alias("doc_id"), "rep"), ["doc_id", "rep"], "left_anti"), "ngram-dropped")
+    maybe = _member_filter(dropped, "doc_id")(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
+    rows = docs.where(F.col("doc_id").isNotNull())
+    judged = rows.where(maybe).withColumn(own, named(F.coalesce("text", F.lit(""))))
+    gone = dropped.select(F.col("doc_id").alias(key), F.col("rep").alias(node))
+    judged = judged.join(gone, (F.col("doc_id") == F.col(key)) & (F.col(own) == F.col(node)), "left_anti").drop(own)
+    out = rows.where(~maybe).unionByName(judged)
     if classes.where("doc_id IS NULL AND component_id IS NULL").isEmpty():
-        return out.drop(own)
-    unnamed = rows.where(F.col("doc_id").isNull())
-    once = unnamed.join(kept.where(F.col(key).isNull()), F.col(own) == F.col(node), "left_semi").dropDuplicates([own])
+        return out
+    unnamed = docs.where(F.col("doc_id").isNull()).withColumn(own, named(F.coalesce("text", F.lit(""))))
+    once = unnamed.join(kept.where("component_id IS NULL").select(F.col("rep").alias(node)), F.col(own) == F.col(node), "left_semi").dropDuplicates([own])
     wordless = unnamed.where(F.col(own) == 0).dropDuplicates(["text"])
-    return out.unionByName(once).unionByName(wordless).drop(own)
+    return out.unionByName(once.drop(own)).unionByName(wordless.drop(own))
