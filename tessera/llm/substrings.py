@@ -209,6 +209,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
                                              names=["doc_id", "version", "start", "n", "seed", "passage"])
 
     twice = long_enough.select("text").mapInArrow(seeds, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).where("n > 1").select("seed")
+    twice = staged(twice, "repeats-seeds")  # a table of its own: a seed that a third of the runs have is split by the join
     found = long_enough.mapInArrow(profile, "doc_id long, version long, start long, n long, seed long, passage long")
     found = staged(found.join(twice, "seed").withColumn("unnamed", F.col("doc_id").isNull()), "repeats-runs")
 
