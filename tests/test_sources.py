@@ -40,6 +40,27 @@ def test_tolerant_jsonl_order_types_and_limit(spark, tmp):
     assert got5 == ["p1", "r1", "r2", "p3", "p4"]
 
 
+def test_field_limit_in_file_order_over_files_and_splits(spark, tmp):
+    want = []
+    for f in range(3):
+        lines = []
+        for i in range(400):
+            lines.append(json.dumps({"prompt": f"p{f}-{i}", "response": f"r{f}-{i}" if i % 3 else None}) if i % 5 else "{broken")
+            if i % 5:
+                want += [f"p{f}-{i}"] + ([f"r{f}-{i}"] if i % 3 else [])
+        _write(f"{tmp}/many/f{f}.jsonl", "\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")  # several splits a file
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert S.lines_in_order(spark, f"{tmp}/many").select("line_key.block").distinct().count() > 3
+        for limit in (0, 1, 7, 533, 534, 1000, len(want), len(want) + 5):
+            rows = S.tolerant_jsonl_texts(spark, f"{tmp}/many", limit=limit).orderBy("file", "line_key", "field_idx").collect()
+            assert [r.text for r in rows] == want[:limit]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_strict_jsonl_fails_on_bad_line(spark, tmp):
     _write(f"{tmp}/ok.jsonl", '{"prompt": "a", "response": "b"}\n\n{"prompt": "c", "response": "d"}\n')
     assert S.strict_jsonl(spark, f"{tmp}/ok.jsonl", "prompt string, response string").count() == 2

@@ -25,9 +25,10 @@ def test_scans_equal_windows(spark):
 
 
 def test_scans_with_small_arrow_batches_and_few_rows(spark):
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
     try:
         test_scans_equal_windows(spark)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
         one = spark.createDataFrame([(1, 1, None), (1, 2, 5), (1, 3, None), (2, 1, None)], "g int, i int, v long")
         rows = {(r.g, r.i): (r.p, r.m) for r in scans(one, ["g"], ["i"], {"p": ("last", "v"), "m": ("min", "v")}, 2).collect()}
         assert rows == {(1, 1): (None, None), (1, 2): (None, None), (1, 3): (5, 5), (2, 1): (None, None)}
