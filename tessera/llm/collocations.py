@@ -1,18 +1,21 @@
 """Phrase collocations from one count of the longest windows.
 
 Every word opens one window: the word and the up to ``longest - 1`` words after
-it in its piece, padded.  In a task these are columns, the word codes and the
+it in its piece, padded.  In a task these are columns: the word codes, and the
 same codes read one, two, three places ahead.  Only distinct windows of full
 width are counted; a phrase of fewer words starts wherever a window that it
 begins starts, so Spark's ROLLUP over the window's columns, summing over ever
-shorter prefixes, gives the counts of all shorter phrases.
-
-Before that, one pass counts words and neighbouring pairs in hash buckets (a
-table of fixed size, saturating at ``min_count``).  A phrase of ``min_count``
-occurrences holds only words and pairs of that many, so a window is padded from
-the first word or pair on whose bucket has fewer: no phrase that counts is
-lost, and most windows shrink to nothing.  In corpora that fill the buckets less is
-padded and more is shuffled; the result is the same.
+shorter prefixes, gives the counts of all shorter phrases and of all words.
+
+Windows travel packed: a task sends one row a bucket, with the words of that
+bucket once and its windows as columns of word numbers.  A window's bucket follows from its
+first two words, so a bucket's task knows the exact count of each prefix
+of two words or more.  Where a prefix has fewer than ``min_count``, no phrase that
+begins with it counts, and the windows are padded from there: what enters the
+ROLLUP is about as large as its result.  Pairs of words are counted beforehand in
+``SLOTS`` hash slots; windows of a slot that alone would overfill a bucket are
+spread by their third word too, and keep their first two.  The number of
+buckets follows from the number of words.
 
 Edge cases: null and empty texts have no words; a null lang is ``und`` (and counted
 with rows that say ``und``); repeated rows count as often as they occur; ties are broken as stated in
@@ -34,9 +37,9 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import staged
 
-BUCKETS = 1 << 23       # for pairs, and as many for words
-SLICE = 1 << 16         # buckets a row when tables are summed
-FLUSH = 2_000_000       # word occurrences that a task holds at once
+SLOTS = 1 << 16         # hash slots in which word pairs are counted
+BUCKET = 2_000_000      # word occurrences that a bucket is meant for
+FLUSH = 1_000_000       # word occurrences that a task holds at once
 # A-Z become a-z, tab a space, the characters that end a piece a line feed
 _BYTES = bytes(10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _TOKEN = re.compile(rb"[^ \n]+|\n+")
@@ -56,8 +59,8 @@ class _Words(dict):
         return n
 
 
-def _texts(batches):
-    """(lang, codes by number, flat codes) of up to FLUSH words of a language at a time."""
+def _texts(batches, flush: int):
+    """(lang, codes by number, flat codes) of up to ``flush`` words at a time."""
     held = {}
     size = 0
     for batch in batches:
@@ -68,7 +71,7 @@ def _texts(batches):
             words, parts = held.setdefault(lang, (_Words(), [np.zeros(1, np.int32)]))
             parts += [np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens)), np.zeros(1, np.int32)]
             size += len(tokens)
-            if size >= FLUSH:
+            if size >= flush:
                 yield from _flat(held)
                 held, size = {}, 0
     yield from _flat(held)
@@ -88,122 +91,152 @@ def _hashes(lang: str, names: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in names), np.uint64, len(names))
 
 
-def _pair_bucket(first: np.ndarray, second: np.ndarray, buckets: int) -> np.ndarray:
+def _mix(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     h = (first ^ (first >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + second
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return ((h ^ (h >> np.uint64(29))) & np.uint64(buckets - 1)).astype(np.int64)
+    return h ^ (h >> np.uint64(29))
 
 
-def _count_buckets(buckets: int, cut: int):
-    """Task: one row a slice of the bucket tables (counts up to ``cut``) and one a language (its words)."""
+def _windows(flat: np.ndarray, longest: int) -> list[np.ndarray]:
+    """Columns of the windows that open at each word; 0 pads."""
+    start = np.flatnonzero(flat > 0)
+    padded = np.concatenate([flat, np.zeros(longest, flat.dtype)])
+    columns = [flat[start].astype(np.int64)]
+    for ahead in range(1, longest):
+        columns.append(np.where(columns[-1] > 0, padded[start + ahead], 0).astype(np.int64))
+    return columns
 
-    def run(batches):
-        table = np.zeros(2 * buckets, np.min_scalar_type(2 * cut))
-        words = {}
 
-        def add(spots, offset):
-            spot, n = np.unique(spots, return_counts=True)
-            table[offset + spot] = np.minimum(table[offset + spot] + np.minimum(n, cut), cut)
+def _count_slots(longest: int):
+    """Task: (slot, n), the windows whose first two words fall in each slot."""
 
-        for lang, names, flat in _texts(batches):
+    def run(batches):
+        slots = np.zeros(SLOTS, np.int64)
+        for lang, names, flat in _texts(batches, FLUSH):
             hashed = _hashes(lang, names)
-            real = flat[flat > 0]
-            words[lang] = words.get(lang, 0) + len(real)
-            add((hashed & np.uint64(buckets - 1)).astype(np.int64)[real], 0)
-            both = np.flatnonzero((flat[:-1] > 0) & (flat[1:] > 0))
-            add(_pair_bucket(hashed[flat[both]], hashed[flat[both + 1]], buckets), buckets)
-        step = min(SLICE, buckets)
-        for at in range(0, 2 * buckets, step):
-            part = table[at:at + step]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary()), pa.array([None], pa.string()),
-                                                  pa.array([0])], names=["at", "counts", "lang", "n"])
-        for lang, n in words.items():
-            yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([None], pa.binary()), pa.array([lang]), pa.array([n])],
-                                             names=["at", "counts", "lang", "n"])
+            one, two = _windows(flat, 2)
+            slots += np.bincount((_mix(hashed[one], hashed[two]) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+        some = np.flatnonzero(slots)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(slots[some])], names=["slot", "n"])
 
     return run
 
 
-def _sum_slices(cut: int):
-    kind = np.min_scalar_type(2 * cut)
+def _numbered(columns: list[np.ndarray]) -> np.ndarray:
+    """A number for each row, the same for equal rows: column by column, so that
+    two numbers always make one 64-bit key."""
+    key = columns[0]
+    for c in columns[1:]:
+        key = pd.factorize(key << 32 | c)[0].astype(np.int64)
+    return key
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        total = 0
-        for b in pdf["counts"]:
-            total = np.minimum(total + np.frombuffer(zlib.decompress(b), kind).astype(np.int64), cut)
-        return pd.DataFrame({"at": [key[0]], "often": [np.packbits(total >= cut, bitorder="little").tobytes()]})
 
-    return run
+def _squeezed(columns: list[np.ndarray]) -> bytes:
+    """Columns of 32-bit numbers, byte by byte so that high bytes pack away."""
+    return zlib.compress(b"".join(c.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes() for c in columns), 1)
+
 
+def _columns(packed: bytes, rows: int) -> list[np.ndarray]:
+    raw = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(-1, 4, rows)
+    return [np.ascontiguousarray(c.T).view("<i4").ravel().astype(np.int64) for c in raw]
 
-def _count_windows(often: np.ndarray, buckets: int, longest: int):
-    """Task: distinct padded windows (lang, w1..wn) and their counts.  ``often``
-    holds one bit a bucket."""
 
-    def is_often(spot: np.ndarray) -> np.ndarray:
-        return (often[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 == 1
+def _pack_windows(full: np.ndarray, buckets: int, longest: int):
+    """Task: one row a bucket (and language, and FLUSH): its words, and windows as
+    numbers of them (0 pads), counts, and whether they are spread.  ``full`` marks
+    the slots that are spread by the third word."""
 
     def run(batches):
-        for lang, names, flat in _texts(batches):
+        for lang, names, flat in _texts(batches, FLUSH):
             hashed = _hashes(lang, names)
-            good = is_often((hashed & np.uint64(buckets - 1)).astype(np.int64))
-            good[0] = False
-            ok = good[flat]
-            step = np.zeros(len(flat), bool)  # the pair that starts here may be part of a phrase
-            both = np.flatnonzero(ok[:-1] & ok[1:])
-            step[both] = is_often(buckets + _pair_bucket(hashed[flat[both]], hashed[flat[both + 1]], buckets))
-            start = np.flatnonzero(ok)
-            columns, on = [flat[start].astype(np.int64)], np.ones(len(start), bool)
-            padded = np.concatenate([flat, np.zeros(longest, flat.dtype)])
-            step = np.concatenate([step, np.zeros(longest, bool)])
-            for ahead in range(1, longest):
-                on = on & step[start + ahead - 1]
-                columns.append(np.where(on, padded[start + ahead], 0).astype(np.int64))
-            # number the windows column by column, so that two 32-bit numbers always make one key
-            key = columns[0]
-            for c in columns[1:]:
-                _, key = np.unique(key << 32 | c, return_inverse=True)
-            _, first, n = np.unique(key, return_index=True, return_counts=True)
-            for at in range(0, len(first), 100_000):
-                here = first[at:at + 100_000]
-                words = [pa.array([names[i].decode() for i in c[here]], pa.string()) for c in columns]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(here)), *words, pa.array(n[at:at + 100_000])],
-                                                 names=["lang", *[f"w{i + 1}" for i in range(longest)], "c"])
+            columns = _windows(flat, longest)
+            if not len(columns[0]):
+                continue
+            number = pd.factorize(_numbered(columns))[0]
+            n = np.bincount(number)
+            first = np.empty(len(n), np.int64)
+            first[number[::-1]] = np.arange(len(number))[::-1]
+            columns = [c[first] for c in columns]
+            pair = _mix(hashed[columns[0]], hashed[columns[1]])
+            wide = full[(pair % np.uint64(SLOTS)).astype(np.int64)]
+            spot = np.where(wide, _mix(pair, hashed[columns[2]] if longest > 2 else pair), _mix(pair % np.uint64(SLOTS), np.uint64(1)))
+            bucket = ((spot >> np.uint64(7)) % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((columns[1], columns[0], bucket))
+            columns, n, bucket, wide = [c[order] for c in columns], n[order], bucket[order], wide[order]
+            ids, begin = np.unique(bucket, return_index=True)
+            out = []
+            for b, lo, hi in zip(ids.tolist(), begin.tolist(), [*begin[1:].tolist(), len(bucket)]):
+                here = [c[lo:hi] for c in columns]
+                used = np.zeros(len(names), bool)
+                for c in here:
+                    used[c] = True
+                used[0] = False
+                place = np.cumsum(used)  # number of a word in the bucket, from 1
+                own = [np.where(c > 0, place[c], 0) for c in here]
+                own[0] = np.diff(own[0], prepend=0)  # in order: steps are small
+                words = b"\n".join([names[i] for i in np.flatnonzero(used)])
+                out.append((b, lang, hi - lo, zlib.compress(words, 1), _squeezed([*own, n[lo:hi], wide[lo:hi]])))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], names=["bucket", "lang", "m", "words", "windows"])
 
     return run
 
 
-def phrase_counts(docs: DataFrame, longest: int = 4, min_count: int = 30, buckets: int = BUCKETS) -> tuple[DataFrame, DataFrame]:
-    """(lang, words, a) of every phrase of 1 to ``longest`` words with at least
-    ``min_count`` occurrences, and (lang, n): all word occurrences."""
-    spark = docs.sparkSession
-    own = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
-    counted = staged(own.mapInArrow(_count_buckets(buckets, min_count), "at long, counts binary, lang string, n long"), "collocation-buckets")
-    sizes = counted.where("at < 0").groupBy("lang").agg(F.sum("n").alias("n"))
-    bits = np.zeros(2 * buckets // 8, np.uint8)  # the driver and each task hold this one table of fixed size
-    step = min(SLICE, buckets) // 8
-    for r in counted.where("at >= 0").groupBy("at").applyInPandas(_sum_slices(min_count), "at long, often binary").collect():
-        bits[r["at"] // 8:r["at"] // 8 + step] = np.frombuffer(r["often"], np.uint8)
-    shared = spark.sparkContext.broadcast(bits)
+def _prune_bucket(longest: int, least: int):
+    """Task of one bucket: its windows, padded after their longest prefix that counts."""
+    w = [f"w{i + 1}" for i in range(longest)]
 
-    def windows(batches):
-        yield from _count_windows(shared.value, buckets, longest)(batches)
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for lang, rows in pdf.groupby("lang", sort=False):
+            lists = [zlib.decompress(x).split(b"\n") for x in rows["words"]]
+            number, words = pd.factorize(np.array([x for part in lists for x in part], object))
+            parts, at = [], 0
+            for part, m, packed in zip(lists, rows["m"].tolist(), rows["windows"]):
+                *own, n, wide = _columns(packed, m)
+                own[0] = np.cumsum(own[0])
+                known = np.append(0, number[at:at + len(part)] + 1)
+                parts.append((*[known[c] for c in own], n, wide))
+                at += len(part)
+            *columns, n, wide = [np.concatenate(x) for x in zip(*parts)]
+            keep, prefixes = np.ones(len(n), np.int64), [columns[0]]  # words that stay; a number for each prefix
+            for k, c in enumerate(columns[1:], 2):
+                prefixes.append(pd.factorize(prefixes[-1] << 32 | c)[0].astype(np.int64))
+                often = np.bincount(prefixes[-1], weights=n)[prefixes[-1]] >= least
+                keep = np.where((c > 0) & (keep == k - 1) & (often | (wide > 0) if k == 2 else often), k, keep)
+            for k in range(1, longest + 1):
+                at = np.flatnonzero(keep == k)
+                if not len(at):
+                    continue
+                _, first, group = np.unique(prefixes[k - 1][at], return_index=True, return_inverse=True)
+                made = {c: [words[j - 1].decode() for j in col[at[first]]] if i < k else "" for i, (c, col) in enumerate(zip(w, columns))}
+                out.append(pd.DataFrame({"lang": lang, **made, "c": np.bincount(group, weights=n[at]).astype(np.int64)}))
+        return pd.concat(out)
 
+    return run
+
+
+def phrase_counts(docs: DataFrame, longest: int = 4, min_count: int = 30, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
+    """(lang, words, a) of every phrase of 1 to ``longest`` words (two at least) with at
+    least ``min_count`` occurrences, and (lang, n): all word occurrences."""
+    own = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
+    slots = np.zeros(SLOTS, np.int64)  # the driver holds this one table of fixed size
+    for r in own.mapInArrow(_count_slots(longest), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
+        slots[r["slot"]] = r["n"]
+    full, buckets = slots > bucket, max(1, -(-int(slots.sum()) // bucket))
     w = [f"w{i + 1}" for i in range(longest)]
-    found = own.mapInArrow(windows, f"lang string, {', '.join(f'{x} string' for x in w)}, c long")
-    top = found.groupBy("lang", *w).agg(F.sum("c").alias("c"))
-    summed = top.rollup("lang", *w).agg(F.sum("c").alias("a"), F.grouping_id().alias("g"))
+    packed = own.mapInArrow(_pack_windows(full, buckets, longest), "bucket long, lang string, m long, words binary, windows binary")
+    kept = packed.groupBy("bucket").applyInPandas(_prune_bucket(longest, min_count), f"lang string, {', '.join(f'{x} string' for x in w)}, c long")
+    summed = staged(kept.rollup("lang", *w).agg(F.sum("c").alias("a"), F.grouping_id().alias("g")).where((F.col("a") >= min_count) | F.col("w1").isNull()), "collocation-sums")
     # a roll-up of k words has the other columns' bits set; one that ends in padding is a part of the shorter phrase's
     level = F.lit(None)
     for k in range(1, longest + 1):
         level = F.when((F.col("g") == (1 << (longest - k)) - 1) & (F.col(w[k - 1]) != ""), F.array(*w[:k])).otherwise(level)
     phrases = summed.where(F.col("a") >= min_count).select("lang", level.cast("array<string>").alias("words"), "a").where("words IS NOT NULL")
-    return staged(phrases, "collocation-phrases"), sizes
+    return phrases, summed.where((F.col("g") == (1 << longest) - 1) & F.col("lang").isNotNull()).select("lang", F.col("a").alias("n"))
 
 
 def collocations(docs: DataFrame, longest: int = 4, min_count: int = 30, top: int = 2000, nested: tuple[int, int] = (80, 100),
-                 buckets: int = BUCKETS) -> DataFrame:
+                 bucket: int = BUCKET) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's first ``top`` phrases.
 
     Cutting a phrase of ``a`` occurrences after k words gives parts of l and r
@@ -211,7 +244,7 @@ def collocations(docs: DataFrame, longest: int = 4, min_count: int = 30, top: in
     smallest k.  A phrase that lies inside a longer one with at least ``nested``
     of its occurrences is dropped.  Order: score and a descending, phrase by its
     UTF-8 bytes."""
-    phrases, sizes = phrase_counts(docs, longest, min_count, buckets)
+    phrases, sizes = phrase_counts(docs, longest, min_count, bucket)
     text = F.array_join("words", " ")
     named = phrases.select("lang", text.alias("phrase"), "words", "a")
     many = named.where(F.size("words") > 1)

@@ -54,27 +54,28 @@ def test_equals_brute_force(spark, monkeypatch):
     expect = brute(rows)
     assert len(expect) > 40 and {r[0] for r in expect} == {"en", "de", "und", "fr"}
     assert run(spark, rows) == expect
-    monkeypatch.setattr(C, "FLUSH", 400)  # counted in many parts
-    assert run(spark, rows, buckets=1 << 16) == expect
+    monkeypatch.setattr(C, "FLUSH", 400)  # counted in many parts and many buckets
+    assert run(spark, rows, bucket=400) == expect
 
 
-def test_full_buckets_lose_nothing(spark):
+def test_full_slots_are_spread(spark, monkeypatch):
     rows = sample(4, 80)
-    assert run(spark, rows, buckets=8, min_count=12, top=9) == brute(rows, least=12, top=9)
+    monkeypatch.setattr(C, "SLOTS", 8)  # every slot holds more than a bucket is meant for
+    assert run(spark, rows, bucket=20, min_count=12, top=9) == brute(rows, least=12, top=9)
 
 
 def test_other_lengths(spark):
     rows = sample(5, 60)
-    assert run(spark, rows, longest=3, min_count=10, buckets=1 << 16) == brute(rows, longest=3, least=10)
+    assert run(spark, rows, longest=3, min_count=10, bucket=400) == brute(rows, longest=3, least=10)
 
 
 def test_windows_stop_at_the_end_of_a_piece_and_of_a_text(spark):
     rows = [("a b. a b", "en"), ("a b", "en")] * 30
-    got = run(spark, rows, buckets=1 << 16)
+    got = run(spark, rows, bucket=400)
     assert got == [("en", 1, "a b", 90, 90, 90, 180, 1_000_000)]
 
 
 def test_odd_tables(spark, odd, none):
-    assert C.collocations(none, buckets=1 << 16).count() == 0
+    assert C.collocations(none, bucket=400).count() == 0
     rows = [tuple(r) for r in odd.select("text", "lang").collect()]
-    assert sorted(tuple(r) for r in C.collocations(odd, min_count=2, buckets=1 << 16).collect()) == brute(rows, least=2)
+    assert sorted(tuple(r) for r in C.collocations(odd, min_count=2, bucket=400).collect()) == brute(rows, least=2)
