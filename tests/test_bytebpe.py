@@ -116,3 +116,23 @@ def test_encoding_is_the_merge_order(spark):
             word = B._merge(word, a, b, model.base + i)
         expect += word
     assert ids == expect
+
+
+def test_few_jobs_where_words_outnumber_the_sample(spark):
+    freq, stats = pieces(2, 3000), {}
+    got = B.learn(table(spark, freq), 562, sample=1000, stats=stats)
+    assert (got.merges, got.counts) == sequential(freq, 562)
+    assert stats["jobs"] <= 20
+
+
+def test_words_are_merged_together():
+    words = [[1, 1, 1], [1, 1, 1, 1], [2, 1, 1, 2], [3], [1, 2, 1, 2, 1], [1, 1]]
+    merges = [(1, 1), (1, 2), (10, 10), (11, 11)]
+    sym, word = np.concatenate(words), np.repeat(np.arange(len(words)), [len(w) for w in words])
+    got = B._apply(sym.astype("int64"), word, B._ranked(merges), 10)
+    expect = []
+    for w in words:
+        for i, (a, b) in enumerate(merges):
+            w = B._merge(w, a, b, 10 + i)
+        expect.append(w)
+    assert [got[0][got[1] == i].tolist() for i in range(len(words))] == expect
