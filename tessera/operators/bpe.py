@@ -19,7 +19,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -131,6 +133,18 @@ def _encode_piece(piece: str, ranks: dict[tuple[str, str], int], vocab: dict[str
     return [vocab.get(s, unk) for s in sym]
 
 
+def _ids_of_documents(docs: pa.Array, at: np.ndarray, ids: list[np.ndarray]) -> pa.Array:
+    """Lists of ids for lists of pieces; ``at``: each piece's place in ``ids``."""
+    size = np.fromiter(map(len, ids), "int64", len(ids))
+    start = np.append(0, np.cumsum(size))
+    n = size[at]
+    ends = np.append(0, np.cumsum(n))  # of pieces, in ids
+    flat = np.concatenate([np.empty(0, "int32"), *ids])
+    taken = flat[np.arange(ends[-1]) + np.repeat(start[at] - ends[:-1], n)]
+    docs_end = np.append(0, np.cumsum(pc.list_value_length(docs).to_numpy(zero_copy_only=False)))
+    return pa.ListArray.from_arrays(pa.array(ends[docs_end].astype("int32")), pa.array(taken))
+
+
 def encode(df: DataFrame, model: BpeModel, text: str = "text", id_col: str = "id") -> DataFrame:
     """``(id, input_ids)``, without a shuffle: a document's pieces are encoded
     where it is, with a cache of piece encodings that is emptied when full.
@@ -141,22 +155,17 @@ def encode(df: DataFrame, model: BpeModel, text: str = "text", id_col: str = "id
     unk = len(vocab)
     bc = spark.sparkContext.broadcast((ranks, vocab, unk))  # size bounded by the vocabulary
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def enc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         r, v, u = bc.value
-        known: dict[str, list[int]] = {}
+        known: dict[str, np.ndarray] = {}
         for docs in batches:
-            rows = []
-            for ps in docs:
-                ids: list[int] = []
-                for p in ps:
-                    if p not in known:
-                        if len(known) >= CACHED_PIECES:
-                            known.clear()
-                        known[p] = _encode_piece(p, r, v, u)
-                    ids += known[p]
-                rows.append(ids)
-            yield pd.Series(rows)
+            if len(known) >= CACHED_PIECES:
+                known.clear()
+            # a batch stays in Arrow columns: only its distinct pieces become Python objects
+            coded = docs.flatten().dictionary_encode()
+            ids = [known[p] if p in known else known.setdefault(p, np.array(_encode_piece(p, r, v, u), "int32")) for p in coded.dictionary.to_pylist()]
+            yield _ids_of_documents(docs, coded.indices.to_numpy(), ids)
 
     own = F.coalesce(pieces(text), F.array().cast("array<string>"))
     return df.select(id_col, enc(own).alias("input_ids"))

@@ -110,3 +110,24 @@ def test_unrelated_rows_do_not_change_blocks(spark):
     many = spark.range(1000).select(F.col("id"), F.transform(F.sequence(F.lit(1), F.lit(7)), lambda x: x.cast("int")).alias("ids"))
     blocks = [{(r["pack_group"], r["block"]): r["length"] for r in S.pack(d, "ids", "id", [], max_length=50, ids_per_group=50).collect()} for d in (few, many)]
     assert blocks[0].items() <= blocks[1].items()
+
+
+def test_encode_is_piecewise_over_batches(spark):
+    """Ids of a document are those of its pieces, whatever else is in its batch; a batch stays in Arrow columns."""
+    from tessera.operators import bpe
+    texts = ["aa ab abab", None, "", "zq ab", "é日 aab", " ", "ab"]
+    model = bpe.BpeModel(alphabet=sorted(set("abz q")), merges=[("a", "b"), (" ", "ab")])
+    got = {r.id: r.input_ids for r in bpe.encode(spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1), model).collect()}
+    v, unk = model.vocab(), len(model.vocab())
+    assert got[0] == [v["a"], v["a"], v[" ab"], v[" ab"], v["ab"]] and got[1] == got[2] == []
+    assert got[3] == [v["z"], v["q"], v[" ab"]] and got[4] == [unk, unk, v[" "], v["a"], v["ab"]] and got[5] == [v[" "]] and got[6] == [v["ab"]]
+
+
+def test_documents_ids_are_put_together_without_python_lists():
+    import numpy as np
+    import pyarrow as pa
+    from tessera.operators import bpe
+    docs = pa.array([["x", "y"], [], ["y"], None, ["z", "x"]], pa.list_(pa.string())).slice(1)
+    coded = docs.flatten().dictionary_encode()
+    ids = [np.array({"x": [1], "y": [2, 3], "z": []}[p], "int32") for p in coded.dictionary.to_pylist()]
+    assert bpe._ids_of_documents(docs.fill_null([]), coded.indices.to_numpy(), ids).to_pylist() == [[], [2, 3], [], [1]]
