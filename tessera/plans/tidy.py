@@ -16,12 +16,13 @@ from tessera.plans.prefix import row_numbers
 from tessera.sources.files import text_tree
 
 
-def tidy_pairs(spark: SparkSession, prompts_dir: str, answers_dir: str, key=None) -> tuple[DataFrame, DataFrame]:
+def tidy_pairs(spark: SparkSession, prompts_dir: str, answers_dir: str, key=None, packs: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(examples, missing): examples have category, language (fixed),
     prompt, response, was_fixed, rel_path; missing are prompts without an answer.
-    ``key`` (a Column function) turns a file's path into what pairs share."""
+    ``key`` (a Column function) turns a file's path into what pairs share;
+    ``packs`` names the files that hold others (see ``text_tree``)."""
     def tree(folder: str) -> DataFrame:
-        t = text_tree(spark, folder)
+        t = text_tree(spark, folder, packs=packs)
         return t if key is None else t.withColumn("rel_path", key(F.col("rel_path")))
 
     p = tree(prompts_dir)

@@ -101,13 +101,29 @@ def keyed_last_wins(spark: SparkSession, candidates, key: str, schema: str) -> D
     return last.select("r.*")
 
 
-def text_tree(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
-    """One row per file under ``root`` (recursive): ``rel_path``, ``content``."""
+def text_tree(spark: SparkSession, root: str, glob: str = "*.txt", packs: str | None = None) -> DataFrame:
+    """One row per file under ``root`` (recursive): ``rel_path``, ``content``.
+
+    Files are loose or, where ``packs`` names them, members of packs (see
+    ``write_packed_tree``): millions of small files cost a listing entry on the
+    driver and an open each, members only their bytes."""
     # .text()'s own wholetext=False default would override an option() value
     df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=True)
     root_norm = re.sub(r"^[a-z][a-z0-9+.-]*:", "", root).strip("/")  # with or without an authority: what follows the scheme
     rel = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), r"^[a-z][a-z0-9+.-]*:", ""), "^/*" + _quote(root_norm) + "/", "")
-    return df.select(rel.alias("rel_path"), F.col("value").alias("content"))
+    loose = df.select(rel.alias("rel_path"), F.col("value").alias("content"))
+    if packs is None:
+        return loose
+    members = (spark.read.schema("rel_path string, content string").option("mode", "FAILFAST")
+               .option("recursiveFileLookup", True).option("pathGlobFilter", packs).json(root))
+    named = "(?s)^" + "".join({"*": ".*", "?": "."}.get(ch, _quote(ch)) for ch in glob) + "$"
+    return loose.unionByName(members.where(F.regexp_extract("rel_path", "([^/]*)$", 1).rlike(named)))
+
+
+def write_packed_tree(tree: DataFrame, root: str) -> None:
+    """S8 for a tree of small files: rows of ``rel_path`` and ``content`` as packs,
+    JSON lines with one member each, as many packs as ``tree`` has partitions."""
+    tree.select("rel_path", F.coalesce("content", F.lit("")).alias("content")).write.mode("errorifexists").json(root)
 
 
 def _quote(s: str) -> str:

@@ -114,6 +114,30 @@ def test_tidy_plan_counts_parse_and_fix(spark, tmp):
     assert (st.total, st.valid, st.missing_answer, st.fixed) == (4, 3, 1, 1)
 
 
+def test_text_tree_reads_packed_members_beside_loose_files(spark, tmp):
+    _write(f"{tmp}/t/loose/a.txt", "one\ntwo")
+    rows = [("deep/b.txt", " line\r\n\u2028 \"q\" \\ é😀\n"), ("deep/c.md", "other"), ("d.txt", None)]
+    S.write_packed_tree(spark.createDataFrame(rows, "rel_path string, content string"), f"{tmp}/t/packs")
+    got = {tuple(r) for r in S.text_tree(spark, f"{tmp}/t", packs="*.json").collect()}
+    assert got == {("loose/a.txt", "one\ntwo"), ("deep/b.txt", rows[0][1]), ("d.txt", "")}
+    assert [r.rel_path for r in S.text_tree(spark, f"{tmp}/t").collect()] == ["loose/a.txt"]
+
+
+def test_tidy_queries_write_no_file_a_pair(spark, tmp, monkeypatch):
+    from tessera.plans import reg_files
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"text {c} {t}") for c in range(60) for t in range(4)]
+    rows.append((70, 0, "user", None))
+    rows.append((70, 1, "assistant", None))
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp}/sf/conversations.parquet")
+    monkeypatch.setattr(reg_files, "scratch", lambda spark, name: f"{tmp}/{name}")
+    stats = reg_files.q_a3_tidy(spark, f"{tmp}/sf").first()
+    assert stats.total == 121 and stats.valid + stats.missing_answer == 121 and 90 <= stats.valid < 121
+    ex = reg_files.q_j1(spark, f"{tmp}/sf").collect()
+    assert len({r.rel_path for r in ex}) == len(ex) == stats.valid and all(r.rel_path.startswith("key=") for r in ex)
+    for name in ("j1", "a3"):
+        assert len([f for _, _, fs in os.walk(f"{tmp}/{name}") for f in fs if f.startswith("part-")]) < 60
+
+
 def test_head_split_sizes(spark):
     for n, dev in [(5, 5), (10, 10), (11, 10), (100, 10), (109, 10), (250, 25)]:
         df = spark.range(n).select(F.col("id").cast("string").alias("rel_path"))
