@@ -8,6 +8,7 @@ composed from built-ins; no UDAF.  Per-group "best" rows use ``max_by`` /
 from __future__ import annotations
 
 from collections import Counter
+from itertools import zip_longest
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,16 +112,21 @@ def completion_match(df: DataFrame, prediction: str, target: str, group_cols=())
         F.round(F.avg(prefix.cast("double")), 6).alias("prefix_match"))
 
 
-def levenshtein_distance(a: str, b: str, limit: int | None = None) -> int:
-    """Edit distance in code points, a whole column of the matrix at a time as the
-    bits of one integer.  Beyond ``limit`` the result is ``limit + 1``, found
-    without finishing."""
+def _trimmed(a: str, b: str) -> tuple[str, str]:
+    """The shorter and the longer text without the head and the tail they share."""
     if len(a) > len(b):
         a, b = b, a
     start = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
     a, b = a[start:], b[start:]
     end = next((i for i, (x, y) in enumerate(zip(reversed(a), reversed(b))) if x != y), len(a))
-    a, b = a[:len(a) - end], b[:len(b) - end]
+    return a[:len(a) - end], b[:len(b) - end]
+
+
+def levenshtein_distance(a: str, b: str, limit: int | None = None) -> int:
+    """Edit distance in code points, a whole column of the matrix at a time as the
+    bits of one integer.  Beyond ``limit`` the result is ``limit + 1``, found
+    without finishing."""
+    a, b = _trimmed(a, b)
     if limit is not None and len(b) - len(a) > limit:
         return limit + 1
     if not a:
@@ -148,12 +154,73 @@ def levenshtein_distance(a: str, b: str, limit: int | None = None) -> int:
     return score if limit is None else min(score, limit + 1)
 
 
+LANE_BITS = 24576  # bits of the pairs that share a step: few enough for the nearest cache
+
+
+def _lanes(pairs: list[tuple[str, str]]) -> list[int]:
+    """Edit distances of pairs (first texts not empty), a lane of bits for each: one
+    step adds a column to the matrices of all.  A lane's spare top bit takes what
+    an addition or a shift carries out of it."""
+    tables, blanks, at, ones, every = [], [], [], 0, 0
+    for a, _ in pairs:
+        size = len(a) // 8 + 1
+        here: dict[str, int] = {}
+        for i, ch in enumerate(a):
+            here[ch] = here.get(ch, 0) | 1 << i
+        tables.append({ch: bits.to_bytes(size, "little") for ch, bits in here.items()})
+        at.append(sum(map(len, blanks)))
+        blanks.append(bytes(size))
+        ones |= 1 << 8 * at[-1]
+        every |= ((1 << len(a)) - 1) << 8 * at[-1]
+    ending: dict[int, list[int]] = {}
+    for i, (_, b) in enumerate(pairs):
+        ending.setdefault(len(b), []).append(i)
+    out, up, down, total = [0] * len(pairs), every, 0, sum(map(len, blanks))
+    for j, column in enumerate(zip_longest(*[b for _, b in pairs]), 1):
+        same = int.from_bytes(b"".join([t.get(ch, none) for t, ch, none in zip(tables, column, blanks)]), "little")
+        diagonal = ((((same & up) + up) ^ up) | same | down) & every
+        right = (((down | (diagonal | up) ^ every) << 1) & every) | ones
+        left = ((diagonal & up) << 1) & every
+        up, down = left | (diagonal | right) ^ every, diagonal & right
+        if j in ending:  # the last column holds the distance as its rises less its falls
+            rise, fall = up.to_bytes(total, "little"), down.to_bytes(total, "little")
+            for i in ending[j]:
+                lane = slice(at[i], at[i] + len(blanks[i]))
+                out[i] = j + int.from_bytes(rise[lane], "little").bit_count() - int.from_bytes(fall[lane], "little").bit_count()
+    return out
+
+
+def levenshtein_distances(a: list[str], b: list[str], limit: int | None = None) -> list[int]:
+    """``levenshtein_distance`` of many pairs; those whose longer texts are of like
+    length share their steps."""
+    if limit is not None:
+        return [levenshtein_distance(x, y, limit) for x, y in zip(a, b)]
+    pairs = [_trimmed(x, y) for x, y in zip(a, b)]
+    out = [len(y) for _, y in pairs]  # of those whose first text is empty
+    todo = sorted((i for i, (x, _) in enumerate(pairs) if x), key=lambda i: -len(pairs[i][1]))
+    start = 0
+    while start < len(todo):
+        longest, bits, end = len(pairs[todo[start]][1]), 0, start
+        while end < len(todo) and bits < LANE_BITS and 4 * len(pairs[todo[end]][1]) >= 3 * longest:
+            bits += len(pairs[todo[end]][0])
+            end += 1
+        own, start = todo[start:end], end
+        found = _lanes([pairs[i] for i in own]) if len(own) > 2 else [levenshtein_distance(*pairs[i]) for i in own]
+        for i, d in zip(own, found):
+            out[i] = d
+    return out
+
+
 def edit_distance(df: DataFrame, prediction: str, target: str, group_cols=(), limit: int | None = None) -> DataFrame:
     """Mean Levenshtein distance in code points; a pair further apart than
     ``limit`` counts ``limit + 1``.  Pairs with a null side are not scored."""
     @F.pandas_udf("long")
     def distance(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None or y is None else levenshtein_distance(x, y, limit) for x, y in zip(a, b)], dtype="Int64")
+        out: list[int | None] = [None] * len(a)
+        both = [(i, x, y) for i, (x, y) in enumerate(zip(a, b)) if x is not None and y is not None]
+        for (i, _, _), d in zip(both, levenshtein_distances([x for _, x, _ in both], [y for _, _, y in both], limit)):
+            out[i] = d
+        return pd.Series(out, dtype="Int64")
 
     scored = df.select(*group_cols, distance(F.col(prediction), F.col(target)).alias("__distance"))
     return scored.groupBy(*group_cols).agg(F.count("*").alias("n_scored"), F.round(F.avg("__distance"), 6).alias("avg_edit_distance"))

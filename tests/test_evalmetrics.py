@@ -1,5 +1,6 @@
 """Evaluation aggregates: hand-computed edges."""
 
+import random
 from math import comb
 
 from pyspark.sql import functions as F
@@ -55,6 +56,36 @@ def test_edit_distance_is_code_points(spark):
     assert abs(got - sum(_lev(a, b) for a, b in pairs) / len(pairs)) < 1e-9
 
 
+def test_distances_of_many_pairs_are_those_of_each(spark):
+    r = random.Random(11)
+    pairs = [("", ""), ("", "abc"), ("x" * 64, "y" * 64), ("é😀" * 40, "\ud800e" * 33), ("a", "b" * 900)]
+    for n in (1, 5, 7, 8, 9, 63, 64, 65, 200):
+        for _ in range(40):
+            a = "".join(r.choice("ab é😀中") for _ in range(n))
+            b = "".join(r.choice("ab é😀z") for _ in range(r.choice([n, n + 1, 2 * n, 300])))
+            pairs.append(r.choice([(a, b), (b, a), (a, a), (a, a[:n // 2] + b[:3] + a[n // 2:])]))
+    a, b = (list(x) for x in zip(*pairs))
+    want = [EV.levenshtein_distance(x, y) for x, y in pairs]
+    assert EV.levenshtein_distances(a, b) == want
+    assert [_lev(x, y) for x, y in pairs[::7]] == want[::7]
+    assert EV.levenshtein_distances(a, b, 5) == [min(d, 6) for d in want]
+    assert EV.levenshtein_distances([], []) == []
+    df = spark.createDataFrame([(None, "x"), ("y", None)], "p string, t string")
+    assert tuple(EV.edit_distance(df, "p", "t").first()) == (2, None)
+
+
+def test_distances_of_lines_cost_little_each():
+    import time
+    r = random.Random(12)
+    lines = ["".join(r.choice("abcdefgh ,.") for _ in range(r.randrange(300, 500))) for _ in range(1001)]
+    start = time.process_time()
+    one = [EV.levenshtein_distance(x, y) for x, y in zip(lines[:200], lines[1:201])]
+    each = (time.process_time() - start) * 5
+    start = time.process_time()
+    assert EV.levenshtein_distances(lines[:-1], lines[1:])[:200] == one
+    assert time.process_time() - start < each / 2
+
+
 def test_completion_match_empty_is_not_prefix(spark):
     df = spark.createDataFrame([("", "abc"), ("ab", "abc"), (" abc ", "abc")], "p string, t string")
     r = EV.completion_match(df, "p", "t").first()
