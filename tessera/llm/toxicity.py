@@ -21,10 +21,13 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,22 +40,43 @@ def terms_of(text: str | None) -> list[str]:
     return _TERM.findall((text or "").lower())
 
 
-class Vocabulary(dict):
-    """Term -> number in order; sent as one string."""
+class Vocabulary(Mapping):
+    """Term -> number in order; held and sent as one string, and numbered where a
+    term is first looked up, which the driver need not do."""
+
+    def __init__(self, names: str, size: int):
+        self.names, self.size, self.made, self.kept = names, size, None, None
 
     def __reduce__(self):
-        return _vocabulary, ("\n".join(self),)
+        return Vocabulary, (self.names, self.size)
+
+    @property
+    def numbers(self) -> dict[str, int]:
+        if self.made is None:
+            self.made = {t: i for i, t in enumerate(self)}
+        return self.made
 
+    @property
+    def order(self) -> list[str]:
+        if self.kept is None:
+            self.kept = list(self)
+        return self.kept
 
-def _vocabulary(names: str) -> Vocabulary:
-    return Vocabulary((t, i) for i, t in enumerate(names.split("\n") if names else ()))
+    def __getitem__(self, term: str) -> int:
+        return self.numbers[term]
+
+    def __iter__(self):
+        return iter(self.names.split("\n") if self.size else ())
+
+    def __len__(self) -> int:
+        return self.size
 
 
 @dataclass
 class ExampleIndex:
     """Bounded by the terms of ``sample_rows`` examples."""
 
-    terms: dict[str, int]
+    terms: Vocabulary
     weight: np.ndarray    # of a term: idf times association
     ids: np.ndarray       # example ids in the order of places
     labels: np.ndarray
@@ -113,7 +137,7 @@ class ExampleIndex:
 
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The text's terms in order, and how often it has them."""
-        return np.unique(np.array([t for t in map(self.terms.get, terms_of(text)) if t is not None], np.int32), return_counts=True)
+        return np.unique(np.array([t for t in map(self.terms.numbers.get, terms_of(text)) if t is not None], np.int32), return_counts=True)
 
     def arrays(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         return self.unit(*self.counts(text))
@@ -206,26 +230,28 @@ def _associations(sample: DataFrame, min_chi2: float, min_phi2: float, min_texts
     n = {r["__y"]: r["n"] for r in held.groupBy("__y").agg(F.countDistinct("h").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     per = (held.groupBy("term").agg(F.countDistinct(F.when(F.col("__y") == 1, F.col("h"))).alias("a"),
-                                    F.countDistinct(F.when(F.col("__y") == 0, F.col("h"))).alias("b")).toPandas())
-    per = per.sort_values("term", kind="stable", ignore_index=True)
-    a, b = per["a"].to_numpy(float), per["b"].to_numpy(float)
+                                    F.countDistinct(F.when(F.col("__y") == 0, F.col("h"))).alias("b")).toArrow())
+    per = per.take(pc.sort_indices(per["term"]))  # stays Arrow: as Python strings the terms are many times as large
+    a, b = per["a"].to_numpy().astype(float), per["b"].to_numpy().astype(float)
     if n1 and n0:
         phi2 = (a * (n0 - b) - b * (n1 - a)) ** 2 / (float(n1) * n0 * (a + b) * (n1 + n0 - a - b + 1e-9))
     else:
         phi2 = np.ones(len(per))
     keep = (np.maximum(a, b) >= min_texts) & (phi2 * (n1 + n0) >= max(min_chi2, min_phi2 * (n1 + n0)))
     strength = np.sqrt(np.maximum(phi2[keep], 1.0 / max(n1 + n0, 1)))
-    return Vocabulary((t, i) for i, t in enumerate(per["term"][keep].tolist())), strength
+    terms = pa.concat_arrays([*per["term"].filter(pa.array(keep)).chunks, pa.array([], per["term"].type)])
+    names = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(terms)], pa.int32()), terms), "\n")[0].as_py()
+    return Vocabulary(names, len(terms)), strength
 
 
-def document_frequencies(docs: DataFrame, terms: dict[str, int]) -> tuple[np.ndarray, int]:
+def document_frequencies(docs: DataFrame, terms: Vocabulary) -> tuple[np.ndarray, int]:
     """Rows of ``docs`` that hold each vocabulary term, and all rows; every task
     sends one row per term it has seen."""
 
     held = docs.sparkSession.sparkContext.broadcast(terms)
 
     def count(batches):
-        terms = held.value
+        terms = held.value.numbers
         seen, rows = np.zeros(len(terms), np.int64), 0
         for pdf in batches:
             rows += len(pdf)
@@ -236,9 +262,9 @@ def document_frequencies(docs: DataFrame, terms: dict[str, int]) -> tuple[np.nda
         yield pd.DataFrame({"t": np.append(at, -1), "n": np.append(seen[at], rows)})
 
     got = (docs.select(F.coalesce("text", F.lit("")).alias("__text")).mapInPandas(count, "t long, n long")
-           .groupBy("t").agg(F.sum("n").alias("n")).toPandas())
+           .groupBy("t").agg(F.sum("n").alias("n")).toArrow())
     held.destroy()
-    t, n = got["t"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
+    t, n = got["t"].to_numpy(), got["n"].to_numpy()
     df = np.zeros(len(terms), np.int64)
     df[t[t >= 0]] = n[t >= 0]
     return df, int(n[t < 0].sum())
@@ -264,7 +290,7 @@ def build_index(docs: DataFrame, labels: DataFrame, target: str = "toxic", sampl
         got = [sent.value.counts(t) for t in s]
         return pd.DataFrame({"t": [t.tobytes() for t, _ in got], "n": [n.astype(np.min_scalar_type(n.max(initial=0))).tobytes() for _, n in got]})
 
-    rows = sample.select("__id", "__y", counted("__text").alias("v")).select("__id", "__y", "v.*").toPandas()
+    rows = sample.select("__id", "__y", counted("__text").alias("v")).select("__id", "__y", "v.*").toArrow().to_pandas()
     rows = rows.sort_values(["__id", "__y", "t", "n"], kind="stable")
     y = rows["__y"].to_numpy(np.int64)
     index.base = (int(y.sum()) + 0.5) / (len(y) + 1.0)
@@ -288,7 +314,7 @@ def build_index(docs: DataFrame, labels: DataFrame, target: str = "toxic", sampl
             near = index.nearest([index.example(i) for i in own], own)
             yield pd.DataFrame({"id": own, "vote": [index.vote(x) for x in near]})
 
-    voted = docs.sparkSession.range(len(size)).mapInPandas(votes, "id long, vote double").toPandas().sort_values("id")
+    voted = docs.sparkSession.range(len(size)).mapInPandas(votes, "id long, vote double").toArrow().to_pandas().sort_values("id")
     index.steps = _isotonic(voted["vote"].to_numpy(float), index.labels.astype(float))
     sent.destroy()
     return index
@@ -298,11 +324,12 @@ def with_toxicity(docs: DataFrame, index: ExampleIndex, out: str = "toxicity", e
     """``docs`` with a struct column ``out``: score, the number of neighbours,
     and evidence (``id:label:cosine`` of the nearest, and the greatest terms).
     Every row stays; a column called ``out`` is replaced."""
-    sent = docs.sparkSession.sparkContext.broadcast((index, list(index.terms)))
+    sent = docs.sparkSession.sparkContext.broadcast(index)
 
     @F.pandas_udf("struct<score: double, neighbours: int, evidence: string>")
     def judge(s: pd.Series) -> pd.DataFrame:
-        index, names = sent.value
+        index = sent.value
+        names = index.terms.order
         made = []
         vectors = [index.arrays(text) for text in s]
         for (t, w), near in zip(vectors, index.nearest(vectors)):

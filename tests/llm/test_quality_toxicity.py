@@ -99,3 +99,13 @@ def test_rare_toxic_words_are_evidence(spark):
     assert "zorgl" in index.terms and "w17" in index.terms
     got = X.with_toxicity(rare, index).where("doc_id > 1001").select("toxicity.*").collect()
     assert all(r.neighbours > 0 and r.evidence.split()[0].split(":")[1] == "1" and r.score >= 0.3 for r in got)
+
+
+def test_driver_holds_the_terms_as_one_string(spark):
+    docs, labels = _corpus(spark)
+    index = X.build_index(docs, labels)
+    assert index.terms.made is None  # no term became a Python object of the driver's
+    assert list(index.terms) == sorted(index.terms) == index.terms.order and len(index.terms) == len(index.weight)
+    assert [index.terms[t] for t in index.terms] == list(range(len(index.terms))) and "nosuchterm" not in index.terms
+    empty = X.Vocabulary("", 0)
+    assert not empty and list(empty) == [] and empty.get("a") is None
