@@ -42,6 +42,9 @@ HOT_TOKENS = 65536
 SAMPLE_BITS = 0.2       # the share of hash space of which every n-gram is kept beside the prefix
 GROUP_BLOCK = 2048
 CLUSTER_BLOCK = 256
+EDGE_ROWS = 100_000     # edges a task holds before it hands them on
+SKETCH_WORDS = 1_000_000  # words of sketches compared at a time
+PROFILE_ROWS = 1000     # texts whose n-grams a task holds at a time
 _CUT = np.uint64(int(SAMPLE_BITS * 2 ** 64))
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _31, _29 = np.uint64(31), np.uint64(29)
@@ -160,7 +163,7 @@ def _meet(keys: list[str], t: tuple[int, int]):
                         _survivors(todo, ids, n, width, levels, two, left, t, found)
                         todo = []
             _survivors(todo, ids, n, width, levels, two, left, t, found)
-            if len(found) > 500_000:
+            if len(found) > EDGE_ROWS:
                 yield pd.DataFrame(sorted(found), columns=["a", "b"])
                 found = set()
         yield pd.DataFrame(sorted(found), columns=["a", "b"], dtype=np.int64)
@@ -181,7 +184,7 @@ def _survivors(todo, ids, n, width, levels, two, left, t, found) -> None:
     for level in np.unique(w):
         place, rows = levels[int(level)]
         at = np.flatnonzero(w == level)
-        for part in np.array_split(at, max(1, len(at) * int(level) // 4_000_000)):
+        for part in np.array_split(at, max(1, len(at) * int(level) // SKETCH_WORDS)):
             differ = np.bitwise_count(rows[place[i[part]]] ^ rows[place[j[part]]]).sum(1, dtype=np.int64)
             keep.append(part[_may_link(n[i[part]], n[j[part]], differ, t)])
 
@@ -329,15 +332,16 @@ def _classes(docs: DataFrame, words: int = 4, threshold: tuple[int, int] = (85,
         return n - -(-num * n // den) + 1 if n else 0
 
     def profile(batches):
-        for pdf in batches:
-            rows = []
-            for text in pdf["text"]:
-                s = shingle_set(text, words)
-                keep = s[:max(prefix(len(s)), int(np.searchsorted(s, _CUT)))]
-                rows.append((len(s), _node(s), sketch(s).tobytes(), keep.tobytes()))
-            made = pd.DataFrame(rows, columns=["n", "rep", "sketch", "tokens"])
-            made.insert(0, "doc_id", pdf["doc_id"].astype("Int64"))
-            yield made
+        for batch in batches:
+            for at in range(0, len(batch), PROFILE_ROWS):
+                pdf, rows = batch.iloc[at:at + PROFILE_ROWS], []
+                for text in pdf["text"]:
+                    s = shingle_set(text, words)
+                    keep = s[:max(prefix(len(s)), int(np.searchsorted(s, _CUT)))]
+                    rows.append((len(s), _node(s), sketch(s).tobytes(), keep.tobytes()))
+                made = pd.DataFrame(rows, columns=["n", "rep", "sketch", "tokens"])
+                made.insert(0, "doc_id", pdf["doc_id"].astype("Int64").array)
+                yield made
 
     def front(batches):
         for pdf in batches:
@@ -347,7 +351,7 @@ def _classes(docs: DataFrame, words: int = 4, threshold: tuple[int, int] = (85,
                 yield pd.DataFrame({"token": every[every < _CUT].view(np.int64)})
 
     def ordered_front(batches):
-        for pdf in batches:
+        for pdf in (b.iloc[at:at + PROFILE_ROWS] for b in batches for at in range(0, len(b), PROFILE_ROWS)):
             token, owner = [], []
             for rep, b, n in zip(pdf["rep"].tolist(), pdf["tokens"], pdf["n"].tolist()):
                 s, p = np.frombuffer(b, np.uint64), prefix(n)

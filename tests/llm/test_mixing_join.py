@@ -120,6 +120,14 @@ def test_classes_equal_brute_force(spark, monkeypatch):
         assert sorted(map(tuple, got.collect()), key=str) == _brute(rows, 4, 85, 100)
 
 
+def test_classes_with_little_held_in_a_task(spark, monkeypatch):
+    rows = _copies(5, 120)
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    for name, size in (("EDGE_ROWS", 3), ("SKETCH_WORDS", 16), ("PROFILE_ROWS", 7)):
+        monkeypatch.setattr(J, name, size)
+    assert sorted(map(tuple, J.near_copy_classes(df, 4, (85, 100), hot=4).collect()), key=str) == _brute(rows, 4, 85, 100)
+
+
 def test_join_odd_rows(spark, odd, odd_rows, none):
     got = sorted(map(tuple, J.near_copy_classes(odd, 5, (80, 100)).collect()), key=str)
     assert got == _brute([(r[0], r[1]) for r in odd_rows], 5, 80, 100)
