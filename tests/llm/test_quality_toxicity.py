@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -109,3 +110,39 @@ def test_driver_holds_the_terms_as_one_string(spark):
     assert [index.terms[t] for t in index.terms] == list(range(len(index.terms))) and "nosuchterm" not in index.terms
     empty = X.Vocabulary("", 0)
     assert not empty and list(empty) == [] and empty.get("a") is None
+
+
+def test_terms_are_word_characters_of_the_lowered_text():
+    r = random.Random(3)
+    letters = [chr(c) for c in range(0x3000)] + list("\u03a3\u03c2\u0130\u212a\u00a0\u2003_'.:  \x1c") * 40
+    texts = ["".join(r.choices(letters, k=40)) for _ in range(3000)] + [None, "", "\u039f\u03a3'\u0391 A_b-C9", "I\u0307\u0130x"]
+    assert all(X.terms_of(t) == re.findall(r"\w+", (t or "").lower()) for t in texts)
+
+
+def test_rough_cosines_leave_few_examples_to_compare(spark, monkeypatch):
+    docs, labels = _corpus(spark, 600)
+    copies = docs.where("doc_id < 40").withColumn("doc_id", F.col("doc_id") + 5000)
+    index = X.build_index(docs.unionByName(copies), labels.unionByName(copies.selectExpr("doc_id", "1 AS quality", "0 AS toxic")), k=4)
+    texts = [r.text for r in docs.where("doc_id < 60").orderBy("doc_id").collect()] + ["w1 w2", "none of these", ""]
+    vectors, every, seen = index.vectors(texts), np.arange(len(index.ids)), []
+    exact = [index.exact(v, every) for v in vectors]
+    assert max(float(np.abs(a - b).max()) for a, b in zip(index.rough(vectors), exact)) <= index.slack / 2
+    look = X.ExampleIndex.exact
+    monkeypatch.setattr(X.ExampleIndex, "exact", lambda self, v, some: seen.append(len(some)) or look(self, v, some))
+    got = index.nearest(vectors)
+    assert got == [[(float(c[i]), int(i)) for i in np.argsort(-c, kind="stable")[:4] if c[i] > 0] for c in exact]
+    assert sum(seen[:60]) < 60 * 12 < 60 * len(every)  # before, all were compared in doubles
+
+
+def test_terms_of_many_texts_at_a_time(spark, monkeypatch):
+    docs, labels = _corpus(spark)
+    texts = [r.text for r in docs.orderBy("doc_id").collect()] + ["", None]
+    one = X.build_index(docs, labels)
+    want = [one.counts([t]) for t in texts]
+    monkeypatch.setattr(X, "TEXTS", 7)
+    two = X.build_index(docs, labels)
+    assert (one.weight == two.weight).all() and list(one.terms) == list(two.terms)
+    for a, b in zip(want, one.counts(texts), strict=True):
+        (t, n), = a
+        assert (t == b[0]).all() and (n == b[1]).all()
+        assert all(x < y for x, y in zip(t, t[1:]))
