@@ -32,7 +32,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import staged, unused
@@ -44,6 +44,7 @@ GROUP_BLOCK = 2048
 CLUSTER_BLOCK = 256
 EDGE_ROWS = 100_000     # edges a task holds before it hands them on
 SKETCH_WORDS = 1_000_000  # words of sketches compared at a time
+PAIR_ROWS = 200_000     # pairs of a large group compared at a time
 PROFILE_ROWS = 1000     # texts whose n-grams a task holds at a time
 _CUT = np.uint64(int(SAMPLE_BITS * 2 ** 64))
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -149,7 +150,7 @@ def _meet(keys: list[str], t: tuple[int, int]):
             new[1:] = np.logical_or.reduce([pdf[k].to_numpy()[1:] != pdf[k].to_numpy()[:-1] for k in keys])
             starts = np.flatnonzero(new)
             sizes = np.diff(np.append(starts, len(pdf)))
-            todo = []
+            todo, held = [], 0
             for size in np.unique(sizes):
                 if 2 <= size <= 16:
                     i, j = np.triu_indices(size, 1)
@@ -159,9 +160,10 @@ def _meet(keys: list[str], t: tuple[int, int]):
                 for i in range(start, start + size - 1):
                     j = np.arange(i + 1, start + size)
                     todo.append((np.full(len(j), i), j))
-                    if len(todo) > 512:
+                    held += len(j)
+                    if held > PAIR_ROWS:
                         _survivors(todo, ids, n, width, levels, two, left, t, found)
-                        todo = []
+                        todo, held = [], 0
             _survivors(todo, ids, n, width, levels, two, left, t, found)
             if len(found) > EDGE_ROWS:
                 yield pd.DataFrame(sorted(found), columns=["a", "b"])
@@ -293,24 +295,23 @@ def _blocks(rows: DataFrame, count: str, size: int) -> DataFrame:
 
 
 def _member_filter(ids: DataFrame, col: str, bits: int = 1 << 23):
-    """Column function that holds for every id of ``ids`` and for few others: a
-    Bloom filter of a fixed million bytes, so that texts outside a small set need
-    not be shuffled to find that out."""
-    spots = ids.select(F.explode(F.array(*[F.pmod(F.xxhash64(col, F.lit(k)), F.lit(bits)) for k in range(3)])).alias("s"))
-    words = spots.groupBy(F.floor(F.col("s") / 32).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 32 as int))")).alias("m"))
-    table = np.zeros(bits // 32, np.int64)
-    got = words.toPandas()
-    table[got["w"].to_numpy(np.int64)] = got["m"].to_numpy(np.int64)
-
-    @F.pandas_udf("boolean")
-    def within(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-        ok = np.ones(len(a), bool)
-        for s in (a, b, c):
-            v = s.to_numpy(np.int64)
-            ok &= (table[v // 32] >> (v % 32)) & 1 == 1
-        return pd.Series(ok)
-
-    return lambda col: within(*[F.pmod(F.xxhash64(col, F.lit(k)), F.lit(bits)) for k in range(3)])
+    """Splits rows by a long key: ``(rows, key) -> (some, others)``.  ``some`` have
+    all rows whose key is in ``ids`` and few more, so that texts outside a small
+    set need not be shuffled to find that out.  The table of one bit a hash has a
+    fixed size; it is looked up by joins, not in Python, where each task would
+    hold another worker for it."""
+    spots = ids.select(F.pmod(F.xxhash64(col), F.lit(bits)).alias("s"))
+    words = spots.groupBy(F.shiftright("s", 5).alias("__w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 32 as int))")).alias("__m"))
+    words = staged(words, "ngram-members")
+
+    def split(rows: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
+        word, mask = unused(rows, "__w", "__m")
+        table = F.broadcast(words.select(F.col("__w").alias(word), F.col("__m").alias(mask)))
+        spot = F.pmod(F.xxhash64(key), F.lit(bits))
+        on = (F.shiftright(spot, 5) == F.col(word)) & (F.col(mask).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 32).cast("int"))) != 0)
+        return rows.join(table, on, "left_semi"), rows.join(table, on, "left_anti")
+
+    return split
 
 
 def _node(tokens: np.ndarray) -> int:
@@ -391,9 +392,9 @@ def _classes(docs: DataFrame, words: int = 4, threshold: tuple[int, int] = (85,
     cut = _blocks(near.withColumnRenamed("node", "rep").join(sizes, "component"), "c", CLUSTER_BLOCK)
     named = full.select("doc_id", "rep").join(near.select(F.col("node").alias("rep")), "rep").groupBy("rep").agg(F.min("doc_id").alias("id"))
     named = staged(named, "ngram-named")
-    wanted = _member_filter(named.where("id IS NOT NULL"), "id")
+    wanted, _ = _member_filter(named.where("id IS NOT NULL"), "id")(every.where(F.col("doc_id").isNotNull()), F.col("doc_id"))
     # an id may have several texts: each row's own node says whether it is the one
-    fetched = every.where(F.col("doc_id").isNotNull()).where(wanted(F.col("doc_id"))).mapInPandas(nodes, "id long, rep long, text string")
+    fetched = wanted.mapInPandas(nodes, "id long, rep long, text string")
     texts = fetched.join(named.where("id IS NOT NULL"), ["id", "rep"]).select("rep", "text")
     unnamed = every.where(F.col("doc_id").isNull()).mapInPandas(nodes, "id long, rep long, text string").select("rep", "text")
     texts = texts.unionByName(unnamed.join(named.where("id IS NULL").select("rep"), "rep")).groupBy("rep").agg(F.min("text").alias("text"))
@@ -425,12 +426,11 @@ def drop_near_copies(docs: DataFrame, words: int = 4, **kw) -> DataFrame:
     # only rows whose id is that of a dropped one need their node, or an exchange
     spoken = classes.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "rep").distinct()
     dropped = staged(spoken.join(kept.select(F.col("component_id").alias("doc_id"), "rep"), ["doc_id", "rep"], "left_anti"), "ngram-dropped")
-    maybe = _member_filter(dropped, "doc_id")(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
-    rows = docs.where(F.col("doc_id").isNotNull())
-    judged = rows.where(maybe).withColumn(own, named(F.coalesce("text", F.lit(""))))
+    maybe, others = _member_filter(dropped, "doc_id")(docs.where(F.col("doc_id").isNotNull()), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
+    judged = maybe.withColumn(own, named(F.coalesce("text", F.lit(""))))
     gone = dropped.select(F.col("doc_id").alias(key), F.col("rep").alias(node))
     judged = judged.join(gone, (F.col("doc_id") == F.col(key)) & (F.col(own) == F.col(node)), "left_anti").drop(own)
-    out = rows.where(~maybe).unionByName(judged)
+    out = others.unionByName(judged)
     if classes.where("doc_id IS NULL AND component_id IS NULL").isEmpty():
         return out
     unnamed = docs.where(F.col("doc_id").isNull()).withColumn(own, named(F.coalesce("text", F.lit(""))))

@@ -167,3 +167,28 @@ def test_rows_without_id_join_their_class(spark):
     got = [tuple(r) for r in J.drop_near_copies(df).collect()]
     assert len(got) == 6 and {(1, a), (None, c), (None, ""), (3, " "), (4, None)} < set(got)
     assert len({t for i, t in got if i is None and t.startswith("b")}) == 1
+
+
+def test_member_split_is_whole_and_needs_no_python(spark):
+    ids = spark.range(0, 3000, 3).withColumnRenamed("id", "own")
+    rows = spark.createDataFrame([(i, f"t{i}", i) for i in range(-50, 3050)], "doc_id long, text string, __w long").repartition(3)
+    some, others = J._member_filter(ids, "own", 1 << 12)(rows, F.col("doc_id"))
+    a, b = ({r.doc_id for r in x.collect()} for x in (some, others))
+    assert a >= set(range(0, 3000, 3)) and not a & b and a | b == set(range(-50, 3050))
+    assert len(b) > 500 and some.columns == others.columns == rows.columns
+    none, every = J._member_filter(ids.where("own < 0"), "own")(rows, F.col("doc_id"))
+    assert none.count() == 0 and every.count() == 3100
+    assert not any(x in d._jdf.queryExecution().executedPlan().toString() for d in (some, others) for x in ("ArrowEvalPython", "NestedLoop", "SortMergeJoin"))
+
+
+def test_tasks_of_the_join_hold_one_python_worker(spark):
+    df = spark.createDataFrame(_copies(6, 60), "doc_id long, text string")
+    plan = J.drop_near_copies(df, 4, threshold=(85, 100))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # the node of rows whose id may be a dropped one; two a task before
+
+
+def test_pairs_of_a_large_group_in_parts(spark, monkeypatch):
+    rows = _copies(9, 80)
+    monkeypatch.setattr(J, "PAIR_ROWS", 5)
+    got = J.near_copy_classes(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 4, (85, 100), hot=64)
+    assert sorted(map(tuple, got.collect()), key=str) == _brute(rows, 4, 85, 100)
