@@ -35,6 +35,7 @@ from tessera.functions.text import col, py_strip, words
 from tessera.session import cut_lineage
 
 MERSENNE_31 = 2147483647
+MINIMA_HASHES = 32768  # hashes worked on at a time
 
 
 # --- D1 ----------------------------------------------------------------------
@@ -85,24 +86,52 @@ def token_hashes(text) -> Column:
     return F.transform(F.array_distinct(words(text)), token_u32)
 
 
-def _signature_udf(num_perm: int, seed: str):
-    perms = np.array(permutations(num_perm, seed), dtype=np.int64)
-    a, b = perms[:, 0], perms[:, 1]
+@functools.lru_cache(maxsize=8)
+def _permutation_arrays(num_perm: int, seed: str) -> tuple[np.ndarray, np.ndarray]:
+    perms = np.array(permutations(num_perm, seed), dtype=np.uint64)
+    return perms[:, 0], perms[:, 1]
+
+
+def minima(hashes: np.ndarray, starts: np.ndarray, num_perm: int = K.NUM_PERM, seed: str = "minhash") -> np.ndarray:
+    """(sets, num_perm) minima of ``(a*h+b) mod p`` over sets of 32-bit hashes that lie
+    one behind the other; ``starts``: each set's first place (none is empty).
+
+    Sets are taken in stretches that stay in the processor's cache; mod 2^31 - 1 is
+    two folds and one conditional subtraction."""
+    a, b = _permutation_arrays(num_perm, seed)
+    p, bits = np.uint64(MERSENNE_31), np.uint64(31)
+    out = np.empty((len(starts), num_perm), dtype=np.int64)
+    ends, at = np.append(starts[1:], len(hashes)), 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + MINIMA_HASHES, "right")))
+        h = hashes[starts[at]:ends[to - 1]].astype(np.uint64)
+        first, x, y = starts[at:to] - starts[at], np.empty_like(h), np.empty_like(h)
+        for i in range(num_perm):
+            np.multiply(h, a[i], out=x)
+            x += b[i]
+            for _ in range(2):
+                np.right_shift(x, bits, out=y)
+                x &= p
+                x += y
+            np.subtract(x, p, out=y)  # wraps to a large number where x < p
+            np.minimum(x, y, out=x)
+            out[at:to, i] = np.minimum.reduceat(x, first)
+        at = to
+    return out
 
+
+def _signature_udf(num_perm: int, seed: str):
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def signature(hashes: pd.Series) -> pd.Series:
         arrays = [np.asarray(x, dtype=np.int64) if x is not None else np.empty(0, np.int64) for x in hashes]
-        sizes = np.fromiter((len(x) for x in arrays), dtype=np.int64, count=len(arrays))
-        out = np.empty((len(arrays), num_perm), dtype=np.int64)
-        nonempty = sizes > 0
-        if nonempty.any():
-            flat = np.concatenate([x for x in arrays if len(x)])
-            starts = np.concatenate([[0], np.cumsum(sizes[nonempty])[:-1]])
-            sub = np.empty((int(nonempty.sum()), num_perm), dtype=np.int64)
-            for i in range(num_perm):  # vectorised over every token of the batch
-                sub[:, i] = np.minimum.reduceat((a[i] * flat + b[i]) % MERSENNE_31, starts)
-            out[nonempty] = sub
-        return pd.Series([row if n else None for row, n in zip(out, sizes)])
+        out: list = [None] * len(arrays)
+        filled = [i for i, x in enumerate(arrays) if len(x)]
+        if filled:
+            sizes = np.array([len(arrays[i]) for i in filled])
+            flat = np.concatenate([arrays[i] for i in filled])
+            for i, row in zip(filled, minima(flat, np.cumsum(sizes) - sizes, num_perm, seed)):
+                out[i] = row
+        return pd.Series(out, dtype=object)
     return signature
 
 

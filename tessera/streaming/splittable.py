@@ -172,6 +172,10 @@ class AppendIndex:
             out = out.unionByName(rows if slots is None else rows.where(F.col("slot").isin(slots)))
         return out
 
+    def any_before(self, spark: SparkSession, batch_id: int) -> bool:
+        """Whether the index has rows of earlier batches."""
+        return not self.before(spark, batch_id).isEmpty()
+
     def append(self, df: DataFrame, batch_id: int) -> None:
         rows = df.withColumn("batch", F.lit(batch_id).cast("long"))
         rows.repartition("slot").write.mode("overwrite").partitionBy("slot").parquet(f"{self.path}/b={batch_id}")
@@ -190,36 +194,51 @@ def online_near_dup(stream: DataFrame, id_col: str, text_col: str, scope, index_
     of token sets, as in ``operators.neardup``).
 
     The index of kept documents is append-only: band memberships lie by band and
-    bucket prefix, token sets by a hash of their name.  A batch reads the slots
-    that its own buckets fall in, and of the token sets those of the candidates."""
+    bucket prefix, token sets and their sketches by a hash of their name.  A batch
+    reads the slots that its own buckets fall in, of the sketches those of the
+    pairs that meet there, and of the token sets those of the pairs that sketches allow."""
     from tessera.operators import neardup as N
     p = N.Verified() if p is None else p
+    scope = list(scope)
     bands = AppendIndex(f"{index_path}/bands", "bucket long, node long, n int", compact_every)
-    sets = AppendIndex(f"{index_path}/sets", "node long, toks array<long>", compact_every)
+    sets = AppendIndex(f"{index_path}/sets", "node long, toks array<long>, sketch array<long>", compact_every)
     slot = (F.col("band") * prefixes + F.pmod("bucket", F.lit(prefixes))).cast("int")
     name = F.pmod("node", F.lit(64)).cast("int")
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        docs = batch.select(id_col, *scope, text_col)
-        placed, own, members = N.prepare(docs, text_col, id_col, scope, p)
-        members = members.withColumn("slot", slot)
+    def known_copies(batch_id: int, rows: DataFrame, placed: DataFrame, members: DataFrame) -> DataFrame:
+        """(node) of the batch that are near copies of kept documents."""
+        spark = rows.sparkSession
         touched = [r.slot for r in members.select("slot").distinct().collect()]  # bands x prefixes at most
         known = bands.before(spark, batch_id, touched).select("slot", "bucket", F.col("node").alias("a"), F.col("n").alias("a_n"))
         near = F.least("n", "a_n") / F.greatest("n", "a_n") >= p.threshold
-        pairs = stage(members.join(known, ["slot", "bucket"]).where(near).select("a", F.col("node").alias("b")).distinct(), "neardup-candidates")
-        parts = [r[0] for r in pairs.select(F.pmod("a", F.lit(64)).cast("int")).distinct().collect()]
-        held = sets.before(spark, batch_id, parts).select("node", "toks")
+        pairs = stage(members.join(known, ["slot", "bucket"]).where(near).select("a", "a_n", F.col("node").alias("b")).distinct(), "neardup-met")
+        held = sets.before(spark, batch_id, _slots(pairs))
+        both = pairs.join(held.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
+        both = both.join(placed.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("sketch").alias("sb")), "b")
+        pairs = stage(both.where(N.may_be_near(F.col("sa"), F.col("a_n"), F.col("sb"), F.col("b_n"), p)).select("a", "b"), "neardup-candidates")
+        held = sets.before(spark, batch_id, _slots(pairs)).select("node", "toks").join(pairs.select(F.col("a").alias("node")).distinct(), "node")
+        own = N.token_sets(rows, pairs.select(F.col("b").alias("node")))
         both = pairs.join(held.select(F.col("node").alias("a"), F.col("toks").alias("ta")), "a")
         both = both.join(own.select(F.col("node").alias("b"), F.col("toks").alias("tb")), "b").withColumn("shared", F.size(F.array_intersect("ta", "tb")))
         likeness = F.col("shared") / (F.size("ta") + F.size("tb") - F.col("shared"))
-        hit = stage(both.where(likeness >= p.threshold).select(F.col("b").alias("node")).distinct(), "neardup-hits")
-        rest = members.join(hit, "node", "left_anti")
-        dropped = stage(hit.unionByName(N.dropped_nodes(rest, own, placed, p)), "neardup-dropped")
-        out = N.verdict(docs, text_col, id_col, list(scope), placed, dropped)
+        return stage(both.where(likeness >= p.threshold).select(F.col("b").alias("node")).distinct(), "neardup-hits")
+
+    def _slots(pairs: DataFrame) -> list[int]:
+        return [r[0] for r in pairs.select(F.pmod("a", F.lit(64)).cast("int")).distinct().collect()]
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        docs = batch.select(id_col, *scope, text_col)
+        rows = N.profiles(docs, text_col, id_col, scope, p)
+        placed = N.nodes(rows)
+        members = placed.select("node", "n", F.posexplode("buckets").alias("band", "bucket")).withColumn("slot", slot)
+        hit = known_copies(batch_id, rows, placed, members) if bands.any_before(batch.sparkSession, batch_id) else None
+        rest = placed if hit is None else placed.join(hit, "node", "left_anti")
+        dropped = N.dropped_nodes(rows, rest, p)
+        dropped = stage(dropped if hit is None else hit.unionByName(dropped), "neardup-dropped")
+        out = N.verdict(docs, text_col, id_col, scope, rows, placed, dropped)
         out.select(id_col, F.col("near_dup_kept").alias("kept")).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-        new = members.join(dropped, "node", "left_anti")
-        sets.append(own.join(dropped, "node", "left_anti").select("node", "toks", name.alias("slot")), batch_id)
-        bands.append(new.select("bucket", "node", F.col("n").cast("int").alias("n"), "slot"), batch_id)
+        kept = rows.join(dropped, "node", "left_anti").dropDuplicates(["node"])
+        sets.append(kept.select("node", "toks", "sketch", name.alias("slot")), batch_id)
+        bands.append(members.join(dropped, "node", "left_anti").select("bucket", "node", "n", "slot"), batch_id)
 
     return stream.writeStream.foreachBatch(process)
