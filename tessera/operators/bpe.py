@@ -2,11 +2,10 @@
 
 * T1 pre-tokenises with one regex (JVM side) and counts pieces with a
   partial+final aggregate — the only pass over the corpus.
-* T2 learns merges on the *frequency table*, never the corpus: each round
-  counts adjacent symbol pairs weighted by piece frequency, takes the
-  arg-max (count desc, pair asc — deterministic), and rewrites the symbol
-  arrays with a left-to-right merge.  One row (the winning pair) reaches
-  the driver per round; lineage is cut with a reliable checkpoint.
+* T2 learns merges on the *frequency table*, never the corpus: the pair of
+  highest count, weighted by piece frequency (of equal ones the least, so it
+  is deterministic), is merged from left to right, again and again.  A Spark
+  job serves many merges (see ``bytebpe``); what reaches the driver is bounded.
 * T3 encodes a document's pieces where the document is (Arrow pandas UDF
   with a bounded cache of piece encodings): no shuffle.
 
@@ -16,6 +15,7 @@ base alphabet in code-point order, then merges in learned order.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,9 +28,11 @@ from pyspark.sql import types as T
 
 from tessera.functions import constants as K
 from tessera.functions.constants import PY_SPACE
-from tessera.session import cut_lineage
+from tessera.operators import bytebpe as V
+from tessera.session import stage
 
 CACHED_PIECES = 200_000
+HELD_SYMBOLS = 2_000_000  # symbols of words that the driver learns the last merges from
 
 # Pre-tokeniser: contractions, letter runs, digit runs, other-symbol runs and
 # whitespace runs, each optionally led by one space.
@@ -53,19 +55,6 @@ def top_vocabulary(freq: DataFrame, size: int, min_frequency: int = 2) -> DataFr
     return (freq.where(F.col("n") >= min_frequency).orderBy(F.desc("n"), "piece").limit(size))
 
 
-def _merge_pair(symbols: Column, left: str, right: str) -> Column:
-    acc0 = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("pending"))
-
-    def step(acc, x):
-        merge = acc["pending"] & (x == F.lit(right))
-        last = F.size(acc["out"])
-        merged_out = F.concat(F.slice(acc["out"], 1, last - 1), F.array(F.lit(left + right)))
-        return F.when(merge, F.struct(merged_out.alias("out"), F.lit(False).alias("pending"))).otherwise(
-            F.struct(F.concat(acc["out"], F.array(x)).alias("out"), (x == F.lit(left)).alias("pending")))
-
-    return F.aggregate(symbols, acc0, step, lambda a: a["out"])
-
-
 @dataclass
 class BpeModel:
     specials: list[str] = field(default_factory=lambda: list(K.SPECIAL_TOKENS_TRAINER))
@@ -80,32 +69,128 @@ class BpeModel:
         return out
 
 
-def learn_merges(freq: DataFrame, num_merges: int, min_frequency: int = 2,
-                 specials=None, checkpoint_every: int = 5) -> tuple[BpeModel, DataFrame]:
-    """Returns the model and a ``(rank, left, right, count)`` DataFrame."""
-    spark = freq.sparkSession
-    split = F.split(F.col("piece"), "", -1).alias("sym")
+def _symbol_words(alphabet: np.ndarray):
+    """Task: the places in ``alphabet`` (ascending code points) of each piece's characters."""
+    def run(batches):
+        for b in batches:
+            raw = b.column("piece").to_pylist()
+            sym = np.searchsorted(alphabet, np.frombuffer("".join(raw).encode("utf-32-le"), "uint32"))
+            yield V._word_batch(b.column("n"), sym, np.fromiter(map(len, raw), "int64", len(raw)))
+    return run
+
+
+class _Symbols:
+    """Symbols are their strings: pairs that make one string make one symbol."""
+
+    def __init__(self, alphabet: list[str]):
+        self.names, self.ids = list(alphabet), {s: i for i, s in enumerate(alphabet)}
+        self.merges: list[tuple[int, int]] = []
+        self.made: list[int] = []
+        self.counts: list[int] = []
+        self.again = False  # whether the last merge made a symbol that was there before
+
+    def of(self, p: tuple[int, int]) -> int:
+        """The symbol that a pair makes."""
+        name = self.names[p[0]] + self.names[p[1]]
+        self.again = name in self.ids
+        if not self.again:
+            self.ids[name] = len(self.names)
+            self.names.append(name)
+        return self.ids[name]
+
+    def place(self, p: tuple[int, int]) -> tuple[str, str]:
+        return self.names[p[0]], self.names[p[1]]
+
+    def add(self, p: tuple[int, int], count: int) -> None:
+        self.made.append(self.ids[self.names[p[0]] + self.names[p[1]]])
+        self.merges.append(p)
+        self.counts.append(int(count))
+
+
+def _finish(words: DataFrame, sym: _Symbols, num_merges: int, min_frequency: int) -> None:
+    """All merges that are left, on the driver: ``words`` are few."""
+    held = [(r.word, r.n) for r in words.collect()]
+    counts: Counter = Counter()
+    for word, n in held:
+        for p in zip(word, word[1:]):
+            counts[p] += n
+    state = V._Sequential(held, counts, sym.place)
+    while len(sym.merges) < num_merges and (step := state.next(sym.of, min_frequency)) is not None:
+        sym.add(*step)
+
+
+def learn_merges(freq: DataFrame, num_merges: int | None = None, min_frequency: int = 2, specials=None, vocab_size: int | None = None,
+                 held: int = HELD_SYMBOLS, sample: int = V.SAMPLE, batch: int = 1024) -> tuple[BpeModel, DataFrame]:
+    """Returns the model and a ``(rank, left, right, count)`` DataFrame: ``num_merges``
+    merges, or as many as fill a vocabulary (specials, alphabet, merges) of
+    ``vocab_size`` entries, unless no pair occurs ``min_frequency`` times before.
+
+    The next merge is the pair of highest count, of equal ones the one of least
+    strings.  Many merges are learned a job, as in ``bytebpe.learn``; once the
+    words hold at most ``held`` symbols, the driver learns the rest from them.  A
+    merge that makes a symbol anew ends its batch: pairs of that symbol may then
+    count more than those they come from."""
+    spark, freq = freq.sparkSession, stage(freq.select("piece", "n"), "bpe-frequencies")
     # every character that occurs is in the alphabet (bounded by Unicode), also those of rare pieces only
-    alphabet = [r.s for r in freq.select(F.explode(split).alias("s")).distinct().where("s <> ''").orderBy("s").collect()]
-    words = cut_lineage(freq.where(F.col("n") >= min_frequency).select(split, "n"))
-    merges: list[tuple[str, str, int]] = []
-    for rnd in range(num_merges):
-        pairs = (words.where(F.size("sym") > 1)
-                 .select(F.explode(F.arrays_zip(F.slice("sym", 1, F.size("sym") - 1).alias("l"),
-                                                F.slice("sym", 2, F.size("sym") - 1).alias("r"))).alias("p"), "n")
-                 .groupBy(F.col("p.l").alias("l"), F.col("p.r").alias("r")).agg(F.sum("n").alias("c")))
-        best = pairs.where(F.col("c") >= min_frequency).orderBy(F.desc("c"), "l", "r").limit(1).collect()
-        if not best:
+    alphabet = [r.s for r in freq.select(F.explode(F.split(F.col("piece"), "", -1)).alias("s")).distinct().where("s <> ''").orderBy("s").collect()]
+    sym, schema = _Symbols(alphabet), "n long, word array<int>"
+    specials = list(specials if specials is not None else K.SPECIAL_TOKENS_TRAINER)
+    if num_merges is None:
+        num_merges = max(0, vocab_size - len(specials) - len(alphabet))
+    points = np.array([ord(c) for c in alphabet], dtype="uint32")
+    words = stage(freq.where(F.col("n") >= min_frequency).select("piece", "n").mapInArrow(_symbol_words(points), schema), "bpe-words")
+    done, top, fresh = 0, 16 * batch, True  # merges that ``words`` already has; pairs that a batch looks at
+    while (room := min(batch, num_merges - len(sym.merges))) > 0:
+        if len(sym.merges) - done >= batch or sym.again:
+            words = stage(words.mapInArrow(V._rewriter(sym.merges[done:], np.array(sym.made[done:]), 0), schema), "bpe-words")
+            done, fresh, sym.again = len(sym.merges), True, False
+        if fresh and (words.agg(F.sum(F.size("word"))).first()[0] or 0) <= held:
+            _finish(words, sym, num_merges, min_frequency)
+            break
+        fresh, ahead = False, (sym.merges[done:], np.array(sym.made[done:], dtype="int64"), 0)
+        counted = words.mapInArrow(V._pair_counter(*ahead), "a int, b int, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
+        limit = max(top, 16)
+        most = counted.where(F.col("c") >= min_frequency).orderBy(F.desc("c")).limit(limit).collect()
+        if not most:
             break
-        l, r, c = best[0].l, best[0].r, best[0].c
-        merges.append((l, r, int(c)))
-        touched = F.array_contains("sym", l) & F.array_contains("sym", r)
-        words = words.withColumn("sym", F.when(touched, _merge_pair(F.col("sym"), l, r)).otherwise(F.col("sym")))
-        if (rnd + 1) % checkpoint_every == 0:
-            words = cut_lineage(words)
-    model = BpeModel(specials=list(specials if specials is not None else K.SPECIAL_TOKENS_TRAINER),
-                     alphabet=alphabet, merges=[(a, b) for a, b, _ in merges])
-    table = spark.createDataFrame([(i + 1, a, b, c) for i, (a, b, c) in enumerate(merges)],
+        full = len(most) == limit
+        if full and most[0].c == most[-1].c:  # more of one count than are looked at: those of least strings
+            name = spark.createDataFrame(list(enumerate(sym.names)), "id int, name string")
+            tied = counted.where(F.col("c") == most[0].c)
+            for end in ("a", "b"):
+                tied = tied.join(F.broadcast(name.select(F.col("id").alias(end), F.col("name").alias(f"{end}_name"))), end)
+            most = tied.orderBy("a_name", "b_name").limit(limit).collect()
+        most = sorted(most, key=lambda r: (-r.c, sym.place((r.a, r.b))))
+        seams, floor, found = most, min_frequency, None
+        if full:  # pairs as frequent as the last one may be missing
+            floor = most[-1].c + 1
+            seams = [r for r in most if r.c >= floor]
+        while len(seams) > 1:
+            cut = words.mapInArrow(V._stretcher([(r.a, r.b) for r in seams], *ahead), "stretch binary, n long")
+            found = cut.groupBy("stretch").agg(F.sum("n").alias("n")).limit(sample + 1).collect()
+            if len(found) <= sample:
+                break
+            found, top = None, max(1, min(top, len(seams)) // 4)
+            floor = seams[top].c + 1
+            seams = [r for r in seams if r.c >= floor]
+        if found is None:  # the next merges that can't touch one another need no stretches
+            for r in most[:V._apart(most)][:room]:
+                sym.of((r.a, r.b))
+                sym.add((r.a, r.b), r.c)
+                if sym.again:
+                    break
+            top = max(top, 8)
+            continue
+        state = V._Sequential([(np.frombuffer(r.stretch, dtype="int32").tolist(), r.n) for r in found], {(r.a, r.b): r.c for r in seams}, sym.place)
+        taken = 0
+        while taken < room and not sym.again and (step := state.next(sym.of, floor)) is not None:
+            sym.add(*step)
+            taken += 1
+        if taken < room:
+            top = min(2 * top, 16 * batch)
+    names = [sym.place(p) for p in sym.merges]
+    model = BpeModel(specials=specials, alphabet=alphabet, merges=names)
+    table = spark.createDataFrame([(i + 1, a, b, c) for i, ((a, b), c) in enumerate(zip(names, sym.counts))],
                                   "rank int, left string, right string, count long")
     return model, table
 

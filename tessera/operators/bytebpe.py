@@ -126,26 +126,31 @@ def _ranked(merges) -> tuple[np.ndarray, np.ndarray]:
     return keys[rank], rank
 
 
-def _apply(sym: np.ndarray, word: np.ndarray, ranked: tuple[np.ndarray, np.ndarray], base: int) -> tuple[np.ndarray, np.ndarray]:
+def _apply(sym: np.ndarray, word: np.ndarray, ranked: tuple[np.ndarray, np.ndarray], base: int | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words (symbols, ascending number of each one's word) after the merges, in
-    their order: in each turn every word takes its next merge."""
+    their order: in each turn every word takes its next merge.  ``base``: the id
+    that the first merge makes, or those of all merges, which may then repeat."""
     none, done = len(ranked[0]), []
+    made = base + np.arange(none) if np.ndim(base) == 0 else base
+    last = np.full(len(sym), -1)  # the last merge of each one's word; merges don't come again
     while len(sym) > 1:
-        rank = np.append(_lookup(*ranked, _pairs(sym, word), none), none)
+        rank = _lookup(*ranked, _pairs(sym, word), none)
+        rank = np.append(np.where(rank > last[:-1], rank, none), none)
         first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
         best = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(sym))))
         open_ = best < none
         done.append((sym[~open_], word[~open_]))
         sym, word, rank, best = sym[open_], word[open_], rank[open_], best[open_]
+        last = best
         hit = np.flatnonzero(rank == best)
         if len(hit):
             # of hits that overlap (one symbol repeated) every second one counts
             head = np.append(True, np.diff(hit) > 1)
             hit = hit[(hit - hit[head][np.cumsum(head) - 1]) % 2 == 0]
-            sym[hit] = base + best[hit]
+            sym[hit] = made[best[hit]]
             rest = np.ones(len(sym), dtype=bool)
             rest[hit + 1] = False
-            sym, word = sym[rest], word[rest]
+            sym, word, last = sym[rest], word[rest], last[rest]
     done.append((sym, word))
     sym, word = (np.concatenate(x) for x in zip(*done))
     order = np.argsort(word, kind="stable")
@@ -156,25 +161,26 @@ class _Sequential:
     """Sequential merges on stretches of words, which hold all occurrences of the
     pairs in ``counts``."""
 
-    def __init__(self, words: list[tuple[list[int], int]], counts: dict[tuple[int, int], int]):
+    def __init__(self, words: list[tuple[list[int], int]], counts: dict[tuple[int, int], int], place=lambda p: p):
+        self.place = place  # the order of pairs of one count
         self.words, self.n = [w for w, _ in words], [n for _, n in words]
         self.counts = dict(counts)
         self.where = defaultdict(set)
         for i, w in enumerate(self.words):
             for p in zip(w, w[1:]):
                 self.where[p].add(i)
-        self.heap = [(-c, p) for p, c in self.counts.items()]
+        self.heap = [(-c, place(p), p) for p, c in self.counts.items()]
         heapq.heapify(self.heap)
 
-    def next(self, new: int, least: int) -> tuple[tuple[int, int], int] | None:
-        """The next merge and its count, if that is ``least`` or more."""
+    def next(self, new, least: int) -> tuple[tuple[int, int], int] | None:
+        """The next merge and its count, if that is ``least`` or more; ``new``: the id it makes, or a function of the pair."""
         while self.heap:
-            c, p = heapq.heappop(self.heap)
+            c, _, p = heapq.heappop(self.heap)
             if self.counts.get(p, 0) != -c:  # out of date; the newer count has an entry of its own
                 continue
             if -c < least:
                 return None
-            self.take(p, new)
+            self.take(p, new(p) if callable(new) else new)
             return p, -c
         return None
 
@@ -189,7 +195,7 @@ class _Sequential:
             for q in before.keys() | after.keys():
                 if q != p and (d := (after[q] - before[q]) * self.n[i]):
                     self.counts[q] = self.counts.get(q, 0) + d
-                    heapq.heappush(self.heap, (-self.counts[q], q))
+                    heapq.heappush(self.heap, (-self.counts[q], self.place(q), q))
                     self.where[q].add(i)
 
 

@@ -252,8 +252,12 @@ def q_t2(spark, sf):
     return merges
 
 
+VOCAB_SIZE = 32_000  # as the reference trains its tokenizer
+
+
 @register("t3_bpe_encode")
 def q_t3(spark, sf):
-    model, _ = B.learn_merges(B.piece_frequencies(_docs(spark, sf)), num_merges=8)
+    """Merges up to a vocabulary of ``VOCAB_SIZE`` entries, or until no pair occurs twice."""
+    model, _ = B.learn_merges(B.piece_frequencies(_docs(spark, sf)), vocab_size=VOCAB_SIZE)
     enc = B.encode(_docs(spark, sf).withColumnRenamed("doc_id", "id"), model)
     return enc.select("id", F.size("input_ids").alias("n_tokens"))

@@ -131,3 +131,26 @@ def test_documents_ids_are_put_together_without_python_lists():
     coded = docs.flatten().dictionary_encode()
     ids = [np.array({"x": [1], "y": [2, 3], "z": []}[p], "int32") for p in coded.dictionary.to_pylist()]
     assert bpe._ids_of_documents(docs.fill_null([]), coded.indices.to_numpy(), ids).to_pylist() == [[], [2, 3], [], [1]]
+
+
+def test_many_merges_a_job_equal_one_at_a_time(spark):
+    """The driver's last merges, batches of stretches and merges of ties give the same model."""
+    import random
+    rng = random.Random(3)
+    freq = {"aaaaaaa": 9, "xaaaa": 7, "a": 5, "rare": 1}
+    while len(freq) < 80:
+        freq["".join(rng.choice("abcé😀") for _ in range(rng.randint(1, 8)))] = rng.choice([2, 2, 3, 40])
+    table = spark.createDataFrame(list(freq.items()), "piece string, n long")
+    expect = _python_bpe({p: n for p, n in freq.items() if n >= 2}, 60, 2)
+    for limits in ({}, {"held": 0, "batch": 16}, {"held": 0, "batch": 1, "sample": 3}):
+        model, got = B.learn_merges(table, 60, 2, **limits)
+        assert model.merges == expect and got.count() == len(expect)
+
+
+def test_t3_encodes_with_a_whole_vocabulary(spark, tmp_path):
+    """Long words become one id; with eight merges they did not."""
+    from tessera.plans import reg_sequences as R
+    text = " internationalisation of distillation" * 3
+    spark.createDataFrame([(1, "en", text), (2, "en", ""), (3, "en", None)], "doc_id long, lang string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.id: r.n_tokens for r in R.q_t3(spark, str(tmp_path)).collect()}
+    assert got == {1: 9, 2: 0, 3: 0}
